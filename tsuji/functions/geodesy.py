@@ -87,11 +87,14 @@ def vincenty(lon1, lat1, lon2, lat2, a: float = WGS84_A, f: float = WGS84_F,
                                            - B / 6 * cos2sm * (-3 + 4 * ss * ss) * (-3 + 4 * cos2sm * cos2sm)))
         return F.lit(b) * A * (st["sig"] - dsig)
 
-    # state(k, L) is the first evaluation; each step refines lambda once
+    # constants are evaluated once (initial value); pass 0 evaluates the state at lambda = L,
+    # passes 1..n each refine lambda once
+    empty = F.lit(None).cast("struct<lam:double,ss:double,cs:double,sig:double,sa:double>")
     dist = F.aggregate(
-        F.sequence(F.lit(1), F.lit(iterations)),
-        F.struct(consts.alias("k"), state(consts, consts["L"]).alias("st")),
-        lambda acc, _i: F.struct(acc["k"].alias("k"), step(acc["k"], acc["st"]).alias("st")),
+        F.sequence(F.lit(0), F.lit(iterations)),
+        F.struct(consts.alias("k"), empty.alias("st")),
+        lambda acc, i: F.struct(acc["k"].alias("k"), F.when(i == 0, state(acc["k"], acc["k"]["L"]))
+                                .otherwise(step(acc["k"], acc["st"])).alias("st")),
         lambda acc: finish(acc["k"], acc["st"]))
     same = (_c(lon1) == _c(lon2)) & (_c(lat1) == _c(lat2))
     return F.when(same, F.lit(0.0)).otherwise(dist)

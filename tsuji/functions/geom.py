@@ -181,23 +181,26 @@ def point_on_line(line) -> Column:
 
     tot = F.aggregate(segments(ln), acc0, add_seg)
     # zero total length: centroid of the (coincident) points is the first vertex
-    cx = F.when(tot["len"] > 0, tot["sx"] / tot["len"]).otherwise(ln[0]["x"])
-    cy = F.when(tot["len"] > 0, tot["sy"] / tot["len"]).otherwise(ln[0]["y"])
-
-    def dist(p):
-        dx = p["x"] - cx
-        dy = p["y"] - cy
-        return F.sqrt(dx * dx + dy * dy)
+    centroid = F.struct(F.when(tot["len"] > 0, tot["sx"] / tot["len"]).otherwise(ln[0]["x"]).alias("cx"),
+                        F.when(tot["len"] > 0, tot["sy"] / tot["len"]).otherwise(ln[0]["y"]).alias("cy"))
 
     def nearest(cands):
-        start = F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast(POINT).alias("p"))
-        best = F.aggregate(cands, start, lambda acc, p: F.when(
-            acc["d"].isNull() | (dist(p) < acc["d"]), F.struct(dist(p).alias("d"), p.alias("p"))).otherwise(acc))
-        return best["p"]
+        # state: centroid (computed once, in the initial value), best distance, best point
+        start = F.struct(centroid.alias("c"), F.lit(None).cast("double").alias("d"), F.lit(None).cast(POINT).alias("p"))
+
+        def visit(acc, p):
+            dx = p["x"] - acc["c"]["cx"]
+            dy = p["y"] - acc["c"]["cy"]
+            d = F.sqrt(dx * dx + dy * dy)
+            better = acc["d"].isNull() | (d < acc["d"])
+            return F.struct(acc["c"].alias("c"), F.when(better, d).otherwise(acc["d"]).alias("d"),
+                            F.when(better, p).otherwise(acc["p"]).alias("p"))
+
+        return F.aggregate(cands, start, visit, lambda acc: acc["p"])
 
     interior = F.slice(ln, 2, F.greatest(n - 2, F.lit(0)))
     ends = F.array(ln[0], F.element_at(ln, -1))
-    return F.when(n == 0, F.lit(None).cast(POINT)).when(n > 2, nearest(interior)).otherwise(nearest(ends))
+    return F.when(n == 0, F.lit(None).cast(POINT)).otherwise(nearest(F.when(n > 2, interior).otherwise(ends)))
 
 
 # --------------------------------------------------------------------------- coordinate ops
@@ -346,13 +349,14 @@ def hilbert_distance(bbox, total) -> Column:
     start = F.struct(hx.alias("x"), hy.alias("y"), F.lit(0).cast("long").alias("d"))
 
     def step(a, i):
-        rx = F.shiftright(a["x"], i).bitwiseAND(1)
-        ry = F.shiftright(a["y"], i).bitwiseAND(1)
+        bit = F.pow(F.lit(2), i).cast("long")          # 2^i
+        rx = F.when(a["x"].bitwiseAND(bit) > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
+        ry = F.when(a["y"].bitwiseAND(bit) > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
         flip_ = ry == 0
         nx = F.when(flip_, F.when(rx == 1, HILBERT_MAX - a["y"]).otherwise(a["y"])).otherwise(a["x"])
         ny = F.when(flip_, F.when(rx == 1, HILBERT_MAX - a["x"]).otherwise(a["x"])).otherwise(a["y"])
-        q = (F.lit(3) * rx).bitwiseXOR(ry).cast("long")
-        return F.struct(nx.alias("x"), ny.alias("y"), (a["d"] + F.shiftleft(q, i * 2)).alias("d"))
+        q = (F.lit(3).cast("long") * rx).bitwiseXOR(ry)
+        return F.struct(nx.alias("x"), ny.alias("y"), (a["d"] + q * bit * bit).alias("d"))
 
     out = F.aggregate(F.sequence(F.lit(HILBERT_ORDER - 1), F.lit(0), F.lit(-1)), start, step)["d"]
     return F.when(b.isNull(), F.raise_error(F.lit("hilbert_distance: null geometry")).cast("long")).otherwise(out)

@@ -93,7 +93,158 @@ SELECT r.road_type, round(sum({hav('sg.y', 'sg.x', 'sg.ny', 'sg.nx', SPHERE_DIST
 FROM sg JOIN roads r ON r.fid = sg.fid WHERE sg.nx IS NOT NULL GROUP BY r.road_type ORDER BY total_length_m DESC"""
 
 
+X0, Y0, X1, Y1 = (f"{v!r}::DOUBLE" for v in (139.75, 35.66, 139.79, 35.70))
+
+
+def _side(cx: str, cy: str) -> str:
+    return f"((x2-x1)*({cy}-y1) - (y2-y1)*({cx}-x1))"
+
+
+_CORNERS = [(X0, Y0), (X1, Y0), (X1, Y1), (X0, Y1)]
+SEG_HITS = (f"(least(x1,x2) <= {X1} AND greatest(x1,x2) >= {X0} AND least(y1,y2) <= {Y1} AND greatest(y1,y2) >= {Y0}"
+            f" AND NOT ({' AND '.join(_side(cx, cy) + ' > 0' for cx, cy in _CORNERS)})"
+            f" AND NOT ({' AND '.join(_side(cx, cy) + ' < 0' for cx, cy in _CORNERS)}))")
+
+HITS = f"hits AS (SELECT DISTINCT fid FROM segs WHERE {SEG_HITS})"
+BB = "bb AS (SELECT fid, min(x) xmin, min(y) ymin, max(x) xmax, max(y) ymax FROM verts GROUP BY fid)"
+
+BBOX_OVERLAP = with_(ROADS, VERTS, BB) + f"""
+SELECT fid, xmin, ymin, xmax, ymax FROM bb
+WHERE xmin <= {X1} AND xmax >= {X0} AND ymin <= {Y1} AND ymax >= {Y0}"""
+
+COVERING_CANDIDATES = with_(ROADS, VERTS, BB) + f"""
+SELECT fid FROM bb WHERE xmin <= {X1} AND xmax >= {X0} AND ymin <= {Y1} AND ymax >= {Y0}"""
+
+BBOX_INTERSECTS = with_(ROADS, VERTS, SEGS, HITS) + f"""
+SELECT count(DISTINCT fid) AS cnt, round(sum({SEG_LEN}), 1) AS total_length_m
+FROM segs WHERE fid IN (SELECT fid FROM hits)"""
+
+BBOX_INTERSECTS_VERTICES = with_(ROADS, VERTS, SEGS, HITS) + f"""
+SELECT count(DISTINCT fid) AS cnt,
+  round(sum({hav('x1', 'y1', 'x2', 'y2', SPHERE_DISTANCE_RADIUS_M)}), 1) AS total_length_m
+FROM segs WHERE fid IN (SELECT fid FROM hits)"""
+
+BBOX_LAYOUT_READ = with_(ROADS, VERTS, SEGS, HITS) + """
+SELECT r.fid, r.source_mesh FROM roads r JOIN hits h ON r.fid = h.fid"""
+
+_HSTEP = """lambda a, i: {
+  'x': CASE WHEN ((a.y >> i) & 1) = 0 THEN CASE WHEN ((a.x >> i) & 1) = 1 THEN 65535 - a.y ELSE a.y END ELSE a.x END,
+  'y': CASE WHEN ((a.y >> i) & 1) = 0 THEN CASE WHEN ((a.x >> i) & 1) = 1 THEN 65535 - a.x ELSE a.x END ELSE a.y END,
+  'd': a.d + (xor(3 * ((a.x >> i) & 1), (a.y >> i) & 1) << (2 * i))}"""
+
+HILBERT_CELL = with_(ROADS, VERTS, BB, "tb AS (SELECT min(xmin) mnx, min(ymin) mny, max(xmax) mxx, max(ymax) mxy FROM bb)",
+                     """hc AS (SELECT fid,
+    CASE WHEN mxx - mnx = 0 THEN 0 ELSE least(65535, floor(((xmin + xmax) / 2 - mnx) * 65535 / (mxx - mnx))) END::BIGINT hx,
+    CASE WHEN mxy - mny = 0 THEN 0 ELSE least(65535, floor(((ymin + ymax) / 2 - mny) * 65535 / (mxy - mny))) END::BIGINT hy
+  FROM bb, tb)""") + f"""
+SELECT fid, list_reduce(range(15, -1, -1), {_HSTEP}, {{'x': hx, 'y': hy, 'd': 0::BIGINT}}).d AS hilbert FROM hc"""
+
+TOTAL_BOUNDS = with_(ROADS, VERTS) + """
+SELECT min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax,
+  (SELECT count(*) FROM roads) AS n, 4326 AS srid FROM verts"""
+
+CROSS_MESH_DUPLICATES = with_(ROADS, VERTS, LINES, """shared AS (
+  SELECT l.pts FROM lines l JOIN roads r ON r.fid = l.fid GROUP BY l.pts HAVING count(DISTINCT r.source_mesh) > 1)""") + """
+SELECT r.fid, r.source_mesh FROM roads r JOIN lines l ON r.fid = l.fid WHERE l.pts IN (SELECT pts FROM shared)"""
+
+INVALID_BY_MESH = with_(ROADS, VERTS, """st AS (
+  SELECT fid, count(DISTINCT (x, y)) nd, bool_and(isfinite(x) AND isfinite(y)) fin FROM verts GROUP BY fid)""") + """
+SELECT r.source_mesh, count(*) AS n, count_if(st.fid IS NULL) AS n_missing, 0::BIGINT AS n_empty,
+  count_if(st.nd < 2 OR NOT st.fin) AS n_invalid, count_if(st.fid IS NULL OR st.nd < 2 OR NOT st.fin) AS n_flagged
+FROM roads r LEFT JOIN st ON r.fid = st.fid GROUP BY r.source_mesh"""
+
+# interior point of a line: centroid of segment midpoints weighted by length (in vertex order),
+# then the nearest interior vertex (ties -> lowest index), else the nearer endpoint
+_CENT = """cent AS (
+  SELECT fid, list_reduce(list({'l': sqrt((x2-x1)*(x2-x1) + (y2-y1)*(y2-y1)), 'mx': (x1+x2)/2, 'my': (y1+y2)/2} ORDER BY i),
+    lambda a, s: CASE WHEN s.l <> 0 THEN {'len': a.len + s.l, 'sx': a.sx + s.l * s.mx, 'sy': a.sy + s.l * s.my} ELSE a END,
+    {'len': 0::DOUBLE, 'sx': 0::DOUBLE, 'sy': 0::DOUBLE}) c
+  FROM segs GROUP BY fid)"""
+POINT_ON_LINE = with_(ROADS, VERTS, SEGS, _CENT, """nv AS (SELECT fid, max(i) last FROM verts GROUP BY fid)""",
+                      """cand AS (
+  SELECT v.fid, v.i, v.x, v.y,
+    sqrt((v.x - CASE WHEN c.c.len > 0 THEN c.c.sx / c.c.len ELSE f.x END) * (v.x - CASE WHEN c.c.len > 0 THEN c.c.sx / c.c.len ELSE f.x END)
+       + (v.y - CASE WHEN c.c.len > 0 THEN c.c.sy / c.c.len ELSE f.y END) * (v.y - CASE WHEN c.c.len > 0 THEN c.c.sy / c.c.len ELSE f.y END)) d
+  FROM verts v JOIN nv ON v.fid = nv.fid JOIN cent c ON v.fid = c.fid JOIN verts f ON f.fid = v.fid AND f.i = 0
+  WHERE (nv.last >= 2 AND v.i > 0 AND v.i < nv.last) OR (nv.last < 2))""") + """
+SELECT fid, x AS px, y AS py FROM (
+  SELECT fid, x, y, row_number() OVER (PARTITION BY fid ORDER BY d, i) rn FROM cand) WHERE rn = 1"""
+
+POINT_ACCESSORS = with_(ROADS, VERTS, "nv AS (SELECT fid, max(i) last, count(*) n FROM verts GROUP BY fid)") + """
+SELECT nv.fid, nv.n::INTEGER AS npts, a.x AS x2, a.y AS y2, b.x AS xn, b.y AS yn
+FROM nv JOIN verts a ON a.fid = nv.fid AND a.i = 1 JOIN verts b ON b.fid = nv.fid AND b.i = nv.last"""
+
+FLIP = with_(ROADS, VERTS, "nv AS (SELECT fid, max(i) last FROM verts GROUP BY fid)") + """
+SELECT nv.fid, a.y AS x1, a.x AS y1, b.y AS xn, b.x AS yn
+FROM nv JOIN verts a ON a.fid = nv.fid AND a.i = 0 JOIN verts b ON b.fid = nv.fid AND b.i = nv.last"""
+
+WKT_ROUNDTRIP = with_(ROADS, VERTS) + "SELECT fid, count(*)::INTEGER AS npts, true AS same FROM verts GROUP BY fid"
+
+
+def _vincenty_sql(iterations: int = 5) -> str:
+    """Spheroid length per road type: Vincenty inverse with the same fixed iteration scheme."""
+    from ..functions.geodesy import WGS84_A as a, WGS84_F as f
+    b = (1 - f) * a
+    base = f"""v0 AS (
+  SELECT fid, x1, y1, x2, y2, L, sU1, cU1, sU2, cU2, L AS lam FROM (
+    SELECT fid, x1, y1, x2, y2, radians(x2) - radians(x1) AS L,
+      sin(atan({1 - f!r} * tan(radians(y1)))) sU1, cos(atan({1 - f!r} * tan(radians(y1)))) cU1,
+      sin(atan({1 - f!r} * tan(radians(y2)))) sU2, cos(atan({1 - f!r} * tan(radians(y2)))) cU2
+    FROM segs))"""
+
+    def st(src: str, dst: str) -> str:
+        return f"""{dst} AS (
+  SELECT *, atan2(ss, cs) sig, CASE WHEN ss = 0 THEN 0.0 ELSE cU1 * cU2 * sin(lam) / ss END sa FROM (
+    SELECT fid, x1, y1, x2, y2, L, sU1, cU1, sU2, cU2, lam,
+      sqrt(pow(cU2 * sin(lam), 2) + pow(cU1 * sU2 - sU1 * cU2 * cos(lam), 2)) ss,
+      sU1 * sU2 + cU1 * cU2 * cos(lam) cs FROM {src}))"""
+
+    def dv(src: str, dst: str) -> str:
+        return f"""{dst} AS (
+  SELECT *, CASE WHEN c2a = 0 THEN 0.0 ELSE cs - 2 * sU1 * sU2 / c2a END c2sm FROM (
+    SELECT *, 1 - sa * sa c2a FROM {src}))"""
+
+    def step(src: str, dst: str) -> str:
+        return f"""{dst} AS (
+  SELECT fid, x1, y1, x2, y2, L, sU1, cU1, sU2, cU2,
+    L + (1 - C) * {f!r} * sa * (sig + C * ss * (c2sm + C * cs * (-1 + 2 * c2sm * c2sm))) AS lam FROM (
+    SELECT *, {f / 16!r} * c2a * (4 + {f!r} * (4 - 3 * c2a)) C FROM {src}))"""
+
+    ctes = [base, st("v0", "s0")]
+    for k in range(iterations):
+        ctes.append(dv(f"s{k}", f"d{k}"))
+        ctes.append(step(f"d{k}", f"v{k + 1}"))
+        ctes.append(st(f"v{k + 1}", f"s{k + 1}"))
+    ctes.append(dv(f"s{iterations}", "fin"))
+    k2 = (a * a - b * b) / (b * b)
+    return with_(ROADS, VERTS, SEGS, *ctes, f"""dist AS (
+  SELECT fid, CASE WHEN x1 = x2 AND y1 = y2 THEN 0.0 ELSE {b!r} * A * (sig - dsig) END d FROM (
+    SELECT *, B * ss * (c2sm + B / 4 * (cs * (-1 + 2 * c2sm * c2sm) - B / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm))) dsig
+    FROM (SELECT *, 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2))) A,
+                  u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2))) B
+          FROM (SELECT *, c2a * {k2!r} u2 FROM fin))))""") + f"""
+SELECT rt.label AS road_type, round(sum(dist.d), 1) AS total_length_m
+FROM dist JOIN roads r ON r.fid = dist.fid JOIN {code_table_sql('road_type')} rt ON r.road_type = rt.code
+GROUP BY rt.label ORDER BY total_length_m DESC"""
+
+
+LENGTH_SPHEROID = _vincenty_sql()
+
 ORACLES: dict[str, str] = {
+    "bbox_overlap": BBOX_OVERLAP,
+    "covering_candidates": COVERING_CANDIDATES,
+    "bbox_intersects": BBOX_INTERSECTS,
+    "bbox_intersects_vertices": BBOX_INTERSECTS_VERTICES,
+    "bbox_layout_read": BBOX_LAYOUT_READ,
+    "hilbert_cell": HILBERT_CELL,
+    "total_bounds": TOTAL_BOUNDS,
+    "cross_mesh_duplicates": CROSS_MESH_DUPLICATES,
+    "invalid_by_mesh": INVALID_BY_MESH,
+    "point_on_line": POINT_ON_LINE,
+    "point_accessors": POINT_ACCESSORS,
+    "flip": FLIP,
+    "wkt_roundtrip": WKT_ROUNDTRIP,
+    "length_spheroid": LENGTH_SPHEROID,
     "length_by_type": LENGTH_BY_TYPE,
     "count_by_type": COUNT_BY_TYPE,
     "rank_in_mesh": RANK_IN_MESH,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import fixtures as fx
 from . import analysis as an
+from . import geometry as ge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,4 +24,18 @@ QUERIES: dict[str, Query] = {
     "class_share": lambda s, d: an.class_share(s, _roads(s, d)),
     "width_cumulative": lambda s, d: an.width_cumulative(s, _roads(s, d)),
     "length_by_type_vertices": lambda s, d: an.length_by_type_vertices(_roads(s, d)),
+    "length_spheroid": lambda s, d: an.length_spheroid_by_type(s, _roads(s, d)),
+    "bbox_overlap": ge.bbox_overlap,
+    "covering_candidates": ge.covering_candidates,
+    "bbox_intersects": ge.bbox_intersects,
+    "bbox_intersects_vertices": ge.bbox_intersects_vertices,
+    "bbox_layout_read": ge.bbox_layout_read,
+    "hilbert_cell": ge.hilbert_cell,
+    "total_bounds": ge.total_bounds,
+    "cross_mesh_duplicates": ge.cross_mesh_duplicates,
+    "invalid_by_mesh": ge.invalid_by_mesh,
+    "point_on_line": ge.point_on_line,
+    "point_accessors": ge.point_accessors,
+    "flip": ge.flip,
+    "wkt_roundtrip": ge.wkt_roundtrip,
 }
