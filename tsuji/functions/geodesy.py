@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .geom import _c, segments
@@ -108,3 +108,73 @@ def length_spheroid(line) -> Column:
 
 def degrees_per_metre_lat() -> float:
     return 180.0 / (math.pi * MEAN_RADIUS_M)
+
+
+# --------------------------------------------------------------------------- row form (hot path)
+# Higher-order functions are interpreted; the forms below explode segments into rows and compute
+# with plain column expressions, which whole-stage codegen compiles. Each Vincenty pass is its own
+# projection so no expression tree is duplicated.
+
+def segment_rows(df: DataFrame, line: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per segment: ``keep`` columns, ``seg_pos`` (0-based, null for a line without
+    segments, which still yields one row) and ``lon1, lat1, lon2, lat2``."""
+    return (df.select(*keep, F.posexplode_outer(segments(line)).alias("seg_pos", "_s"))
+            .select(*keep, "seg_pos", F.col("_s.a.x").alias("lon1"), F.col("_s.a.y").alias("lat1"),
+                    F.col("_s.b.x").alias("lon2"), F.col("_s.b.y").alias("lat2")))
+
+
+def is_first_segment() -> Column:
+    """True once per line in ``segment_rows`` output (counts lines, including segment-less ones)."""
+    return F.coalesce(F.col("seg_pos"), F.lit(0)) == 0
+
+
+def with_sphere_length(seg: DataFrame, out: str = "seg_len", radius: float = MEAN_RADIUS_M) -> DataFrame:
+    return seg.withColumn(out, haversine("lon1", "lat1", "lon2", "lat2", radius))
+
+
+def with_spheroid_length(seg: DataFrame, out: str = "seg_len", a: float = WGS84_A, f: float = WGS84_F,
+                         iterations: int = VINCENTY_ITERATIONS) -> DataFrame:
+    """Vincenty inverse on segment rows, one projection per pass (same arithmetic as ``vincenty``)."""
+    b = (1 - f) * a
+    col = F.col
+    cols = list(seg.columns)
+    df = seg.select(*cols,
+                    (F.radians(col("lon2")) - F.radians(col("lon1"))).alias("_L"),
+                    F.atan((1 - f) * F.tan(F.radians(col("lat1")))).alias("_U1"),
+                    F.atan((1 - f) * F.tan(F.radians(col("lat2")))).alias("_U2"))
+    df = df.select(*cols, "_L", F.sin("_U1").alias("_s1"), F.cos("_U1").alias("_c1"),
+                   F.sin("_U2").alias("_s2"), F.cos("_U2").alias("_c2"), col("_L").alias("_lam"))
+    keep = [*cols, "_L", "_s1", "_c1", "_s2", "_c2"]
+
+    def state(d):
+        d = d.select(*keep, "_lam", F.sin("_lam").alias("_sl"), F.cos("_lam").alias("_cl"))
+        d = d.select(*keep, "_lam", "_sl",
+                     F.sqrt(F.pow(col("_c2") * col("_sl"), 2)
+                            + F.pow(col("_c1") * col("_s2") - col("_s1") * col("_c2") * col("_cl"), 2)).alias("_ss"),
+                     (col("_s1") * col("_s2") + col("_c1") * col("_c2") * col("_cl")).alias("_cs"))
+        d = d.select(*keep, "_lam", "_ss", "_cs", F.atan2("_ss", "_cs").alias("_sig"),
+                     F.when(col("_ss") == 0, F.lit(0.0)).otherwise(
+                         col("_c1") * col("_c2") * col("_sl") / col("_ss")).alias("_sa"))
+        d = d.select(*keep, "_lam", "_ss", "_cs", "_sig", "_sa", (1 - col("_sa") * col("_sa")).alias("_c2a"))
+        return d.select(*keep, "_lam", "_ss", "_cs", "_sig", "_sa", "_c2a",
+                        F.when(col("_c2a") == 0, F.lit(0.0)).otherwise(
+                            col("_cs") - 2 * col("_s1") * col("_s2") / col("_c2a")).alias("_c2sm"))
+
+    df = state(df)
+    for _ in range(iterations):
+        d = df.select(*keep, "_ss", "_cs", "_sig", "_sa", "_c2a", "_c2sm",
+                      (F.lit(f / 16) * col("_c2a") * (4 + F.lit(f) * (4 - 3 * col("_c2a")))).alias("_C"))
+        d = d.select(*keep, (col("_L") + (1 - col("_C")) * F.lit(f) * col("_sa") * (
+            col("_sig") + col("_C") * col("_ss") * (col("_c2sm") + col("_C") * col("_cs") * (
+                -1 + 2 * col("_c2sm") * col("_c2sm"))))).alias("_lam"))
+        df = state(d)
+    d = df.select(*cols, "_ss", "_cs", "_sig", "_c2sm",
+                  (col("_c2a") * F.lit((a * a - b * b) / (b * b))).alias("_u2"))
+    d = d.select(*cols, "_ss", "_cs", "_sig", "_c2sm",
+                 (1 + col("_u2") / 16384 * (4096 + col("_u2") * (-768 + col("_u2") * (320 - 175 * col("_u2"))))).alias("_A"),
+                 (col("_u2") / 1024 * (256 + col("_u2") * (-128 + col("_u2") * (74 - 47 * col("_u2"))))).alias("_B"))
+    ss, cs, c2sm, B = col("_ss"), col("_cs"), col("_c2sm"), col("_B")
+    dsig = B * ss * (c2sm + B / 4 * (cs * (-1 + 2 * c2sm * c2sm)
+                                     - B / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
+    same = (col("lon1") == col("lon2")) & (col("lat1") == col("lat2"))
+    return d.select(*cols, F.when(same, F.lit(0.0)).otherwise(F.lit(b) * col("_A") * (col("_sig") - dsig)).alias(out))

@@ -15,18 +15,28 @@ from ..operators.codes import decode
 
 
 def with_length(roads: DataFrame, spheroid: bool = False, out: str = "len_m") -> DataFrame:
-    """Attach the geodesic length of ``line`` (sphere by default, WGS 84 spheroid on request)."""
+    """Attach the geodesic length of ``line`` per row (higher-order-function form; for small sets)."""
     f = geodesy.length_spheroid if spheroid else geodesy.length_sphere
     return roads.withColumn(out, f("line"))
 
 
+def lengths_by(roads: DataFrame, keys: tuple[str, ...], spheroid: bool = False) -> DataFrame:
+    """Per group of ``keys``: number of lines ``n`` and unrounded total length ``total`` in metres.
+
+    Segments are exploded to rows and measured with codegen'd column arithmetic inside the scan
+    stage; the partial aggregate then leaves one row per group and task before the only shuffle.
+    """
+    seg = geodesy.segment_rows(roads.select(*keys, "line"), keep=keys)
+    seg = geodesy.with_spheroid_length(seg) if spheroid else geodesy.with_sphere_length(seg)
+    return seg.groupBy(*keys).agg(F.count_if(geodesy.is_first_segment()).alias("n"),
+                                  F.sum("seg_len").alias("total"))
+
+
 def length_by_type(spark: SparkSession, roads: DataFrame, spheroid: bool = False) -> DataFrame:
     """Total length per road-type label (sphere unless ``spheroid``), longest first."""
-    r = with_length(roads.select("road_type", "line"), spheroid).drop("line")
-    agg = (decode(r, spark, "road_type", "road_type_label")
-           .groupBy("road_type_label").agg(F.sum("len_m").alias("total")))
-    return (agg.select(F.col("road_type_label").alias("road_type"),
-                       F.round("total", 1).alias("total_length_m"))
+    agg = decode(lengths_by(roads, ("road_type",), spheroid), spark, "road_type", "road_type_label")
+    return (agg.groupBy("road_type_label").agg(F.sum("total").alias("total"))
+            .select(F.col("road_type_label").alias("road_type"), F.round("total", 1).alias("total_length_m"))
             .orderBy(F.desc("total_length_m")))
 
 
@@ -45,10 +55,9 @@ def rank_in_mesh(spark: SparkSession, roads: DataFrame) -> DataFrame:
 
     ``RANK() OVER (PARTITION BY mesh ORDER BY total DESC)`` with SQL's DESC-puts-nulls-first rule.
     """
-    r = with_length(roads.select("source_mesh", "road_type", "line")).drop("line")
-    agg = (decode(r, spark, "road_type", "road_type_label")
+    agg = (decode(lengths_by(roads, ("source_mesh", "road_type")), spark, "road_type", "road_type_label")
            .groupBy("source_mesh", "road_type_label")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("len_m").alias("total")))
+           .agg(F.sum("n").alias("n"), F.sum("total").alias("total")))
     w = Window.partitionBy("source_mesh").orderBy(F.desc_nulls_first("total"))
     return (agg.select("source_mesh", "road_type_label", "n",
                        F.round("total", 1).alias("total_len_m"),
@@ -61,10 +70,8 @@ def class_share(spark: SparkSession, roads: DataFrame) -> DataFrame:
 
     ``sum() OVER ()`` runs on the aggregated rows (one per class), so its single partition is tiny.
     """
-    r = with_length(roads.select("road_classification", "line")).drop("line")
-    agg = (decode(r, spark, "road_classification", "road_class_label")
-           .groupBy("road_class_label")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("len_m").alias("total")))
+    agg = (decode(lengths_by(roads, ("road_classification",)), spark, "road_classification", "road_class_label")
+           .groupBy("road_class_label").agg(F.sum("n").alias("n"), F.sum("total").alias("total")))
     w = Window.partitionBy()
     return (agg.select(
         "road_class_label", "n",
@@ -76,10 +83,10 @@ def class_share(spark: SparkSession, roads: DataFrame) -> DataFrame:
 
 def width_cumulative(spark: SparkSession, roads: DataFrame) -> DataFrame:
     """Per mesh: length per width class and the running total ordered by width *code*."""
-    r = with_length(roads.select("source_mesh", "width_category", "line")).drop("line")
-    agg = (decode(r, spark, "width_category", "width_label", keep_code=True)
+    agg = (decode(lengths_by(roads, ("source_mesh", "width_category")), spark, "width_category", "width_label",
+                  keep_code=True)
            .groupBy("source_mesh", F.col("width_category").alias("width_code"), "width_label")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("len_m").alias("total")))
+           .agg(F.sum("n").alias("n"), F.sum("total").alias("total")))
     # default frame with ORDER BY = RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
     w = Window.partitionBy("source_mesh").orderBy("width_code")
     return (agg.select("source_mesh", "width_code", "width_label", "n",
