@@ -160,15 +160,42 @@ _CENT = """cent AS (
     lambda a, s: CASE WHEN s.l <> 0 THEN {'len': a.len + s.l, 'sx': a.sx + s.l * s.mx, 'sy': a.sy + s.l * s.my} ELSE a END,
     {'len': 0::DOUBLE, 'sx': 0::DOUBLE, 'sy': 0::DOUBLE}) c
   FROM segs GROUP BY fid)"""
-POINT_ON_LINE = with_(ROADS, VERTS, SEGS, _CENT, """nv AS (SELECT fid, max(i) last FROM verts GROUP BY fid)""",
-                      """cand AS (
+NV = "nv AS (SELECT fid, max(i) last FROM verts GROUP BY fid)"
+CAND = """cand AS (
   SELECT v.fid, v.i, v.x, v.y,
     sqrt((v.x - CASE WHEN c.c.len > 0 THEN c.c.sx / c.c.len ELSE f.x END) * (v.x - CASE WHEN c.c.len > 0 THEN c.c.sx / c.c.len ELSE f.x END)
        + (v.y - CASE WHEN c.c.len > 0 THEN c.c.sy / c.c.len ELSE f.y END) * (v.y - CASE WHEN c.c.len > 0 THEN c.c.sy / c.c.len ELSE f.y END)) d
   FROM verts v JOIN nv ON v.fid = nv.fid JOIN cent c ON v.fid = c.fid JOIN verts f ON f.fid = v.fid AND f.i = 0
-  WHERE (nv.last >= 2 AND v.i > 0 AND v.i < nv.last) OR (nv.last < 2))""") + """
-SELECT fid, x AS px, y AS py FROM (
-  SELECT fid, x, y, row_number() OVER (PARTITION BY fid ORDER BY d, i) rn FROM cand) WHERE rn = 1"""
+  WHERE (nv.last >= 2 AND v.i > 0 AND v.i < nv.last) OR (nv.last < 2))"""
+PTS = """pts AS (
+  SELECT fid, x AS px, y AS py FROM (
+    SELECT fid, x, y, row_number() OVER (PARTITION BY fid ORDER BY d, i) rn FROM cand) WHERE rn = 1)"""
+
+POINT_ON_LINE = with_(ROADS, VERTS, SEGS, _CENT, NV, CAND, PTS) + "SELECT fid, px, py FROM pts"
+
+# admin cells hold the point strictly inside the shell and outside the closed hole
+MATCH = """m AS (
+  SELECT p.fid, a.admin_code, left(a.admin_code, 2) pref_code FROM pts p JOIN admin a
+    ON p.px > a.x0 AND p.px < a.x0 + 0.2 AND p.py > a.y0 AND p.py < a.y0 + 0.2
+   AND NOT (a.has_hole AND p.px BETWEEN a.x0 + 0.075 AND a.x0 + 0.125 AND p.py BETWEEN a.y0 + 0.075 AND a.y0 + 0.125))"""
+_M = (ROADS, VERTS, SEGS, _CENT, NV, CAND, PTS, ADMIN, MATCH)
+PART = "CASE WHEN pref_code IN ('11','12','13','14') THEN pref_code ELSE 'default' END"
+
+ADMIN_LOAD = with_(ADMIN) + """
+SELECT row_number() OVER (ORDER BY admin_code) AS gid, admin_code, pref_name, city_name,
+  1 AS n_polygons, CASE WHEN has_hole THEN 2 ELSE 1 END AS n_rings FROM admin"""
+
+PREF_JOIN = with_(*_M) + "SELECT fid, admin_code, pref_code FROM m"
+
+PREF_UNMATCHED = with_(*_M) + "SELECT fid FROM roads WHERE fid NOT IN (SELECT fid FROM m)"
+
+PARTITION_COUNTS = with_(*_M) + f"SELECT {PART} AS part, count(*) AS n FROM m GROUP BY 1"
+
+PARTITION_FILTER = with_(*_M, f"mp AS (SELECT *, {PART} part FROM m)") + (
+    "SELECT 'pref_code = ''13''' AS probe, count(*) AS n_rows, count(DISTINCT part) AS n_parts FROM mp"
+    " WHERE pref_code = '13'\nUNION ALL\n"
+    "SELECT 'pref_code IN (''13'',''14'')', count(*), count(DISTINCT part) FROM mp WHERE pref_code IN ('13', '14')"
+    "\nUNION ALL\nSELECT 'no filter', count(*), count(DISTINCT part) FROM mp")
 
 POINT_ACCESSORS = with_(ROADS, VERTS, "nv AS (SELECT fid, max(i) last, count(*) n FROM verts GROUP BY fid)") + """
 SELECT nv.fid, nv.n::INTEGER AS npts, a.x AS x2, a.y AS y2, b.x AS xn, b.y AS yn
@@ -231,6 +258,11 @@ GROUP BY rt.label ORDER BY total_length_m DESC"""
 LENGTH_SPHEROID = _vincenty_sql()
 
 ORACLES: dict[str, str] = {
+    "admin_load": ADMIN_LOAD,
+    "pref_join": PREF_JOIN,
+    "pref_unmatched": PREF_UNMATCHED,
+    "partition_counts": PARTITION_COUNTS,
+    "partition_filter": PARTITION_FILTER,
     "bbox_overlap": BBOX_OVERLAP,
     "covering_candidates": COVERING_CANDIDATES,
     "bbox_intersects": BBOX_INTERSECTS,

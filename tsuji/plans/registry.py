@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import fixtures as fx
 from . import analysis as an
+from . import enrich as en
 from . import geometry as ge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,4 +39,10 @@ QUERIES: dict[str, Query] = {
     "point_accessors": ge.point_accessors,
     "flip": ge.flip,
     "wkt_roundtrip": ge.wkt_roundtrip,
+    "admin_load": en.admin_load,
+    "pref_join": en.pref_join,
+    "pref_unmatched": en.pref_unmatched,
+    "partition_counts": en.partition_counts,
+    "partition_filter": en.partition_filter,
+    "partitions_touched": en.partitions_touched,
 }
