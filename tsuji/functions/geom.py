@@ -203,6 +203,43 @@ def point_on_line(line) -> Column:
     return F.when(n == 0, F.lit(None).cast(POINT)).otherwise(nearest(F.when(n > 2, interior).otherwise(ends)))
 
 
+def line_centroid(line) -> Column:
+    """Length-weighted centroid ``struct<x, y>`` of a line (first vertex when the length is 0)."""
+    ln = _c(line)
+    zero = F.lit(0.0)
+
+    def add_seg(acc, s):
+        dx = s["b"]["x"] - s["a"]["x"]
+        dy = s["b"]["y"] - s["a"]["y"]
+        seg = F.sqrt(dx * dx + dy * dy)
+        keep = seg != 0
+        return F.struct(F.when(keep, acc["len"] + seg).otherwise(acc["len"]).alias("len"),
+                        F.when(keep, acc["sx"] + seg * ((s["a"]["x"] + s["b"]["x"]) / 2)).otherwise(acc["sx"]).alias("sx"),
+                        F.when(keep, acc["sy"] + seg * ((s["a"]["y"] + s["b"]["y"]) / 2)).otherwise(acc["sy"]).alias("sy"))
+
+    return F.aggregate(segments(ln), F.struct(zero.alias("len"), zero.alias("sx"), zero.alias("sy")), add_seg,
+                       lambda t: F.struct(F.when(t["len"] > 0, t["sx"] / t["len"]).otherwise(ln[0]["x"]).alias("x"),
+                                          F.when(t["len"] > 0, t["sy"] / t["len"]).otherwise(ln[0]["y"]).alias("y")))
+
+
+def nearest_vertex(line, centroid) -> Column:
+    """Interior vertex nearest to ``centroid`` (first on ties), else the nearer endpoint.
+    ``centroid`` should be a column reference (it is read once per vertex)."""
+    ln, c = _c(line), _c(centroid)
+    n = F.size(ln)
+    cands = F.when(n > 2, F.slice(ln, 2, F.greatest(n - 2, F.lit(1)))).otherwise(F.array(ln[0], F.element_at(ln, -1)))
+    d = F.transform(cands, lambda p: F.sqrt((p["x"] - c["x"]) * (p["x"] - c["x"]) + (p["y"] - c["y"]) * (p["y"] - c["y"])))
+    return F.when(n == 0, F.lit(None).cast(POINT)).otherwise(F.element_at(cands, F.array_position(d, F.array_min(d)).cast("int")))
+
+
+def with_point_on_line(df, line: str = "line", out: str = "pt"):
+    """DataFrame form of ``point_on_line``: centroid and vertex choice as separate projections so
+    neither is evaluated more than once per row."""
+    cols = [c for c in df.columns]
+    step = df.select(*cols, line_centroid(line).alias("_centroid"))
+    return step.select(*cols, nearest_vertex(line, "_centroid").alias(out))
+
+
 # --------------------------------------------------------------------------- coordinate ops
 def flip(line) -> Column:
     """ST_FlipCoordinates."""

@@ -48,7 +48,9 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, *, px: str = "px", p
     cell = cell or default_cell_size(polys, mpoly)
     c = F.lit(float(cell))
     cells = polygon_cells(polys, cell, key, mpoly)
-    pts = points.withColumn("cx", F.floor(F.col(px) / c)).withColumn("cy", F.floor(F.col(py) / c))
+    # non-nullable cell keys: no inferred IS NOT NULL filter that would re-evaluate the point expression
+    pts = (points.withColumn("cx", F.coalesce(F.floor(F.col(px) / c), F.lit(-(2 ** 62))))
+           .withColumn("cy", F.coalesce(F.floor(F.col(py) / c), F.lit(-(2 ** 62)))))
     cand = pts.join(cells, ["cx", "cy"]).drop("cx", "cy")
     exact = cand.join(polys, key).where(geom.contains_point(mpoly, px, py))
     return exact.drop(mpoly)
@@ -56,8 +58,8 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, *, px: str = "px", p
 
 def roads_with_point(roads: DataFrame, line: str = "line", keep: tuple[str, ...] = ("fid",)) -> DataFrame:
     """Representative point of each road (ST_PointOnSurface)."""
-    p = geom.point_on_line(line)
-    return roads.select(*keep, p["x"].alias("px"), p["y"].alias("py"))
+    p = geom.with_point_on_line(roads.select(*keep, line), line, "_pt")
+    return p.select(*keep, F.col("_pt.x").alias("px"), F.col("_pt.y").alias("py"))
 
 
 def assign_pref(roads: DataFrame, admin: DataFrame, cell: float | None = None) -> DataFrame:

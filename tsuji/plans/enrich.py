@@ -16,11 +16,18 @@ from ..sources import fixtures as fx
 # The prefecture codes that get their own partition; the rest go to DEFAULT.
 LISTED_PREFS = ("11", "12", "13", "14")
 
-_cache: dict[tuple[str, str], str] = {}
+_cache: dict[tuple, str] = {}
 
 
 def admin_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adm.load_admin(fx.admin_source(spark, sf_dir))
+    """``admin_area`` loaded once per session (truncate + restart identity = overwrite) and read back."""
+    key = ("admin", spark.sparkContext.applicationId, sf_dir)
+    path = _cache.get(key)
+    if path is None or (path.startswith("/") and not os.path.exists(path)):
+        path = scratch_path(spark, "admin_area")
+        adm.load_admin(fx.admin_source(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        _cache[key] = path
+    return spark.read.parquet(path)
 
 
 def roads_pref(spark: SparkSession, sf_dir: str) -> DataFrame:

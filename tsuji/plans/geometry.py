@@ -94,8 +94,8 @@ def invalid_by_mesh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def point_on_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST_PointOnSurface of every road."""
-    p = geom.point_on_line("line")
-    return fx.roads(spark, sf_dir).select("fid", p["x"].alias("px"), p["y"].alias("py"))
+    p = geom.with_point_on_line(fx.roads(spark, sf_dir).select("fid", "line"), "line", "pt")
+    return p.select("fid", F.col("pt.x").alias("px"), F.col("pt.y").alias("py"))
 
 
 def point_accessors(spark: SparkSession, sf_dir: str) -> DataFrame:
