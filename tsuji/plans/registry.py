@@ -10,6 +10,7 @@ from ..sources import fixtures as fx
 from . import analysis as an
 from . import enrich as en
 from . import geometry as ge
+from . import logs as lg
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,4 +46,7 @@ QUERIES: dict[str, Query] = {
     "partition_counts": en.partition_counts,
     "partition_filter": en.partition_filter,
     "partitions_touched": en.partitions_touched,
+    "http_parse": lg.http_parse,
+    "transfer_summary": lg.transfer_summary,
+    "fetch_worklist": lg.fetch_worklist,
 }
