@@ -11,6 +11,7 @@ from . import analysis as an
 from . import enrich as en
 from . import geometry as ge
 from . import logs as lg
+from . import warehouse as wh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,4 +50,10 @@ QUERIES: dict[str, Query] = {
     "http_parse": lg.http_parse,
     "transfer_summary": lg.transfer_summary,
     "fetch_worklist": lg.fetch_worklist,
+    "normalize": wh.normalize,
+    "stage_transform": wh.stage_transform,
+    "constraint_violations": wh.constraint_violations,
+    "code_upsert": wh.code_upsert,
+    "merge_parts": wh.merge_parts,
+    "surrogate_ids": wh.surrogate_ids,
 }

@@ -40,15 +40,23 @@ def write_list_partitioned(df: DataFrame, path: str, key: str, values: Sequence[
 
 def read_list_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read the table with ``part`` kept as a string (no '01' -> 1 type inference)."""
-    r = spark.read
     if schema is not None:
         if PART_COL not in schema.fieldNames():
             schema = T.StructType(schema.fields + [T.StructField(PART_COL, T.StringType())])
-        r = r.schema(schema)
-    else:
-        r = r.option("basePath", path)
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return r.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+    return read_partitions_as_text(spark, path, base_path=path)
+
+
+def read_partitions_as_text(spark: SparkSession, *paths: str, base_path: str | None = None) -> DataFrame:
+    """Read partitioned parquet keeping partition values as strings ('3622', '01' stay text)."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    old = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        r = spark.read.option("basePath", base_path) if base_path else spark.read
+        return r.parquet(*paths)
+    finally:
+        spark.conf.set(key, old)
 
 
 def key_filter(df: DataFrame, key: str, values: Sequence[str], listed: Sequence[str]) -> DataFrame:
