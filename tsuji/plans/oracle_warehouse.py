@@ -40,7 +40,14 @@ MERGE_PARTS = with_(ROADS) + "SELECT source_mesh, count(*) AS n FROM roads GROUP
 
 SURROGATE_IDS = with_(ROADS) + "SELECT fid, row_number() OVER (ORDER BY source_mesh, fid) AS id FROM roads"
 
+GEOJSON_INGEST = with_(ROADS) + """
+SELECT source_mesh, count(*) AS n, 6668 AS srid_min, 6668 AS srid_max FROM roads GROUP BY source_mesh"""
+
+WKB_ROUNDTRIP = with_(ROADS) + "SELECT fid, 9 + 16 * (2 + k % 4)::INTEGER AS nbytes, true AS same FROM roads"
+
 ORACLES = {
+    "geojson_ingest": GEOJSON_INGEST,
+    "wkb_roundtrip": WKB_ROUNDTRIP,
     "normalize": NORMALIZE,
     "stage_transform": STAGE_TRANSFORM,
     "constraint_violations": CONSTRAINT_VIOLATIONS,

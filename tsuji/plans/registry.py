@@ -11,6 +11,7 @@ from . import analysis as an
 from . import enrich as en
 from . import geometry as ge
 from . import logs as lg
+from . import ingest as ig
 from . import warehouse as wh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,4 +57,6 @@ QUERIES: dict[str, Query] = {
     "code_upsert": wh.code_upsert,
     "merge_parts": wh.merge_parts,
     "surrogate_ids": wh.surrogate_ids,
+    "geojson_ingest": ig.geojson_ingest,
+    "wkb_roundtrip": ig.wkb_roundtrip,
 }
