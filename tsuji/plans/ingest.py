@@ -36,3 +36,15 @@ def wkb_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     enc = r.select("fid", "line", wkb.to_wkb("line").alias("wkb"))
     dec = enc.select("fid", F.length("wkb").alias("nbytes"), (wkb.from_wkb("wkb") == F.col("line")).alias("same"))
     return dec
+
+
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives landing in a folder ingested by a file-source stream (AvailableNow), counted per mesh."""
+    from ..sinks.partitioned import read_partitions_as_text
+    from ..streaming.ingest import incremental_ingest as run
+
+    root = scratch_path(spark, "stream")
+    write_archives(spark, sf_dir, f"{root}/landing")
+    run(spark, f"{root}/landing", f"{root}/table", f"{root}/_checkpoint")
+    table = read_partitions_as_text(spark, f"{root}/table")
+    return table.groupBy("source_mesh").agg(F.count(F.lit(1)).alias("n"))

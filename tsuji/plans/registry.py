@@ -12,6 +12,7 @@ from . import enrich as en
 from . import geometry as ge
 from . import logs as lg
 from . import ingest as ig
+from . import reports as rp
 from . import warehouse as wh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,4 +60,6 @@ QUERIES: dict[str, Query] = {
     "surrogate_ids": wh.surrogate_ids,
     "geojson_ingest": ig.geojson_ingest,
     "wkb_roundtrip": ig.wkb_roundtrip,
+    "incremental_ingest": ig.incremental_ingest,
+    "scan_cost": rp.scan_cost_report,
 }
