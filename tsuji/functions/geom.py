@@ -40,12 +40,12 @@ def point_n(line, i) -> Column:
 
 
 def segments(line) -> Column:
-    """Array of ``struct<a: point, b: point>`` for consecutive vertex pairs (W4 without a shuffle)."""
+    """Array of ``struct<a: point, b: point>`` for consecutive vertex pairs (W4 without a shuffle).
+
+    Built from ``slice`` + ``arrays_zip``, which whole-stage codegen compiles (no lambda)."""
     ln = _c(line)
-    n = F.size(ln)
-    return F.when(n >= 2, F.zip_with(F.slice(ln, 1, n - 1), F.slice(ln, 2, n - 1),
-                                     lambda a, b: F.struct(a.alias("a"), b.alias("b")))).otherwise(
-        F.array().cast(T.ArrayType(T.StructType([T.StructField("a", POINT), T.StructField("b", POINT)]))))
+    k = F.greatest(F.size(ln) - 1, F.lit(0))
+    return F.arrays_zip(F.slice(ln, 1, k).alias("a"), F.slice(ln, 2, k).alias("b"))
 
 
 # --------------------------------------------------------------------------- bounds

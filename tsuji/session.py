@@ -58,3 +58,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for a written intermediate table."""
     return f"{ensure_checkpoint_dir(spark)}/tsuji/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_materialized: dict[tuple, str] = {}
+
+
+def materialized(spark: SparkSession, name: str, key: tuple, build) -> str:
+    """Path of a table written once per application below the shared checkpoint folder.
+
+    ``build()`` returns the DataFrame to write. Used for prepared inputs (the merged roads table,
+    the loaded admin areas, the sorted layout) that many queries read, so lineage is cut by a
+    written table instead of recomputing it in every query.
+    """
+    k = (spark.sparkContext.applicationId, name, key)
+    path = _materialized.get(k)
+    if path is None or (path.startswith("/") and not os.path.exists(path)):
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _materialized[k] = path
+    return path
