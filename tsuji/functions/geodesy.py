@@ -134,47 +134,46 @@ def with_sphere_length(seg: DataFrame, out: str = "seg_len", radius: float = MEA
 
 def with_spheroid_length(seg: DataFrame, out: str = "seg_len", a: float = WGS84_A, f: float = WGS84_F,
                          iterations: int = VINCENTY_ITERATIONS) -> DataFrame:
-    """Vincenty inverse on segment rows, one projection per pass (same arithmetic as ``vincenty``)."""
+    """Vincenty inverse on segment rows (same arithmetic as ``vincenty``).
+
+    One projection per iteration carrying only the five per-segment constants and lambda;
+    repeated subexpressions inside a projection (sin/cos of lambda, sigma) are evaluated once by
+    Catalyst's subexpression elimination, and the generated code stays small enough for the JIT.
+    """
     b = (1 - f) * a
     col = F.col
-    cols = list(seg.columns)
-    df = seg.select(*cols,
+    keep = [c for c in seg.columns if c not in ("lon1", "lat1", "lon2", "lat2")]
+    u1 = F.atan((1 - f) * F.tan(F.radians(col("lat1"))))
+    u2 = F.atan((1 - f) * F.tan(F.radians(col("lat2"))))
+    df = seg.select(*keep,
+                    ((col("lon1") == col("lon2")) & (col("lat1") == col("lat2"))).alias("_same"),
                     (F.radians(col("lon2")) - F.radians(col("lon1"))).alias("_L"),
-                    F.atan((1 - f) * F.tan(F.radians(col("lat1")))).alias("_U1"),
-                    F.atan((1 - f) * F.tan(F.radians(col("lat2")))).alias("_U2"))
-    df = df.select(*cols, "_L", F.sin("_U1").alias("_s1"), F.cos("_U1").alias("_c1"),
-                   F.sin("_U2").alias("_s2"), F.cos("_U2").alias("_c2"), col("_L").alias("_lam"))
-    keep = [*cols, "_L", "_s1", "_c1", "_s2", "_c2"]
-
-    def state(d):
-        d = d.select(*keep, "_lam", F.sin("_lam").alias("_sl"), F.cos("_lam").alias("_cl"))
-        d = d.select(*keep, "_lam", "_sl",
-                     F.sqrt(F.pow(col("_c2") * col("_sl"), 2)
-                            + F.pow(col("_c1") * col("_s2") - col("_s1") * col("_c2") * col("_cl"), 2)).alias("_ss"),
-                     (col("_s1") * col("_s2") + col("_c1") * col("_c2") * col("_cl")).alias("_cs"))
-        d = d.select(*keep, "_lam", "_ss", "_cs", F.atan2("_ss", "_cs").alias("_sig"),
-                     F.when(col("_ss") == 0, F.lit(0.0)).otherwise(
-                         col("_c1") * col("_c2") * col("_sl") / col("_ss")).alias("_sa"))
-        d = d.select(*keep, "_lam", "_ss", "_cs", "_sig", "_sa", (1 - col("_sa") * col("_sa")).alias("_c2a"))
-        return d.select(*keep, "_lam", "_ss", "_cs", "_sig", "_sa", "_c2a",
-                        F.when(col("_c2a") == 0, F.lit(0.0)).otherwise(
-                            col("_cs") - 2 * col("_s1") * col("_s2") / col("_c2a")).alias("_c2sm"))
-
-    df = state(df)
+                    F.sin(u1).alias("_s1"), F.cos(u1).alias("_c1"), F.sin(u2).alias("_s2"), F.cos(u2).alias("_c2"))
+    consts = ["_same", "_L", "_s1", "_c1", "_s2", "_c2"]
+    s1, c1, s2, c2, L = col("_s1"), col("_c1"), col("_s2"), col("_c2"), col("_L")
+
+    def state(lam):
+        sl, cl = F.sin(lam), F.cos(lam)
+        ss = F.sqrt(F.pow(c2 * sl, 2) + F.pow(c1 * s2 - s1 * c2 * cl, 2))
+        cs = s1 * s2 + c1 * c2 * cl
+        sa = F.when(ss == 0, F.lit(0.0)).otherwise(c1 * c2 * sl / ss)
+        c2a = 1 - sa * sa
+        c2sm = F.when(c2a == 0, F.lit(0.0)).otherwise(cs - 2 * s1 * s2 / c2a)
+        return ss, cs, F.atan2(ss, cs), sa, c2a, c2sm
+
+    lam = L
+    df = df.select(*keep, *consts, lam.alias("_lam"))
     for _ in range(iterations):
-        d = df.select(*keep, "_ss", "_cs", "_sig", "_sa", "_c2a", "_c2sm",
-                      (F.lit(f / 16) * col("_c2a") * (4 + F.lit(f) * (4 - 3 * col("_c2a")))).alias("_C"))
-        d = d.select(*keep, (col("_L") + (1 - col("_C")) * F.lit(f) * col("_sa") * (
-            col("_sig") + col("_C") * col("_ss") * (col("_c2sm") + col("_C") * col("_cs") * (
-                -1 + 2 * col("_c2sm") * col("_c2sm"))))).alias("_lam"))
-        df = state(d)
-    d = df.select(*cols, "_ss", "_cs", "_sig", "_c2sm",
-                  (col("_c2a") * F.lit((a * a - b * b) / (b * b))).alias("_u2"))
-    d = d.select(*cols, "_ss", "_cs", "_sig", "_c2sm",
-                 (1 + col("_u2") / 16384 * (4096 + col("_u2") * (-768 + col("_u2") * (320 - 175 * col("_u2"))))).alias("_A"),
-                 (col("_u2") / 1024 * (256 + col("_u2") * (-128 + col("_u2") * (74 - 47 * col("_u2"))))).alias("_B"))
-    ss, cs, c2sm, B = col("_ss"), col("_cs"), col("_c2sm"), col("_B")
+        ss, cs, sig, sa, c2a, c2sm = state(col("_lam"))
+        C = F.lit(f / 16) * c2a * (4 + F.lit(f) * (4 - 3 * c2a))
+        nxt = L + (1 - C) * F.lit(f) * sa * (sig + C * ss * (c2sm + C * cs * (-1 + 2 * c2sm * c2sm)))
+        df = df.select(*keep, *consts, nxt.alias("_lam"))
+    ss, cs, sig, sa, c2a, c2sm = state(col("_lam"))
+    df = df.select(*keep, "_same", ss.alias("_ss"), cs.alias("_cs"), sig.alias("_sig"),
+                   c2sm.alias("_c2sm"), (c2a * F.lit((a * a - b * b) / (b * b))).alias("_u2"))
+    u2, ss, cs, c2sm = col("_u2"), col("_ss"), col("_cs"), col("_c2sm")
+    A = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
+    B = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
     dsig = B * ss * (c2sm + B / 4 * (cs * (-1 + 2 * c2sm * c2sm)
                                      - B / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
-    same = (col("lon1") == col("lon2")) & (col("lat1") == col("lat2"))
-    return d.select(*cols, F.when(same, F.lit(0.0)).otherwise(F.lit(b) * col("_A") * (col("_sig") - dsig)).alias(out))
+    return df.select(*keep, F.when(col("_same"), F.lit(0.0)).otherwise(F.lit(b) * A * (col("_sig") - dsig)).alias(out))

@@ -28,8 +28,7 @@ def hilbert_order(df: DataFrame, line: str = "line", bbox: str = "bbox", out: st
     t = search.total_bounds_row(df, bbox)
     if t is None or t["n"] == 0:
         return df.withColumn(out, F.lit(None).cast("long"))
-    total = geom.envelope(t["xmin"], t["ymin"], t["xmax"], t["ymax"])
-    return df.withColumn(out, geom.hilbert_distance(bbox, total))
+    return geom.with_hilbert(df, bbox, (t["xmin"], t["ymin"], t["xmax"], t["ymax"]), out)
 
 
 def write_covering_layout(df: DataFrame, path: str, *, line: str = "line", key: str = "fid",
