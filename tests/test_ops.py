@@ -207,3 +207,21 @@ def test_archive_roundtrip_and_errors(spark):
     with zipfile.ZipFile(buf, "w") as z:
         z.writestr("a.txt", "x")
     assert zipfile.ZipFile(io.BytesIO(buf.getvalue())).namelist() == ["a.txt"]
+
+
+def test_seed_rows_transform(spark):
+    """The reference's hand-run seed: three stage rows near Tokyo, Osaka and Nagoya, codes as text."""
+    rows = [("1", "1", "1", "3", "2", "2024-09-01", 0, "5339", "533946", "LINESTRING(139.70 35.65, 139.72 35.66)"),
+            ("3", "2", "2", "2", "1", "2024-09-01", 1, "5235", "523504", "LINESTRING(135.50 34.69, 135.52 34.70)"),
+            ("2", "3", "3", "4", "2", "2024-09-01", 0, "5236", "523637", "LINESTRING(136.90 35.18, 136.92 35.19)")]
+    cols = "road_type string, road_classification string, road_status string, width_category string, " \
+           "toll_category string, d string, layer_order int, source_mesh string, secondary_mesh_code string, wkt string"
+    stage = (spark.createDataFrame(rows, cols)
+             .withColumn("registration_date", F.to_timestamp("d")).drop("d")
+             .withColumn("geometry", geom.line_from_wkt("wkt")).drop("wkt"))
+    stage = geom.with_srid(stage, "geometry", 6668)
+    path = os.path.join(_tmp(), "roads")
+    assert warehouse.transform(spark, stage.withColumn("fid", F.monotonically_increasing_id()), path) == 3
+    out = spark.read.parquet(path).orderBy("source_mesh").collect()
+    assert [r.road_type for r in out] == [3, 2, 1] and all(len(r.line) == 2 for r in out)
+    assert geom.srid_of(spark.read.parquet(path), "line") == 4326

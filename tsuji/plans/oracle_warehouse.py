@@ -46,6 +46,8 @@ SELECT source_mesh, count(*) AS n, 6668 AS srid_min, 6668 AS srid_max FROM roads
 WKB_ROUNDTRIP = with_(ROADS) + "SELECT fid, 9 + 16 * (2 + k % 4)::INTEGER AS nbytes, true AS same FROM roads"
 
 ORACLES = {
+    "end_to_end": STAGE_TRANSFORM,
+    "count_all": with_(ROADS) + "SELECT count(*) AS n FROM roads",
     "incremental_ingest": MERGE_PARTS,
     "geojson_ingest": GEOJSON_INGEST,
     "wkb_roundtrip": WKB_ROUNDTRIP,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources import fixtures as fx
 from . import analysis as an
 from . import enrich as en
+from . import flow as fl
 from . import geometry as ge
 from . import logs as lg
 from . import ingest as ig
@@ -62,4 +63,6 @@ QUERIES: dict[str, Query] = {
     "wkb_roundtrip": ig.wkb_roundtrip,
     "incremental_ingest": ig.incremental_ingest,
     "scan_cost": rp.scan_cost_report,
+    "end_to_end": fl.end_to_end,
+    "count_all": fl.count_all,
 }
