@@ -52,14 +52,23 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, *, px: str = "px", p
     pts = (points.withColumn("cx", F.coalesce(F.floor(F.col(px) / c), F.lit(-(2 ** 62))))
            .withColumn("cy", F.coalesce(F.floor(F.col(py) / c), F.lit(-(2 ** 62)))))
     cand = pts.join(cells, ["cx", "cy"]).drop("cx", "cy")
-    exact = cand.join(polys, key).where(geom.contains_point(mpoly, px, py))
-    return exact.drop(mpoly)
+    # strict bbox test first (plain comparisons, codegen'd): interior points lie strictly inside it,
+    # so most grid candidates are rejected before the ray cast runs
+    pb = polys.withColumn("_pb", geom.bounds(geom.polygon_vertices(mpoly)))
+    b = F.col("_pb")
+    inside_box = (F.col(px) > b["xmin"]) & (F.col(px) < b["xmax"]) & (F.col(py) > b["ymin"]) & (F.col(py) < b["ymax"])
+    exact = cand.join(pb, key).where(inside_box & geom.contains_point(mpoly, px, py))
+    return exact.drop(mpoly, "_pb")
 
 
 def roads_with_point(roads: DataFrame, line: str = "line", keep: tuple[str, ...] = ("fid",)) -> DataFrame:
     """Representative point of each road (ST_PointOnSurface)."""
     p = geom.with_point_on_line(roads.select(*keep, line), line, "_pt")
-    return p.select(*keep, F.col("_pt.x").alias("px"), F.col("_pt.y").alias("py"))
+    # non-nullable coordinates (NaN for an empty line, which matches no polygon just as null would):
+    # otherwise Catalyst infers IS NOT NULL filters from the join predicates and pushes them below
+    # these projections, re-evaluating the point expression
+    nan = F.lit(float("nan"))
+    return p.select(*keep, F.coalesce(F.col("_pt.x"), nan).alias("px"), F.coalesce(F.col("_pt.y"), nan).alias("py"))
 
 
 def assign_pref(roads: DataFrame, admin: DataFrame, cell: float | None = None) -> DataFrame:
