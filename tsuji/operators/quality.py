@@ -12,16 +12,27 @@ def cross_mesh_duplicates(df: DataFrame, geom_col: str = "line", mesh_col: str =
     """Rows whose exact geometry occurs in two or more *different* meshes (detection only).
 
     Repeats inside one mesh do not count; null geometry never counts; empty in, empty out.
-    Plan: distinct meshes per geometry with a two-phase aggregate (map-side partial aggregation
-    collapses a hot geometry before the shuffle), then a semi join back. The semi join's build side
-    has one row per shared geometry; AQE broadcasts it when its measured size allows, and splits a
-    skewed probe partition otherwise. Direction matters (the key is the vertex sequence); -0.0 and
-    0.0 are one key in Spark's grouping.
+    Direction matters (the key is the vertex sequence), and so does the sign of a zero: the
+    fingerprint hashes the raw double bits, as a byte-exact WKB key would.
+
+    Plan, sized for tables where geometry is the widest column:
+    1. distinct meshes per geometry *fingerprint* (xxhash64 + murmur3 of the vertex array): the
+       shuffle moves ~16 bytes + mesh code per row instead of the geometry, and map-side partial
+       aggregation collapses a hot geometry before the exchange;
+    2. rows whose fingerprint spans several meshes are the candidates (semi join on the
+       fingerprint; the candidate set is broadcast by AQE only when its measured size allows);
+    3. exact confirmation on the real geometry among the candidates only, so a fingerprint
+       collision can never report a false duplicate.
     """
     g = df.where(F.col(geom_col).isNotNull())
-    shared = (g.groupBy(geom_col).agg(F.count_distinct(mesh_col).alias("_meshes"))
+    fp = [F.xxhash64(geom_col).alias("_h1"), F.hash(geom_col).alias("_h2")]
+    keyed = g.select("*", *fp)
+    multi = (keyed.groupBy("_h1", "_h2").agg(F.count_distinct(mesh_col).alias("_m"))
+             .where(F.col("_m") > 1).select("_h1", "_h2"))
+    cand = keyed.join(multi, ["_h1", "_h2"], "left_semi")
+    shared = (cand.groupBy(geom_col).agg(F.count_distinct(mesh_col).alias("_meshes"))
               .where(F.col("_meshes") > 1).select(geom_col))
-    return g.join(shared, on=geom_col, how="left_semi")
+    return cand.join(shared, on=geom_col, how="left_semi").drop("_h1", "_h2")
 
 
 def geometry_quality_by_mesh(df: DataFrame, geom_col: str = "line", mesh_col: str = "source_mesh",
