@@ -50,10 +50,11 @@ def segments(line) -> Column:
 
 # --------------------------------------------------------------------------- bounds
 def bounds(geom) -> Column:
-    """Per-row bbox of a line; for a multipolygon use ``bounds(flatten_rings(...))``."""
+    """Per-row bbox of a line (for a multipolygon pass ``polygon_vertices(...)``).
+
+    ``line.x`` on an array of structs is a plain field extraction (no lambda), so this compiles."""
     g = _c(geom)
-    xs = F.transform(g, lambda p: p["x"])
-    ys = F.transform(g, lambda p: p["y"])
+    xs, ys = g["x"], g["y"]
     return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
                     F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
 
@@ -242,8 +243,9 @@ def with_point_on_line(df, line: str = "line", out: str = "pt"):
 
 # --------------------------------------------------------------------------- coordinate ops
 def flip(line) -> Column:
-    """ST_FlipCoordinates."""
-    return F.transform(_c(line), lambda p: F.struct(p["y"].alias("x"), p["x"].alias("y")))
+    """ST_FlipCoordinates (x and y swapped; ``arrays_zip`` of the two field arrays, no lambda)."""
+    ln = _c(line)
+    return F.when(ln.isNotNull(), F.arrays_zip(ln["y"].alias("x"), ln["x"].alias("y")))
 
 
 # The only coordinate systems the data uses: JGD2011 geographic and WGS 84 (fixed values).
@@ -299,11 +301,17 @@ def is_empty(geom) -> Column:
 
 
 def line_is_valid(line) -> Column:
-    """A line is valid with >= 2 distinct vertices, all finite (self-crossing allowed for lines)."""
+    """A line is valid with >= 2 distinct vertices, all finite (self-crossing allowed for lines).
+
+    ``array_max`` orders NaN above everything, so max/min over the coordinate arrays detect NaN and
+    infinities without a lambda."""
     ln = _c(line)
-    finite = F.forall(ln, lambda p: ~F.isnan(p["x"]) & ~F.isnan(p["y"])
-                      & (F.abs(p["x"]) != float("inf")) & (F.abs(p["y"]) != float("inf")))
-    return (F.size(F.array_distinct(ln)) >= 2) & finite
+    inf = float("inf")
+
+    def finite(v):
+        return ~F.isnan(F.array_max(v)) & (F.array_max(v) < inf) & (F.array_min(v) > -inf)
+
+    return (F.size(F.array_distinct(ln)) >= 2) & finite(ln["x"]) & finite(ln["y"])
 
 
 def _segments_cross(a, b, c, d):

@@ -105,7 +105,7 @@ def vertices(roads: DataFrame, key: str = "fid", extra: tuple[str, ...] = ()) ->
     ln = F.col("line")
     n = F.size(ln)
     nxt = F.concat(F.slice(ln, 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast(geom.POINT)))
-    pairs = F.zip_with(ln, nxt, lambda a, b: F.struct(a.alias("pt"), b.alias("next_pt")))
+    pairs = F.arrays_zip(ln.alias("pt"), nxt.alias("next_pt"))       # codegen'd, no lambda
     return (roads.select(key, *extra, F.posexplode(pairs).alias("pos", "v"))
             .select(key, *extra, (F.col("pos") + 1).alias("i"), "v.pt", "v.next_pt"))
 
