@@ -12,6 +12,7 @@ from ..session import scratch_path
 from ..sinks import partitioned as pt
 from ..sources import admin as adm
 from ..sources import fixtures as fx
+from ..sources import geojson
 
 # The prefecture codes that get their own partition; the rest go to DEFAULT.
 LISTED_PREFS = ("11", "12", "13", "14")
@@ -48,9 +49,24 @@ def roads_p_path(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def read_admin_archives(spark: SparkSession, root: str) -> DataFrame:
+    """Admin polygons from delivered GeoJSON archives (a missing folder is an error); all
+    archives must share one CRS, which the loader moves to EPSG:4326."""
+    feats = geojson.read_feature_archives(spark, root, list(adm.ADMIN_FIELD_MAP))
+    srids = [r[0] for r in feats.select("srid").distinct().limit(2).collect()]   # at most 2 values
+    if len(srids) > 1:
+        raise ValueError(f"admin archives mix coordinate systems: {srids}")
+    return adm.load_admin(feats, src_srid=srids[0] if srids else adm.TARGET_SRID)
+
+
 def admin_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Admin polygons as loaded (gid 1..N, multipolygons, 3 attributes)."""
-    a = admin_area(spark, sf_dir)
+    """Admin polygons delivered as GeoJSON archives (one set per prefecture),
+    read back, reduced to 3 attributes, promoted to multipolygons and numbered gid 1..N."""
+    root = scratch_path(spark, "admin_archives")
+    src = fx.admin_source(spark, sf_dir).select(
+        F.left(F.col("N03_007"), F.lit(2)).alias("pref"), "src_id", "N03_001", "N03_004", "N03_007", "rings")
+    geojson.write_mesh_archives(src, root, mesh_col="pref", key="src_id", prefix="N03-20260101").count()
+    a = read_admin_archives(spark, root)
     return a.select("gid", "admin_code", "pref_name", "city_name", F.size("mpoly").alias("n_polygons"),
                     F.size(F.col("mpoly")[0]).alias("n_rings"))
 

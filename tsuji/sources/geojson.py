@@ -31,11 +31,14 @@ FEATURE_SCHEMA = T.StructType([
     T.StructField("geom_type", T.StringType()),
     T.StructField("properties", T.StringType()),
     T.StructField("geometry", geom.LINE),
+    T.StructField("rings", geom.POLYGON),
+    T.StructField("multi_rings", geom.MULTIPOLYGON),
     T.StructField("srid", T.IntegerType()),
 ])
 _ARROW_SCHEMA = pa.schema([("file_name", pa.string()), ("member", pa.string()), ("feature_no", pa.int64()),
                            ("geom_type", pa.string()), ("properties", pa.string()),
-                           ("geometry", pa.list_(_PT)), ("srid", pa.int32())])
+                           ("geometry", pa.list_(_PT)), ("rings", pa.list_(pa.list_(_PT))),
+                           ("multi_rings", pa.list_(pa.list_(pa.list_(_PT)))), ("srid", pa.int32())])
 BATCH_ROWS = 8192
 # Fixed value: GeoJSON without a "crs" member is WGS 84 longitude/latitude.
 GEOJSON_DEFAULT_SRID = 4326
@@ -64,6 +67,10 @@ def crs_srid(fc: dict) -> int:
     return GEOJSON_DEFAULT_SRID if not name else -1
 
 
+def _pts(coords) -> list[dict]:
+    return [{"x": float(c[0]), "y": float(c[1])} for c in coords]
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cols = {k: [] for k in _ARROW_SCHEMA.names}
 
@@ -84,14 +91,18 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 g = feat.get("geometry")
                 gtype = g.get("type") if g else None
                 coords = (g or {}).get("coordinates")
-                line = ([{"x": float(c[0]), "y": float(c[1])} for c in coords]
-                        if gtype == "LineString" and coords is not None else None)
+                line = _pts(coords) if gtype == "LineString" and coords is not None else None
+                rings = [_pts(r) for r in coords] if gtype == "Polygon" and coords is not None else None
+                multi = ([[_pts(r) for r in p] for p in coords]
+                         if gtype == "MultiPolygon" and coords is not None else None)
                 cols["file_name"].append(fname)
                 cols["member"].append(member)
                 cols["feature_no"].append(i)
                 cols["geom_type"].append(gtype)
                 cols["properties"].append(json.dumps(feat.get("properties") or {}, ensure_ascii=False))
                 cols["geometry"].append(line)
+                cols["rings"].append(rings)
+                cols["multi_rings"].append(multi)
                 cols["srid"].append(srid)
                 if len(cols["file_name"]) >= BATCH_ROWS:
                     yield flush()
@@ -114,27 +125,48 @@ def read_mesh_archives(spark: SparkSession, root: str, glob: str = "*.zip",
     known = T.StructType([T.StructField(k, T.StringType()) for k in COLUMN_MAP])
     parsed = feats.withColumn("_p", F.from_json("properties", known, {"primitivesAsString": "true"}))
     return parsed.select("file_name", "member", "feature_no", *[F.col(f"_p.{k}").alias(k) for k in COLUMN_MAP],
-                         "properties", "geom_type", "geometry", "srid")
+                         "properties", "geom_type", "geometry", "rings", "multi_rings", "srid")
+
+
+def read_feature_archives(spark: SparkSession, root: str, attributes: list[str], glob: str = "*.zip",
+                          partitions: int | None = None) -> DataFrame:
+    """Like ``read_mesh_archives`` for any feature type, with the given text ``attributes``.
+    A missing ``root`` is an error (Spark's PATH_NOT_FOUND)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(root).select("path", "content"))
+    feats = files.mapInArrow(_features, FEATURE_SCHEMA).repartition(
+        partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in attributes])
+    parsed = feats.withColumn("_p", F.from_json("properties", schema, {"primitivesAsString": "true"}))
+    return parsed.select("file_name", "feature_no", *[F.col(f"_p.{k}").alias(k) for k in attributes],
+                         "geom_type", "geometry", "rings", "multi_rings", "srid")
 
 
 # ------------------------------------------------------------------ writer (fixtures, exports)
-def _archive_writer(root: str, mesh_col: str, chunk_col: str):
+def _geometry_json(rec: dict):
+    if "rings" in rec:
+        rings = rec.pop("rings")
+        return None if rings is None else {"type": "Polygon",
+                                           "coordinates": [[[p["x"], p["y"]] for p in r] for r in rings]}
+    line = rec.pop("geometry")
+    return None if line is None else {"type": "LineString", "coordinates": [[p["x"], p["y"]] for p in line]}
+
+
+def _archive_writer(root: str, mesh_col: str, chunk_col: str, prefix: str = "N13-24", crs: int = 6668):
     def write(pdf):
         import pandas as pd
         import pyarrow.fs as pafs
 
         mesh = str(pdf[mesh_col].iloc[0])
         chunk = int(pdf[chunk_col].iloc[0])
-        name = f"N13-24_{mesh}_GEOJSON_{chunk:04d}.zip"
+        name = f"{prefix}_{mesh}_GEOJSON_{chunk:04d}.zip"
         feats = []
         for rec in pdf.drop(columns=[mesh_col, chunk_col]).to_dict("records"):
-            line = rec.pop("geometry")
-            geometry = (None if line is None else
-                        {"type": "LineString", "coordinates": [[p["x"], p["y"]] for p in line]})
+            geometry = _geometry_json(rec)
             props = {k: (None if v is None or (isinstance(v, float) and v != v) else v) for k, v in rec.items()}
             feats.append({"type": "Feature", "properties": props, "geometry": geometry})
         fc = {"type": "FeatureCollection", "name": name[:-4],
-              "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::6668"}}, "features": feats}
+              "crs": {"type": "name", "properties": {"name": f"urn:ogc:def:crs:EPSG::{crs}"}}, "features": feats}
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
             zf.writestr(name[:-4] + ".geojson", json.dumps(fc, ensure_ascii=False))
@@ -148,7 +180,7 @@ def _archive_writer(root: str, mesh_col: str, chunk_col: str):
 
 
 def write_mesh_archives(df: DataFrame, root: str, mesh_col: str = "mesh", features_per_archive: int = 50_000,
-                        key: str = "fid") -> DataFrame:
+                        key: str = "fid", prefix: str = "N13-24", crs: int = 6668) -> DataFrame:
     """Write ``df`` (text attributes + ``geometry`` line) as zipped GeoJSON archives.
 
     Each mesh is split into ceil(rows / features_per_archive) archives by a hash of ``key``, so the
@@ -160,4 +192,4 @@ def write_mesh_archives(df: DataFrame, root: str, mesh_col: str = "mesh", featur
     chunked = (df.join(F.broadcast(counts), mesh_col)
                .withColumn("_chunk", F.pmod(F.xxhash64(key), F.col("_k"))).drop("_k"))
     return chunked.groupBy(mesh_col, "_chunk").applyInPandas(
-        _archive_writer(root, mesh_col, "_chunk"), "archive string, features long")
+        _archive_writer(root, mesh_col, "_chunk", prefix, crs), "archive string, features long")
