@@ -373,6 +373,9 @@ def to_multipolygon(geom_type, polygon_rings, multi_rings) -> Column:
 # --------------------------------------------------------------------------- Hilbert code
 HILBERT_ORDER = 16
 HILBERT_MAX = (1 << HILBERT_ORDER) - 1  # 65535
+# steps fused into one projection (repeated subexpressions are shared by Catalyst); keeps the
+# generated method of the stage under the JVM's JIT size limit
+HILBERT_STEPS_PER_PROJECTION = 1
 
 
 def _hilbert_scale(v, lo, hi):
@@ -410,26 +413,31 @@ def hilbert_distance(bbox, total) -> Column:
 def with_hilbert(df, bbox, total: tuple[float, float, float, float], out: str = "hilbert"):
     """DataFrame form of ``hilbert_distance`` against literal total bounds: the 16 steps unrolled as
     projections with literal shifts (compiled by whole-stage codegen instead of an interpreted
-    ``aggregate``). Same result as the Column form."""
+    ``aggregate``). Same result as the Column form. A null bbox stays null through the steps and
+    raises at the end."""
     x0, y0, x1, y1 = (float(v) for v in total)
     b = _c(bbox)
     keep = list(df.columns)
 
     def scale(v, lo, hi):
         if hi - lo == 0:
-            return F.lit(0).cast("long")
+            return F.when(v.isNotNull(), F.lit(0).cast("long"))
         return F.least(F.lit(HILBERT_MAX), F.floor((v - F.lit(lo)) * HILBERT_MAX / F.lit(hi - lo)).cast("int")).cast("long")
 
-    d = df.select(*keep, F.when(b.isNull(), F.raise_error(F.lit("hilbert_distance: null geometry")))
-                  .cast("boolean").alias("_chk"),
-                  scale((b["xmin"] + b["xmax"]) / 2, x0, x1).alias("_hx"),
+    d = df.select(*keep, scale((b["xmin"] + b["xmax"]) / 2, x0, x1).alias("_hx"),
                   scale((b["ymin"] + b["ymax"]) / 2, y0, y1).alias("_hy"), F.lit(0).cast("long").alias("_hd"))
-    x, y, acc = F.col("_hx"), F.col("_hy"), F.col("_hd")
-    for i in range(HILBERT_ORDER - 1, -1, -1):
-        rx = F.shiftright(x, i).bitwiseAND(1)
-        ry = F.shiftright(y, i).bitwiseAND(1)
-        nx = F.when(ry == 0, F.when(rx == 1, HILBERT_MAX - y).otherwise(y)).otherwise(x)
-        ny = F.when(ry == 0, F.when(rx == 1, HILBERT_MAX - x).otherwise(x)).otherwise(y)
-        nd = acc + F.shiftleft((F.lit(3) * rx).bitwiseXOR(ry).cast("long"), 2 * i)
-        d = d.select(*keep, "_chk", nx.alias("_hx"), ny.alias("_hy"), nd.alias("_hd"))
-    return d.select(*keep, F.when(F.col("_chk").isNull(), F.col("_hd")).alias(out))
+    steps = list(range(HILBERT_ORDER - 1, -1, -1))
+    for k in range(0, len(steps), HILBERT_STEPS_PER_PROJECTION):
+        x, y, acc = F.col("_hx"), F.col("_hy"), F.col("_hd")
+        for i in steps[k:k + HILBERT_STEPS_PER_PROJECTION]:
+            rx = F.shiftright(x, i).bitwiseAND(1)
+            ry = F.shiftright(y, i).bitwiseAND(1)
+            # quadrant rotation: swap when ry = 0, and reflect (65535 - v = v xor 65535) when rx = 1
+            t = rx * HILBERT_MAX
+            nx = F.when(ry == 0, y.bitwiseXOR(t)).otherwise(x)
+            ny = F.when(ry == 0, x.bitwiseXOR(t)).otherwise(y)
+            acc = acc + F.shiftleft((rx * 3).bitwiseXOR(ry), 2 * i)
+            x, y = nx, ny
+        d = d.select(*keep, x.alias("_hx"), y.alias("_hy"), acc.alias("_hd"))
+    return d.select(*keep, F.when(F.col("_hd").isNotNull(), F.col("_hd")).otherwise(
+        F.raise_error(F.lit("hilbert_distance: null geometry")).cast("long")).alias(out))

@@ -3,12 +3,12 @@
 ``row_number() OVER ()`` / ``OVER (ORDER BY k)`` without a partition moves every row into a single
 task. Instead: range-partition on the ordering key, number rows inside each partition, and add
 the row count of all earlier partitions (a table with one row per partition, so its size is
-bounded by the partition count, not by the data).
+bounded by the partition count, not by the data; it is brought back as n numbers).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index within partition
@@ -18,18 +18,28 @@ def dense_id(df: DataFrame, order_cols: list[str], out: str = "id", start: int =
              num_partitions: int | None = None) -> DataFrame:
     """Attach ``out`` = start, start+1, ... following ``order_cols`` (which must be a total order).
 
-    Deterministic across reruns and task retries: the range partitioning and the in-partition sort
-    are functions of the data, so a recomputed partition numbers its rows identically.
+    The numbering is fixed once by a reliable checkpoint, so the per-partition counts and the ids
+    always come from the same cut of the ranges.
     """
+    from ..session import ensure_checkpoint_dir
+
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The range boundaries come from a sample whose seed depends on the job, so two jobs over the
+    # same plan may cut the ranges differently: number the rows once and cut the lineage with a
+    # reliable checkpoint (written to spark.checkpoint.dir, survives executor loss).
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
     ranged = (ranged.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
               .withColumn("_idx", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # one row per partition: the single-partition running sum below is bounded by n
-    offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
+    # one row per range partition (at most n rows, independent of the data size)
+    counts = sorted(tuple(r) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1))).collect())
+    offs, run = [], 0
+    for pid, cnt in counts:
+        offs.append((pid, run))
+        run += cnt
+    offsets = spark.createDataFrame(offs, "_pid long, _off long")
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(out, F.col("_off") + F.col("_idx") + F.lit(start))
             .drop("_mid", "_pid", "_idx", "_off"))
