@@ -250,3 +250,13 @@ def test_incremental_ingest_skips_done_archives(spark):
     # nothing new: a third run adds nothing
     incremental_ingest(spark, f"{root}/landing", f"{root}/table", f"{root}/ckpt")
     assert read_partitions_as_text(spark, f"{root}/table").count() == 3
+
+
+def test_lead_by_window_equals_array_successor(spark):
+    from tsuji.plans.analysis import lead_by_window, vertices
+    df = lines_df(spark, [("a", [(0, 0), (1, 1), (2, 0)]), ("b", [(5, 5), (6, 6)])], "fid string")
+    v = vertices(df)
+    w = lead_by_window(v.select("fid", "i", "pt"), "fid", "i", "pt", "nxt")
+    got = {(r.fid, r.i): r.nxt for r in w.collect()}
+    exp = {(r.fid, r.i): r.next_pt for r in v.collect()}
+    assert got == exp

@@ -7,8 +7,6 @@ the scan stage with no shuffle (the vertex-row form, ``posexplode`` + ``lead``,
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,10 +104,6 @@ def length_spheroid(line) -> Column:
         s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"]))
 
 
-def degrees_per_metre_lat() -> float:
-    return 180.0 / (math.pi * MEAN_RADIUS_M)
-
-
 # --------------------------------------------------------------------------- row form (hot path)
 # Higher-order functions are interpreted; the forms below explode segments into rows and compute
 # with plain column expressions, which whole-stage codegen compiles. Each Vincenty pass is its own

@@ -25,8 +25,12 @@ def normalize_admin(src: DataFrame, geom_type: str = "geom_type", polygon: str =
 
 
 def load_admin(src: DataFrame, **kw) -> DataFrame:
-    """``admin_area`` as loaded after truncate + restart identity: gid = 1..N in a stable order."""
+    """``admin_area`` as loaded after truncate + restart identity: gid = 1..N in a stable order.
+    Rows breaking the NOT NULL columns stop the load."""
     norm = normalize_admin(src, **kw)
+    bad = check_admin_required(norm).count()
+    if bad:
+        raise ValueError(f"admin_area: {bad} rows with a missing admin_code, pref_name or geometry")
     norm = norm.withColumn("_tie", F.xxhash64(F.to_json("mpoly")))
     return dense_id(norm, ["admin_code", "pref_name", "_tie"], out="gid").drop("_tie").select(
         "gid", "admin_code", "pref_name", "city_name", "mpoly")
