@@ -33,6 +33,8 @@ def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for path in pdf["path"]:
+            if path.startswith("file:"):
+                path = path[len("file:"):]
             fs, p = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
             with fs.open_input_file(p) as fh:
                 md = pq.ParquetFile(fh).metadata
@@ -49,9 +51,10 @@ def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def row_group_stats(spark: SparkSession, path: str) -> DataFrame:
     """One row per (file, row group, column chunk) of the parquet dataset at ``path``."""
-    files = spark.read.parquet(path).inputFiles()            # file names only (metadata)
-    listing = spark.createDataFrame([(f,) for f in files], "path string")
-    n = max(1, min(len(files), spark.sparkContext.defaultParallelism))
+    # distributed listing: only the path column is selected, so file contents are never read
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+               .option("recursiveFileLookup", "true").load(path).select("path"))
+    n = spark.sparkContext.defaultParallelism
     return listing.repartition(n).mapInPandas(_footer_rows, RG_SCHEMA)
 
 
@@ -82,14 +85,16 @@ def scan_cost(spark: SparkSession, path: str, box=TOKYO_STATION_BOX) -> DataFram
         ("covering predicate", keep, F.col("bbox_bytes")),
         ("covering and intersects", keep, F.col("bbox_bytes") + F.col("line_bytes")),
     ]
-    out = None
-    for name, read, cost in probes:
-        one = rg.agg(F.lit(name).alias("probe"),
-                     F.count_if(read).alias("row_groups_read"), F.count(F.lit(1)).alias("row_groups"),
-                     F.coalesce(F.sum(F.when(read, cost)), F.lit(0)).cast("long").alias("bytes_read"),
-                     F.sum("rg_bytes").cast("long").alias("bytes_total"))
-        out = one if out is None else out.unionByName(one)
-    return out.withColumn("fraction", F.round(F.col("bytes_read") / F.col("bytes_total"), 4))
+    # one pass over the footer table: every probe's totals in a single aggregate, then unpivoted
+    aggs = [F.sum("rg_bytes").cast("long").alias("bytes_total"), F.count(F.lit(1)).alias("row_groups")]
+    for k, (_, read, cost) in enumerate(probes):
+        aggs += [F.count_if(read).alias(f"r{k}"), F.coalesce(F.sum(F.when(read, cost)), F.lit(0)).cast("long").alias(f"b{k}")]
+    totals = rg.agg(*aggs)
+    stack = ", ".join(f"'{name}', r{k}, b{k}" for k, (name, _, _) in enumerate(probes))
+    out = totals.selectExpr("bytes_total", "row_groups",
+                            f"stack({len(probes)}, {stack}) AS (probe, row_groups_read, bytes_read)")
+    return out.select("probe", "row_groups_read", "row_groups", "bytes_read", "bytes_total",
+                      F.round(F.col("bytes_read") / F.col("bytes_total"), 4).alias("fraction"))
 
 
 def scan_cost_report(spark: SparkSession, sf_dir: str) -> DataFrame:
