@@ -80,3 +80,16 @@ def test_transfer_summary_with_a_hot_probe(spark):
     df = spark.createDataFrame(msgs, "seq long, probe long, message string")
     out = {r.probe: r for r in transfer.summarize_transfer(transfer.parse_log(df), by=["probe"]).collect()}
     assert out[7].n_requests == 900 and out[7].get_bytes == 9000 and len(out) == 1801
+
+
+fine = st.integers(min_value=-300, max_value=300).map(lambda v: 139 + v / 977)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.lists(st.tuples(fine, fine), min_size=1, max_size=6), min_size=1, max_size=25))
+def test_point_on_line_fast_paths_equal_general_rule(spark, lines):
+    df = lines_df(spark, [(str(i), pts) for i, pts in enumerate(lines)])
+    fast = {r.source_mesh: (r.pt.x, r.pt.y) for r in geom.with_point_on_line(df, "line", "pt").collect()}
+    general = {r.source_mesh: (r.pt.x, r.pt.y)
+               for r in df.select("source_mesh", geom.point_on_line("line").alias("pt")).collect()}
+    assert fast == general

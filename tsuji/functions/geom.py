@@ -233,12 +233,39 @@ def nearest_vertex(line, centroid) -> Column:
     return F.when(n == 0, F.lit(None).cast(POINT)).otherwise(F.element_at(cands, F.array_position(d, F.array_min(d)).cast("int")))
 
 
+def _two_point_choice(line) -> Column:
+    """Point on surface of a 2-vertex line in closed form, with the same arithmetic as the general
+    path (centroid of the single segment, nearer endpoint, the first on a tie)."""
+    ln = _c(line)
+    a, b = ln[0], ln[1]
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    seg = F.sqrt(dx * dx + dy * dy)
+    cx = F.when(seg != 0, (F.lit(0.0) + seg * ((a["x"] + b["x"]) / 2)) / (F.lit(0.0) + seg)).otherwise(a["x"])
+    cy = F.when(seg != 0, (F.lit(0.0) + seg * ((a["y"] + b["y"]) / 2)) / (F.lit(0.0) + seg)).otherwise(a["y"])
+
+    def dist(p):
+        return F.sqrt((p["x"] - cx) * (p["x"] - cx) + (p["y"] - cy) * (p["y"] - cy))
+
+    return F.when(dist(b) < dist(a), b).otherwise(a)
+
+
 def with_point_on_line(df, line: str = "line", out: str = "pt"):
     """DataFrame form of ``point_on_line``: centroid and vertex choice as separate projections so
-    neither is evaluated more than once per row."""
+    neither is evaluated more than once per row.
+
+    Lines with at most 3 vertices need no lambda: 3 vertices have exactly one interior vertex,
+    2 vertices are decided in closed form, 1 vertex is itself. Only longer lines run the
+    centroid aggregate and the nearest-vertex search."""
     cols = [c for c in df.columns]
-    step = df.select(*cols, line_centroid(line).alias("_centroid"))
-    return step.select(*cols, nearest_vertex(line, "_centroid").alias(out))
+    ln = F.col(line)
+    n = F.size(ln)
+    step = df.select(*cols, F.when(n >= 4, line_centroid(line)).alias("_centroid"))
+    pt = (F.when(ln.isNull() | (n == 0), F.lit(None).cast(POINT))
+          .when(n == 1, ln[0])
+          .when(n == 2, _two_point_choice(ln))
+          .when(n == 3, ln[1])
+          .otherwise(nearest_vertex(line, "_centroid")))
+    return step.select(*cols, pt.alias(out))
 
 
 # --------------------------------------------------------------------------- coordinate ops
