@@ -40,7 +40,8 @@ def parse_http_message(message) -> Column:
 
 def url_file_name(url) -> Column:
     """Last path segment of a URL (query and fragment ignored, trailing slashes dropped); '' if none."""
-    path = F.regexp_extract(_c(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
+    # optional scheme, optional //authority, then the path up to the query or fragment
+    path = F.regexp_extract(_c(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
     return F.regexp_extract(path, r"([^/]+)/*$", 1)
 
 

@@ -37,7 +37,7 @@ FROM parsed GROUP BY probe"""
 
 FETCH_WORKLIST = r"""WITH named AS (
   SELECT page_id, url,
-    regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '([^/]+)/*$', 1) AS name
+    regexp_extract(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), '([^/]+)/*$', 1) AS name
   FROM pages)
 SELECT page_id, url, name FROM (
   SELECT *, row_number() OVER (PARTITION BY name ORDER BY page_id) rn FROM named) WHERE rn = 1"""

@@ -94,7 +94,8 @@ def scan_cost(spark: SparkSession, path: str, box=TOKYO_STATION_BOX) -> DataFram
     out = totals.selectExpr("bytes_total", "row_groups",
                             f"stack({len(probes)}, {stack}) AS (probe, row_groups_read, bytes_read)")
     return out.select("probe", "row_groups_read", "row_groups", "bytes_read", "bytes_total",
-                      F.round(F.col("bytes_read") / F.col("bytes_total"), 4).alias("fraction"))
+                      F.when(F.col("bytes_total") > 0, F.round(F.col("bytes_read") / F.col("bytes_total"), 4))
+                      .alias("fraction"))
 
 
 def scan_cost_report(spark: SparkSession, sf_dir: str) -> DataFrame:
