@@ -35,11 +35,12 @@ def test_partition_predicate_prunes(spark):
     assert "PartitionFilters: [isnotnull(part" in p and "(part#" in p and "IN (13,14)" in p
 
 
-def test_decode_join_is_broadcast_after_aggregation(spark):
+def test_decode_join_is_a_map_side_broadcast(spark):
     p = _plan(E.queries()["length_by_type"](spark, SF))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-    # segment lengths are summed per code before the join: partial aggregate feeds the first exchange
+    # labels are attached before the aggregate; the partial sum feeds the only hash exchange
     assert "partial_sum(seg_len" in p
+    assert p.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in p
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
