@@ -85,8 +85,8 @@ def test_transfer_summary_with_a_hot_probe(spark):
 fine = st.integers(min_value=-300, max_value=300).map(lambda v: 139 + v / 977)
 
 
-@settings(max_examples=20, deadline=None)
-@given(st.lists(st.lists(st.tuples(fine, fine), min_size=1, max_size=6), min_size=1, max_size=25))
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.tuples(fine, fine), min_size=1, max_size=12), min_size=1, max_size=25))
 def test_point_on_line_fast_paths_equal_general_rule(spark, lines):
     df = lines_df(spark, [(str(i), pts) for i, pts in enumerate(lines)])
     fast = {r.source_mesh: (r.pt.x, r.pt.y) for r in geom.with_point_on_line(df, "line", "pt").collect()}

@@ -249,21 +249,59 @@ def _two_point_choice(line) -> Column:
     return F.when(dist(b) < dist(a), b).otherwise(a)
 
 
+# lines with up to this many vertices take the unrolled (lambda-free, compiled) point-on-surface path
+POINT_ON_LINE_UNROLL = 8
+
+
+def _unrolled_centroid(ln, k: int) -> Column:
+    """Centroid of a line with 4..k vertices as a left-to-right sum over at most k-1 segments.
+
+    Adding 0.0 for a missing or zero-length segment is an exact identity, so the result equals the
+    sequential aggregate bit for bit."""
+    n = F.size(ln)
+    zero = F.lit(0.0)
+    tl, tx, ty = zero, zero, zero
+    for i in range(1, k):
+        a, b = ln[i - 1], ln[i]
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        seg = F.sqrt(dx * dx + dy * dy)
+        ok = n > i                       # segment i joins vertices i-1 and i
+        tl = tl + F.when(ok, seg).otherwise(zero)
+        tx = tx + F.when(ok, seg * ((a["x"] + b["x"]) / 2)).otherwise(zero)
+        ty = ty + F.when(ok, seg * ((a["y"] + b["y"]) / 2)).otherwise(zero)
+    return F.struct(F.when(tl > 0, tx / tl).otherwise(ln[0]["x"]).alias("x"),
+                    F.when(tl > 0, ty / tl).otherwise(ln[0]["y"]).alias("y"))
+
+
+def _unrolled_nearest_interior(ln, c, k: int) -> Column:
+    """Interior vertex nearest to centroid ``c`` for a line of 4..k vertices, the first on ties."""
+    n = F.size(ln)
+    d = [F.when(n - 1 > j, F.sqrt((ln[j]["x"] - c["x"]) * (ln[j]["x"] - c["x"])
+                                  + (ln[j]["y"] - c["y"]) * (ln[j]["y"] - c["y"])))
+         for j in range(1, k - 1)]       # interior vertices 1..n-2; missing ones are null (ignored)
+    arr = F.array(*d)
+    return F.element_at(ln, (F.array_position(arr, F.array_min(arr)) + 1).cast("int"))
+
+
 def with_point_on_line(df, line: str = "line", out: str = "pt"):
     """DataFrame form of ``point_on_line``: centroid and vertex choice as separate projections so
     neither is evaluated more than once per row.
 
-    Lines with at most 3 vertices need no lambda: 3 vertices have exactly one interior vertex,
-    2 vertices are decided in closed form, 1 vertex is itself. Only longer lines run the
-    centroid aggregate and the nearest-vertex search."""
+    Lines of up to ``POINT_ON_LINE_UNROLL`` vertices need no lambda: 1 vertex is itself, 2 are
+    decided in closed form, 3 have exactly one interior vertex, 4..8 use an unrolled sum and a
+    first-minimum search over at most 6 candidates. Only longer lines run the general aggregate."""
+    k = POINT_ON_LINE_UNROLL
     cols = [c for c in df.columns]
     ln = F.col(line)
     n = F.size(ln)
-    step = df.select(*cols, F.when(n >= 4, line_centroid(line)).alias("_centroid"))
+    cen = F.when(n < 4, F.lit(None).cast(POINT)).when(n <= k, _unrolled_centroid(ln, k)).otherwise(line_centroid(line))
+    step = df.select(*cols, cen.alias("_centroid"))
+    c = F.col("_centroid")
     pt = (F.when(ln.isNull() | (n == 0), F.lit(None).cast(POINT))
           .when(n == 1, ln[0])
           .when(n == 2, _two_point_choice(ln))
           .when(n == 3, ln[1])
+          .when(n <= k, _unrolled_nearest_interior(ln, c, k))
           .otherwise(nearest_vertex(line, "_centroid")))
     return step.select(*cols, pt.alias(out))
 
