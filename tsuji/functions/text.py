@@ -20,8 +20,8 @@ MESH_RE = r"(?i)N13-24_(\d+)_"
 
 
 def _extract_or_null(s: Column, pattern: str) -> Column:
-    v = F.regexp_extract(s, pattern, 1)
-    return F.when(F.regexp_like(s, F.lit(pattern)), v)
+    # every group above matches at least one character, so '' means "no match": one regex pass
+    return F.nullif(F.regexp_extract(s, pattern, 1), F.lit(""))
 
 
 def parse_http_message(message) -> Column:
