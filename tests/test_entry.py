@@ -31,3 +31,26 @@ def test_query_matches_oracle(spark, name):
     con = duck(SF)
     r = compare(spark, SF, name, E.queries()[name], E.oracle_sql().get(name), con)
     assert r["status"] in ("ok", "rows-only"), r
+
+
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.exists(SF01), reason="sf0.01 data not present")
+def test_recorded_fixture_values(spark):
+    """Values recorded for the derived fixture at sf0.01 (FIXTURES.md, "Agreement seen")."""
+    from pyspark.sql import functions as F
+    from tsuji.operators import search
+    from tsuji.plans import analysis as an
+    from tsuji.sources import fixtures as fx
+
+    r = fx.roads(spark, SF01)
+    got = sorted((row.road_type, round(row.total, 1)) for row in an.lengths_by(r, ("road_type",)).collect())
+    assert got == [(1, 12653587.8), (2, 11804086.0), (3, 12431853.2), (4, 12528430.4), (5, 12851540.6)]
+    assert round(an.lengths_by(r, ("road_type",), spheroid=True).agg(F.sum("total")).first()[0], 1) == 62219178.6
+    assert an.segment_lengths(r, ("road_type",)).where("seg_len is not null").count() == 37200
+    assert search.intersecting(r, (139.3, 35.3, 139.32, 35.31), bbox=None).count() == 21
+    assert search.bbox_overlap(r, (139.3, 35.3, 139.32, 35.31)).count() == 32
+    assert search.intersecting(r, (139.3, 35.3, 139.5, 35.45), bbox=None).count() == 599
+    assert search.bbox_overlap(r, (139.3, 35.3, 139.5, 35.45)).count() == 615
+    assert E.queries()["cross_mesh_duplicates"](spark, SF01).count() == 462
