@@ -260,3 +260,25 @@ def test_lead_by_window_equals_array_successor(spark):
     got = {(r.fid, r.i): r.nxt for r in w.collect()}
     exp = {(r.fid, r.i): r.next_pt for r in v.collect()}
     assert got == exp
+
+
+def test_unzipped_geojson_reader_matches_archive_reader(spark):
+    root = _tmp()
+    src = lines_df(spark, [("3622", [(0, 0), (1, 1)]), ("3622", [(1, 1), (2, 2), (3, 1)]), ("3631", [(5, 5), (6, 6)])],
+                   "mesh string").withColumn("fid", F.monotonically_increasing_id()) \
+        .withColumn("N13_002", F.lit("2")).withColumn("N13_005", F.lit("-1")).withColumnRenamed("line", "geometry")
+    geojson.write_mesh_archives(src, f"{root}/zips").count()
+    os.makedirs(f"{root}/plain")
+    for z in os.listdir(f"{root}/zips"):
+        with zipfile.ZipFile(f"{root}/zips/{z}") as zf:
+            for m in zf.namelist():
+                if m.endswith(".geojson"):
+                    with open(f"{root}/plain/{m}", "wb") as fh:
+                        fh.write(zf.read(m))
+    cols = ["N13_002", "N13_005", "geom_type", "geometry", "srid"]
+    a = sorted(str(tuple(r)) for r in geojson.read_mesh_archives(spark, f"{root}/zips").select(*cols).collect())
+    b = sorted(str(tuple(r)) for r in geojson.read_geojson_files(spark, f"{root}/plain").select(*cols).collect())
+    assert a == b and len(a) == 3
+    names = {r.source_mesh for r in warehouse.normalize_roads(
+        geojson.read_geojson_files(spark, f"{root}/plain"), file_col="file_name").select("source_mesh").collect()}
+    assert names == {"3622", "3631"}

@@ -193,3 +193,46 @@ def write_mesh_archives(df: DataFrame, root: str, mesh_col: str = "mesh", featur
                .withColumn("_chunk", F.pmod(F.xxhash64(key), F.col("_k"))).drop("_k"))
     return chunked.groupBy(mesh_col, "_chunk").applyInPandas(
         _archive_writer(root, mesh_col, "_chunk", prefix, crs), "archive string, features long")
+
+
+# ------------------------------------------------------------------ unzipped GeoJSON (JVM reader)
+_FC_SCHEMA = T.StructType([
+    T.StructField("crs", T.StructType([T.StructField("properties", T.StructType([
+        T.StructField("name", T.StringType())]))])),
+    T.StructField("features", T.ArrayType(T.StructType([
+        T.StructField("properties", T.StringType()),          # raw JSON text, parsed below
+        T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()),
+                                                T.StructField("coordinates", T.StringType())]))]))),
+])
+
+
+def _xy(c):
+    return F.struct(c[0].alias("x"), c[1].alias("y"))
+
+
+def read_geojson_files(spark: SparkSession, root: str, glob: str = "*.geojson",
+                       partitions: int | None = None) -> DataFrame:
+    """Already-unzipped FeatureCollections through Spark's JSON reader (multi-line, declared schema),
+    one row per feature, same columns as ``read_mesh_archives``. A file is one record (not
+    splittable), so the features are repartitioned right after the explode."""
+    fc = (spark.read.schema(_FC_SCHEMA).option("multiLine", "true").option("pathGlobFilter", glob)
+          .option("recursiveFileLookup", "true").json(root))
+    crs = F.col("crs.properties.name")
+    srid = (F.when(crs.isNull(), F.lit(GEOJSON_DEFAULT_SRID))
+            .otherwise(F.coalesce(F.regexp_extract(crs, r"EPSG:{1,2}(\d+)", 1).cast("int"), F.lit(-1))))
+    feats = (fc.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("file_name"), srid.alias("srid"),
+                       F.posexplode("features").alias("feature_no", "f"))
+             .repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    gtype, coords = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    line = F.transform(F.from_json(coords, "array<array<double>>"), _xy)
+    rings = F.transform(F.from_json(coords, "array<array<array<double>>>"), lambda r: F.transform(r, _xy))
+    multi = F.transform(F.from_json(coords, "array<array<array<array<double>>>>"),
+                        lambda p: F.transform(p, lambda r: F.transform(r, _xy)))
+    known = T.StructType([T.StructField(k, T.StringType()) for k in COLUMN_MAP])
+    props = F.coalesce(F.col("f.properties"), F.lit("{}"))
+    parsed = feats.withColumn("_p", F.from_json(props, known, {"primitivesAsString": "true"}))
+    return parsed.select(
+        "file_name", F.lit(None).cast("string").alias("member"), F.col("feature_no").cast("long").alias("feature_no"),
+        *[F.col(f"_p.{k}").alias(k) for k in COLUMN_MAP], props.alias("properties"), gtype.alias("geom_type"),
+        F.when(gtype == "LineString", line).alias("geometry"), F.when(gtype == "Polygon", rings).alias("rings"),
+        F.when(gtype == "MultiPolygon", multi).alias("multi_rings"), "srid")
