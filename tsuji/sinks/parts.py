@@ -102,3 +102,20 @@ def load_stage(spark: SparkSession, paths: Sequence[str], table_path: str, base_
         raise ValueError("No parts to load.")
     df = read_partitions_as_text(spark, *paths, base_path=base_path)
     return write_counted(df, table_path, "load_stage")
+
+
+def load_stage_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
+                    num_partitions: int | None = None) -> None:
+    """Truncate-and-append into an existing database table through Spark's JDBC writer (K6).
+
+    ``truncate=true`` with overwrite keeps the table's declared schema (the stage table is never
+    re-created from an inferred schema); ``numPartitions`` bounds the concurrent connections.
+    Not exercised by the tests: no database server is available here.
+    """
+    w = (df.write.format("jdbc").option("url", url).option("dbtable", table)
+         .option("truncate", "true").mode("overwrite"))
+    if num_partitions:
+        w = w.option("numPartitions", str(num_partitions))
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.save()
