@@ -60,6 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/tsuji/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread_small(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cluster only when it has fewer partitions than the default
+    parallelism (a small input such as a single file). Large inputs already have many splits and are
+    returned untouched, so no shuffle is added where the data is big."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df._jdf.rdd().getNumPartitions() < n else df
+
+
 _materialized: dict[tuple, str] = {}
 
 
@@ -74,6 +82,6 @@ def materialized(spark: SparkSession, name: str, key: tuple, build) -> str:
     path = _materialized.get(k)
     if path is None or (path.startswith("/") and not os.path.exists(path)):
         path = scratch_path(spark, name)
-        build().write.mode("overwrite").parquet(path)
+        spread_small(build()).write.mode("overwrite").parquet(path)
         _materialized[k] = path
     return path
