@@ -282,3 +282,15 @@ def test_unzipped_geojson_reader_matches_archive_reader(spark):
     names = {r.source_mesh for r in warehouse.normalize_roads(
         geojson.read_geojson_files(spark, f"{root}/plain"), file_col="file_name").select("source_mesh").collect()}
     assert names == {"3622", "3631"}
+
+
+def test_geo_metadata_roundtrip(spark):
+    root = _tmp()
+    df = geom.with_srid(lines_df(spark, [("3622", [(139.0, 35.0), (139.5, 35.2)]), ("3631", [(140.0, 36.0), (140.1, 36.5)])]),
+                        "line", 6668)
+    meta = parts.write_geo_metadata(spark, df, f"{root}/geo")
+    back = parts.read_geo_metadata(spark, f"{root}/geo")
+    assert back == meta
+    col = back["columns"]["line"]
+    assert col["bbox"] == [139.0, 35.0, 140.1, 36.5]            # the union of all rows, not the first part's
+    assert col["crs"]["id"]["code"] == 6668

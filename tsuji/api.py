@@ -50,6 +50,9 @@ def read_mesh_zip(spark: SparkSession, path: str) -> DataFrame:
 def convert_all(spark: SparkSession, archives: str, parts_dir: str) -> int:
     """Archives -> normalised features -> one part folder per mesh. Returns the feature count."""
     feats = warehouse.normalize_roads(geojson.read_mesh_archives(spark, archives), file_col="file_name")
+    # CRS per mesh (one row per mesh and CRS): warn when it is not the expected one
+    for r in feats.groupBy("source_mesh", "srid").count().where(F.col("srid") != EXPECTED_EPSG).collect():
+        log.warning("mesh %s: CRS EPSG:%s differs from expected EPSG:%s", r["source_mesh"], r["srid"], EXPECTED_EPSG)
     flagged = quality.geometry_quality_by_mesh(feats, "geometry").where("n_flagged > 0").collect()  # per mesh
     for r in flagged:
         log.warning("mesh %s: %d invalid/empty/missing geometries (not repaired)", r["source_mesh"], r["n_flagged"])

@@ -96,6 +96,12 @@ def write_geo_metadata(spark: SparkSession, df: DataFrame, path: str, geometry:
     return meta
 
 
+def read_geo_metadata(spark: SparkSession, path: str) -> dict:
+    """The geo metadata written by ``write_geo_metadata`` (one JSON row)."""
+    row = spark.read.text(path).first()
+    return json.loads(row[0]) if row else {}
+
+
 def load_stage(spark: SparkSession, paths: Sequence[str], table_path: str, base_path: str | None = None) -> int:
     """Truncate + append of all parts into the stage table as one atomic overwrite (K6)."""
     if not paths:
