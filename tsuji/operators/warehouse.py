@@ -91,12 +91,10 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE``: rows of ``changes`` replace same-key rows of
     ``target``, new keys are added, the rest of ``target`` is kept.
 
-    One full outer join on the keys; write the result to a new path and swap, since plain parquet
-    tables have no in-place MERGE.
+    Written as ``target LEFT ANTI changes`` plus ``changes``: unlike a full outer join (which can
+    never be broadcast) the anti join lets AQE broadcast a change batch whose measured size is
+    small, so the large target is not shuffled. Write the result to a new path and swap, since
+    plain parquet tables have no in-place MERGE.
     """
-    cols = [c for c in target.columns if c not in keys]
-    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"))
-    n = changes.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_in_n"))
-    j = t.join(n, keys, "full_outer")
-    return j.select(*keys, *[F.when(F.col("_in_n"), F.col(f"_n_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
-                             for c in cols])
+    kept = target.join(changes.select(*keys), keys, "left_anti")
+    return kept.unionByName(changes.select(*target.columns))
