@@ -18,6 +18,7 @@ from ..sources import geojson
 LISTED_PREFS = ("11", "12", "13", "14")
 
 _cache: dict[tuple, str] = {}
+_cells: dict[tuple, float] = {}
 
 
 def admin_area(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +32,18 @@ def admin_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def admin_cell(spark: SparkSession, sf_dir: str) -> float:
+    """Grid cell size for the admin table (median polygon extent), computed once per loaded table."""
+    key = ("admin_cell", spark.sparkContext.applicationId, sf_dir)
+    if key not in _cells:
+        _cells[key] = sj.default_cell_size(admin_area(spark, sf_dir))
+    return _cells[key]
+
+
 def roads_pref(spark: SparkSession, sf_dir: str) -> DataFrame:
     """roads joined to their prefecture: the content of ``roads_p``."""
     roads = fx.roads(spark, sf_dir)
-    hit = sj.assign_pref(roads.select("fid", "line"), admin_area(spark, sf_dir))
+    hit = sj.assign_pref(roads.select("fid", "line"), admin_area(spark, sf_dir), cell=admin_cell(spark, sf_dir))
     return roads.join(hit.select("fid", "pref_code"), "fid")
 
 
@@ -73,14 +82,15 @@ def admin_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pref_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each road's admin area and prefecture code (unmatched roads drop)."""
-    hit = sj.assign_pref(fx.roads(spark, sf_dir).select("fid", "line"), admin_area(spark, sf_dir))
+    hit = sj.assign_pref(fx.roads(spark, sf_dir).select("fid", "line"), admin_area(spark, sf_dir),
+                         cell=admin_cell(spark, sf_dir))
     return hit.select("fid", "admin_code", "pref_code")
 
 
 def pref_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roads whose representative point lies in no admin polygon."""
     roads = fx.roads(spark, sf_dir).select("fid", "line")
-    hit = sj.assign_pref(roads, admin_area(spark, sf_dir))
+    hit = sj.assign_pref(roads, admin_area(spark, sf_dir), cell=admin_cell(spark, sf_dir))
     return sj.unmatched(roads, hit).select("fid")
 
 
