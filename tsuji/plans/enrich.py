@@ -52,14 +52,16 @@ def roads_p_path(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _cache.get(key)
     if path is None or (path.startswith("/") and not os.path.exists(path)):
-        rp = roads_pref(spark, sf_dir)
+        new = pt.write_list_partitioned(roads_pref(spark, sf_dir), scratch_path(spark, "roads_p"),
+                                        "pref_code", LISTED_PREFS, spread_col="fid")
         # composite primary key (fid, pref_code): a road matched twice (overlapping polygons) aborts
-        # the load, as the key violation rolls back the insert in a database
-        dup = rp.groupBy("fid", "pref_code").count().where("count > 1").select("fid").limit(1).collect()
+        # the load, as the key violation rolls back the insert in a database. Checked on the written
+        # table (two narrow columns); the new path is published only when clean.
+        written = pt.read_list_partitioned(spark, new).select("fid", "pref_code")
+        dup = written.groupBy("fid", "pref_code").count().where("count > 1").select("fid").limit(1).collect()
         if dup:
             raise ValueError(f"roads_p: duplicate key (fid, pref_code) for fid {dup[0]['fid']}")
-        path = pt.write_list_partitioned(rp, scratch_path(spark, "roads_p"), "pref_code", LISTED_PREFS,
-                                         spread_col="fid")
+        path = new
         _cache[key] = path
     return path
 
