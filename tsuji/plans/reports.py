@@ -27,15 +27,14 @@ RG_SCHEMA = T.StructType([
 
 
 def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
+    from ..session import arrow_fs
+
     for pdf in batches:
         rows = []
         for path in pdf["path"]:
-            if path.startswith("file:"):
-                path = path[len("file:"):]
-            fs, p = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+            fs, p = arrow_fs(path)
             with fs.open_input_file(p) as fh:
                 md = pq.ParquetFile(fh).metadata
             for rg in range(md.num_row_groups):

@@ -85,3 +85,18 @@ def materialized(spark: SparkSession, name: str, key: tuple, build) -> str:
         spread_small(build()).write.mode("overwrite").parquet(path)
         _materialized[k] = path
     return path
+
+
+def arrow_fs(path: str):
+    """(pyarrow filesystem, path) for a Spark-style URI, for the few tasks that touch storage
+    directly: ``file:`` and bare paths are local, ``s3a://`` is read as ``s3://``, other schemes
+    (``hdfs://``, ``gs://``, ...) go to pyarrow's resolver."""
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    if path.startswith("s3a://") or path.startswith("s3n://"):
+        path = "s3://" + path.split("://", 1)[1]
+    return pafs.FileSystem.from_uri(path)

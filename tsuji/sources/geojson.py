@@ -155,7 +155,8 @@ def _geometry_json(rec: dict):
 def _archive_writer(root: str, mesh_col: str, chunk_col: str, prefix: str = "N13-24", crs: int = 6668):
     def write(pdf):
         import pandas as pd
-        import pyarrow.fs as pafs
+
+        from ..session import arrow_fs
 
         mesh = str(pdf[mesh_col].iloc[0])
         chunk = int(pdf[chunk_col].iloc[0])
@@ -171,7 +172,7 @@ def _archive_writer(root: str, mesh_col: str, chunk_col: str, prefix: str = "N13
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
             zf.writestr(name[:-4] + ".geojson", json.dumps(fc, ensure_ascii=False))
             zf.writestr(f"KS-META-{mesh}.xml", "<meta/>")
-        fs, base = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
+        fs, base = arrow_fs(root)
         fs.create_dir(base, recursive=True)
         with fs.open_output_stream(f"{base}/{name}") as out:
             out.write(buf.getvalue())
