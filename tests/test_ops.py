@@ -294,3 +294,21 @@ def test_geo_metadata_roundtrip(spark):
     col = back["columns"]["line"]
     assert col["bbox"] == [139.0, 35.0, 140.1, 36.5]            # the union of all rows, not the first part's
     assert col["crs"]["id"]["code"] == 6668
+
+
+def test_band_index_equals_full_ray_cast_on_detailed_polygons(spark):
+    import math
+    def ring(cx, cy, r, n, step=1):
+        pts = [{"x": cx + r * math.cos(2 * math.pi * k / n), "y": cy + r * math.sin(2 * math.pi * k / n)}
+               for k in range(0, n, step)]
+        return pts + [pts[0]]
+    circle = [[ring(0.0, 0.0, 1.0, 2000), ring(0.2, 0.1, 0.3, 500)]]          # shell with a hole
+    square = [[[{"x": 1.0, "y": -0.5}, {"x": 2.0, "y": -0.5}, {"x": 2.0, "y": 0.5}, {"x": 1.0, "y": 0.5},
+                {"x": 1.0, "y": -0.5}]]]
+    polys = spark.createDataFrame([(1, circle), (2, square)],
+                                  "gid long, mpoly array<array<array<struct<x:double,y:double>>>>")
+    pts = spark.createDataFrame([(i, -1.2 + (i % 71) * 0.047, -1.2 + (i // 71) * 0.034) for i in range(71 * 71)],
+                                "fid long, px double, py double")
+    got = {(r.fid, r.gid) for r in spatial_join.points_in_polygons(pts, polys, cell=0.25).collect()}
+    brute = {(r.fid, r.gid) for r in pts.crossJoin(polys).where(geom.contains_point("mpoly", "px", "py")).collect()}
+    assert got == brute and len(got) > 1000

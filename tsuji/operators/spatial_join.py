@@ -16,7 +16,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geom
@@ -31,12 +31,49 @@ def default_cell_size(polys: DataFrame, mpoly: str = "mpoly") -> float:
 
 
 def polygon_cells(polys: DataFrame, cell: float, key: str = "gid", mpoly: str = "mpoly") -> DataFrame:
-    """(cx, cy, key) for every grid cell touched by each polygon's bbox."""
+    """(cx, cy, key, pb) for every grid cell touched by each polygon's bbox ``pb``."""
     b = geom.bounds(geom.polygon_vertices(mpoly))
     c = F.lit(float(cell))
-    return (polys.select(key, b.alias("b"))
-            .select(key, "b", F.explode(F.sequence(F.floor(F.col("b.xmin") / c), F.floor(F.col("b.xmax") / c))).alias("cx"))
-            .select(key, "cx", F.explode(F.sequence(F.floor(F.col("b.ymin") / c), F.floor(F.col("b.ymax") / c))).alias("cy")))
+    return (polys.select(key, b.alias("pb"))
+            .select(key, "pb", F.explode(F.sequence(F.floor(F.col("pb.xmin") / c), F.floor(F.col("pb.xmax") / c))).alias("cx"))
+            .select(key, "pb", "cx", F.explode(F.sequence(F.floor(F.col("pb.ymin") / c), F.floor(F.col("pb.ymax") / c))).alias("cy")))
+
+
+def polygon_bands(polys: DataFrame, cell: float, key: str = "gid", mpoly: str = "mpoly") -> DataFrame:
+    """(key, cy, edges): the edges of all rings of a polygon whose y-range overlaps grid row ``cy``.
+
+    A horizontal ray at ``y = py`` can only cross (or contain the point on) an edge whose y-range
+    contains ``py``, and every such edge overlaps the point's row, so testing a point against its
+    row's edges gives exactly the same answer as testing all edges. The group per (polygon, row)
+    holds a share of that polygon's edges: its size depends on polygon detail, not on the data."""
+    c = F.lit(float(cell))
+    rings = F.flatten(F.col(mpoly))
+    edges = F.flatten(F.transform(rings, lambda r: F.arrays_zip(
+        F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0))).alias("a"),
+        F.slice(r, 2, F.greatest(F.size(r) - 1, F.lit(0))).alias("b"))))
+    e = polys.select(key, F.explode(edges).alias("e"))
+    lo = F.floor(F.least(F.col("e.a.y"), F.col("e.b.y")) / c)
+    hi = F.floor(F.greatest(F.col("e.a.y"), F.col("e.b.y")) / c)
+    return (e.select(key, "e", F.explode(F.sequence(lo, hi)).alias("cy"))
+            .groupBy(key, "cy").agg(F.collect_list("e").alias("edges")))
+
+
+def contains_point_edges(edges, px, py) -> Column:
+    """Interior test against a flat edge list (shell and hole edges of disjoint polygons together):
+    even-odd crossings of the ray to +x, and false when the point lies on an edge."""
+    px, py = F.col(px) if isinstance(px, str) else px, F.col(py) if isinstance(py, str) else py
+
+    def step(acc, e):
+        a, b = e["a"], e["b"]
+        cross = ((a["y"] > py) != (b["y"] > py)) & (px < (b["x"] - a["x"]) * (py - a["y"]) / (b["y"] - a["y"]) + a["x"])
+        side = (b["x"] - a["x"]) * (py - a["y"]) - (b["y"] - a["y"]) * (px - a["x"])
+        on = ((side == 0) & (px >= F.least(a["x"], b["x"])) & (px <= F.greatest(a["x"], b["x"]))
+              & (py >= F.least(a["y"], b["y"])) & (py <= F.greatest(a["y"], b["y"])))
+        return F.struct(F.when(cross, acc["n"] + 1).otherwise(acc["n"]).alias("n"), (acc["on"] | on).alias("on"))
+
+    e = F.col(edges) if isinstance(edges, str) else edges
+    return F.aggregate(e, F.struct(F.lit(0).alias("n"), F.lit(False).alias("on")), step,
+                       lambda acc: ((acc["n"] % 2) == 1) & ~acc["on"])
 
 
 def points_in_polygons(points: DataFrame, polys: DataFrame, *, px: str = "px", py: str = "py",
@@ -48,17 +85,19 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, *, px: str = "px", p
     cell = cell or default_cell_size(polys, mpoly)
     c = F.lit(float(cell))
     cells = polygon_cells(polys, cell, key, mpoly)
+    bands = polygon_bands(polys, cell, key, mpoly)
     # non-nullable cell keys: no inferred IS NOT NULL filter that would re-evaluate the point expression
     pts = (points.withColumn("cx", F.coalesce(F.floor(F.col(px) / c), F.lit(-(2 ** 62))))
            .withColumn("cy", F.coalesce(F.floor(F.col(py) / c), F.lit(-(2 ** 62)))))
-    cand = pts.join(cells, ["cx", "cy"]).drop("cx", "cy")
-    # strict bbox test first (plain comparisons, codegen'd): interior points lie strictly inside it,
-    # so most grid candidates are rejected before the ray cast runs
-    pb = polys.withColumn("_pb", geom.bounds(geom.polygon_vertices(mpoly)))
-    b = F.col("_pb")
+    # strict bbox test right after the cell join (plain comparisons, codegen'd): interior points lie
+    # strictly inside the polygon's bbox, so most grid candidates never reach the ray cast
+    b = F.col("pb")
     inside_box = (F.col(px) > b["xmin"]) & (F.col(px) < b["xmax"]) & (F.col(py) > b["ymin"]) & (F.col(py) < b["ymax"])
-    exact = cand.join(pb, key).where(inside_box & geom.contains_point(mpoly, px, py))
-    return exact.drop(mpoly, "_pb")
+    cand = pts.join(cells, ["cx", "cy"]).where(inside_box).drop("cx", "pb")
+    # exact test against the edges of the point's grid row only
+    exact = cand.join(bands, [key, "cy"]).where(contains_point_edges("edges", px, py)).drop("cy", "edges")
+    attrs = [c_ for c_ in polys.columns if c_ not in (key, mpoly)]
+    return exact.join(polys.select(key, *attrs), key) if attrs else exact
 
 
 def roads_with_point(roads: DataFrame, line: str = "line", keep: tuple[str, ...] = ("fid",)) -> DataFrame:
