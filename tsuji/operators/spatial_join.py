@@ -77,15 +77,17 @@ def contains_point_edges(edges, px, py) -> Column:
 
 
 def points_in_polygons(points: DataFrame, polys: DataFrame, *, px: str = "px", py: str = "py",
-                       key: str = "gid", mpoly: str = "mpoly", cell: float | None = None) -> DataFrame:
+                       key: str = "gid", mpoly: str = "mpoly", cell: float | None = None,
+                       cells: DataFrame | None = None, bands: DataFrame | None = None) -> DataFrame:
     """Inner join of points to the polygon that strictly contains them (boundary is outside).
 
-    Returns the point columns plus ``key``; points matching no polygon drop out.
+    Returns the point columns plus ``key``; points matching no polygon drop out. ``cells`` and
+    ``bands`` may be passed in when they were built once for a polygon table (same ``cell``).
     """
     cell = cell or default_cell_size(polys, mpoly)
     c = F.lit(float(cell))
-    cells = polygon_cells(polys, cell, key, mpoly)
-    bands = polygon_bands(polys, cell, key, mpoly)
+    cells = cells if cells is not None else polygon_cells(polys, cell, key, mpoly)
+    bands = bands if bands is not None else polygon_bands(polys, cell, key, mpoly)
     # non-nullable cell keys: no inferred IS NOT NULL filter that would re-evaluate the point expression
     pts = (points.withColumn("cx", F.coalesce(F.floor(F.col(px) / c), F.lit(-(2 ** 62))))
            .withColumn("cy", F.coalesce(F.floor(F.col(py) / c), F.lit(-(2 ** 62)))))
@@ -110,10 +112,11 @@ def roads_with_point(roads: DataFrame, line: str = "line", keep: tuple[str, ...]
     return p.select(*keep, F.coalesce(F.col("_pt.x"), nan).alias("px"), F.coalesce(F.col("_pt.y"), nan).alias("py"))
 
 
-def assign_pref(roads: DataFrame, admin: DataFrame, cell: float | None = None) -> DataFrame:
+def assign_pref(roads: DataFrame, admin: DataFrame, cell: float | None = None,
+                cells: DataFrame | None = None, bands: DataFrame | None = None) -> DataFrame:
     """Roads with ``pref_code = left(admin_code, 2)`` of the admin polygon holding their point."""
     pts = roads_with_point(roads)
-    hit = points_in_polygons(pts, admin.select("gid", "admin_code", "mpoly"), cell=cell)
+    hit = points_in_polygons(pts, admin.select("gid", "admin_code", "mpoly"), cell=cell, cells=cells, bands=bands)
     return hit.select("fid", "gid", "admin_code", F.left(F.col("admin_code"), F.lit(2)).alias("pref_code"))
 
 

@@ -40,10 +40,29 @@ def admin_cell(spark: SparkSession, sf_dir: str) -> float:
     return _cells[key]
 
 
+def admin_index(spark: SparkSession, sf_dir: str) -> dict:
+    """Grid cells and (polygon, row) edge lists of the loaded admin table, written once."""
+    cell = admin_cell(spark, sf_dir)
+    out = {}
+    for name, build in (("cells", sj.polygon_cells), ("bands", sj.polygon_bands)):
+        key = (f"admin_{name}", spark.sparkContext.applicationId, sf_dir)
+        path = _cache.get(key)
+        if path is None or (path.startswith("/") and not os.path.exists(path)):
+            path = scratch_path(spark, f"admin_{name}")
+            build(admin_area(spark, sf_dir), cell).write.mode("overwrite").parquet(path)
+            _cache[key] = path
+        out[name] = spark.read.parquet(path)
+    return {"cell": cell, **out}
+
+
+def _assign(spark: SparkSession, sf_dir: str, roads: DataFrame) -> DataFrame:
+    return sj.assign_pref(roads, admin_area(spark, sf_dir), **admin_index(spark, sf_dir))
+
+
 def roads_pref(spark: SparkSession, sf_dir: str) -> DataFrame:
     """roads joined to their prefecture: the content of ``roads_p``."""
     roads = fx.roads(spark, sf_dir)
-    hit = sj.assign_pref(roads.select("fid", "line"), admin_area(spark, sf_dir), cell=admin_cell(spark, sf_dir))
+    hit = _assign(spark, sf_dir, roads.select("fid", "line"))
     return roads.join(hit.select("fid", "pref_code"), "fid")
 
 
@@ -90,15 +109,14 @@ def admin_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pref_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each road's admin area and prefecture code (unmatched roads drop)."""
-    hit = sj.assign_pref(fx.roads(spark, sf_dir).select("fid", "line"), admin_area(spark, sf_dir),
-                         cell=admin_cell(spark, sf_dir))
+    hit = _assign(spark, sf_dir, fx.roads(spark, sf_dir).select("fid", "line"))
     return hit.select("fid", "admin_code", "pref_code")
 
 
 def pref_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roads whose representative point lies in no admin polygon."""
     roads = fx.roads(spark, sf_dir).select("fid", "line")
-    hit = sj.assign_pref(roads, admin_area(spark, sf_dir), cell=admin_cell(spark, sf_dir))
+    hit = _assign(spark, sf_dir, roads)
     return sj.unmatched(roads, hit).select("fid")
 
 
