@@ -6,8 +6,10 @@ cell, and the join is an equi join on the cell (then on the polygon id for the e
 Because a point has a single cell, no candidate pair is produced twice and no dedup is needed.
 
 Scale notes:
-* the cell table holds ``(cx, cy, gid)`` only, so a large polygon spanning many cells does not
-  copy its rings; rings meet the candidates in a second equi join on ``gid``;
+* the cell table holds ``(cx, cy, gid, bbox)`` only, so a large polygon spanning many cells does
+  not copy its rings; a strict bbox test drops most candidates right after that join;
+* the exact test joins on ``(gid, grid row)`` to the edges overlapping that row, so a detailed
+  polygon (thousands of vertices) costs a slice of its edges per point, not all of them;
 * both joins are left to AQE: the small side is broadcast when its *measured* size is under the
   threshold, otherwise a sort-merge join whose skewed partitions (a hot cell or a hot polygon
   holding a third of all roads) are split by the skew-join rule;
