@@ -1,6 +1,8 @@
 """Run registered Spark queries and their DuckDB oracles side by side and compare.
 
-Usage: python tests/compare_oracle.py [sf_dir] [name ...]
+Usage: python tests/compare_oracle.py [sf_dir] [--exact] [name ...]
+
+Floats are compared at 6 decimals by default; ``--exact`` compares their exact values.
 """
 
 from __future__ import annotations
@@ -28,11 +30,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = False
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return repr(v) if EXACT else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, (list, tuple)):
@@ -85,7 +90,9 @@ def compare(spark, sf_dir: str, name: str, q, sql: str | None, con) -> dict:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
-    names = [a for a in argv[1:] if not a.startswith("/")]
+    global EXACT
+    EXACT = "--exact" in argv
+    names = [a for a in argv[1:] if not a.startswith("/") and not a.startswith("--")]
     import __spark_entry__ as E
     from tsuji.session import local_session
 
