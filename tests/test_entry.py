@@ -7,8 +7,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+import compare_oracle
 from compare_oracle import compare, duck
 
+compare_oracle.EXACT = True      # floats must be equal, not just close
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 
