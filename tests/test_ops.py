@@ -312,3 +312,24 @@ def test_band_index_equals_full_ray_cast_on_detailed_polygons(spark):
     got = {(r.fid, r.gid) for r in spatial_join.points_in_polygons(pts, polys, cell=0.25).collect()}
     brute = {(r.fid, r.gid) for r in pts.crossJoin(polys).where(geom.contains_point("mpoly", "px", "py")).collect()}
     assert got == brute and len(got) > 1000
+
+
+@pytest.mark.parametrize("layout", ["lines", "one-line", "pretty", "no-crs"])
+def test_member_parsing_layouts(layout):
+    import json as _json
+    from tsuji.sources.geojson import _iter_member
+    feats = [{"type": "Feature", "properties": {"a": i},
+              "geometry": {"type": "LineString", "coordinates": [[0, i], [1, i]]}} for i in range(5)]
+    fc = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::6668"}},
+          "features": feats}
+    head = {k: v for k, v in fc.items() if k != "features"}
+    text = {"lines": _json.dumps(head)[:-1] + ',\n"features": [\n' + ",\n".join(_json.dumps(f) for f in feats) + "\n]\n}\n",
+            "one-line": _json.dumps(fc), "pretty": _json.dumps(fc, indent=2),
+            "no-crs": _json.dumps({"type": "FeatureCollection", "features": feats}, indent=1)}[layout]
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("m.geojson", text)
+    with zipfile.ZipFile(io.BytesIO(buf.getvalue())) as z:
+        srid, it = _iter_member(z, "m.geojson")
+        assert [f["properties"]["a"] for f in it] == [0, 1, 2, 3, 4]
+    assert srid == (4326 if layout == "no-crs" else 6668)

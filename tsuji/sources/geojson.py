@@ -71,6 +71,46 @@ def _pts(coords) -> list[dict]:
     return [{"x": float(c[0]), "y": float(c[1])} for c in coords]
 
 
+def _iter_member(zf: zipfile.ZipFile, member: str):
+    """(srid, iterator of feature dicts) of a FeatureCollection member, streamed when possible.
+
+    With one feature per line (the usual layout of GeoJSON writers) the member is read line by line
+    and only one feature is held at a time; any other layout is parsed as a whole document."""
+    head: list[str] = []
+    with zf.open(member) as raw:
+        for line in io.TextIOWrapper(raw, encoding="utf-8"):
+            head.append(line)
+            if '"features"' in line and line.rstrip().endswith("["):
+                break
+        else:                                    # no line-oriented feature array: whole document
+            fc = json.loads("".join(head))
+            return crs_srid(fc), iter(fc.get("features") or [])
+    m = re.search(r'"crs"\s*:\s*\{.*?"name"\s*:\s*"([^"]*)"', "".join(head), re.S)
+    srid = crs_srid({"crs": {"properties": {"name": m.group(1)}}} if m else {})
+    return srid, _stream(zf, member, len(head))
+
+
+def _stream(zf: zipfile.ZipFile, member: str, skip: int):
+    """Features after the header, one JSON object per line; if a line is not a whole feature
+    (e.g. a pretty-printed file), continue from the whole-document parse."""
+    done = 0
+    try:
+        with zf.open(member) as raw:
+            for k, ln in enumerate(io.TextIOWrapper(raw, encoding="utf-8")):
+                if k < skip:
+                    continue
+                t = ln.strip()
+                if t.endswith(","):
+                    t = t[:-1]
+                if t.startswith("{"):
+                    feat = json.loads(t)
+                    yield feat
+                    done += 1
+    except json.JSONDecodeError:
+        fc = json.loads(zf.read(member).decode("utf-8"))
+        yield from (fc.get("features") or [])[done:]
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cols = {k: [] for k in _ARROW_SCHEMA.names}
 
@@ -85,27 +125,26 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fname = path.rsplit("/", 1)[-1]
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 member = data_member(zf.namelist(), fname)
-                fc = json.loads(zf.read(member).decode("utf-8"))
-            srid = crs_srid(fc)
-            for i, feat in enumerate(fc.get("features") or []):
-                g = feat.get("geometry")
-                gtype = g.get("type") if g else None
-                coords = (g or {}).get("coordinates")
-                line = _pts(coords) if gtype == "LineString" and coords is not None else None
-                rings = [_pts(r) for r in coords] if gtype == "Polygon" and coords is not None else None
-                multi = ([[_pts(r) for r in p] for p in coords]
-                         if gtype == "MultiPolygon" and coords is not None else None)
-                cols["file_name"].append(fname)
-                cols["member"].append(member)
-                cols["feature_no"].append(i)
-                cols["geom_type"].append(gtype)
-                cols["properties"].append(json.dumps(feat.get("properties") or {}, ensure_ascii=False))
-                cols["geometry"].append(line)
-                cols["rings"].append(rings)
-                cols["multi_rings"].append(multi)
-                cols["srid"].append(srid)
-                if len(cols["file_name"]) >= BATCH_ROWS:
-                    yield flush()
+                srid, feats = _iter_member(zf, member)
+                for i, feat in enumerate(feats):
+                    g = feat.get("geometry")
+                    gtype = g.get("type") if g else None
+                    coords = (g or {}).get("coordinates")
+                    line = _pts(coords) if gtype == "LineString" and coords is not None else None
+                    rings = [_pts(r) for r in coords] if gtype == "Polygon" and coords is not None else None
+                    multi = ([[_pts(r) for r in p] for p in coords]
+                             if gtype == "MultiPolygon" and coords is not None else None)
+                    cols["file_name"].append(fname)
+                    cols["member"].append(member)
+                    cols["feature_no"].append(i)
+                    cols["geom_type"].append(gtype)
+                    cols["properties"].append(json.dumps(feat.get("properties") or {}, ensure_ascii=False))
+                    cols["geometry"].append(line)
+                    cols["rings"].append(rings)
+                    cols["multi_rings"].append(multi)
+                    cols["srid"].append(srid)
+                    if len(cols["file_name"]) >= BATCH_ROWS:
+                        yield flush()
     if cols["file_name"]:
         yield flush()
 
@@ -168,9 +207,12 @@ def _archive_writer(root: str, mesh_col: str, chunk_col: str, prefix: str = "N13
             feats.append({"type": "Feature", "properties": props, "geometry": geometry})
         fc = {"type": "FeatureCollection", "name": name[:-4],
               "crs": {"type": "name", "properties": {"name": f"urn:ogc:def:crs:EPSG::{crs}"}}, "features": feats}
+        head = {k: v for k, v in fc.items() if k != "features"}
+        text = (json.dumps(head, ensure_ascii=False)[:-1] + ',\n"features": [\n'
+                + ",\n".join(json.dumps(f, ensure_ascii=False) for f in feats) + "\n]\n}\n")
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr(name[:-4] + ".geojson", json.dumps(fc, ensure_ascii=False))
+            zf.writestr(name[:-4] + ".geojson", text)
             zf.writestr(f"KS-META-{mesh}.xml", "<meta/>")
         fs, base = arrow_fs(root)
         fs.create_dir(base, recursive=True)
