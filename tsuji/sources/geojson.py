@@ -1,8 +1,8 @@
 """Zipped GeoJSON mesh archives: reader (S1, S4, G14) and a writer for producing them.
 
-Reading: ``binaryFile`` lists the archives (one row per file, contents loaded lazily per task),
-``mapInArrow`` opens each zip with the standard library and emits one row per feature in Arrow
-batches, and Spark parses the ``properties`` JSON natively with a declared schema. A zip is not
+Reading: ``binaryFile`` lists the archives (only the path column is selected, so contents are not
+read), ``mapInArrow`` opens each zip by path with random access and emits one row per feature in
+Arrow batches, and Spark parses the ``properties`` JSON natively with a declared schema. A zip is not
 splittable, so one archive is one task; the reader repartitions right after so that the work on
 features is spread over the cluster.
 """
@@ -120,10 +120,20 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v.clear()
         return out
 
+    from ..session import arrow_fs
+
     for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+        paths = batch.column("path").to_pylist()
+        contents = (batch.column("content").to_pylist() if "content" in batch.schema.names
+                    else [None] * len(paths))
+        for path, content in zip(paths, contents):
             fname = path.rsplit("/", 1)[-1]
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            if content is not None:
+                src = io.BytesIO(content)
+            else:                                # random access by path: the archive is never held whole
+                fs, p = arrow_fs(path)
+                src = fs.open_input_file(p)
+            with src, zipfile.ZipFile(src) as zf:
                 member = data_member(zf.namelist(), fname)
                 srid, feats = _iter_member(zf, member)
                 for i, feat in enumerate(feats):
@@ -156,8 +166,10 @@ def read_mesh_archives(spark: SparkSession, root: str, glob: str = "*.zip",
     The 8 known ``N13_*`` attributes are parsed with a declared schema (all text, as delivered);
     ``properties`` keeps the complete JSON so unknown attributes are never lost.
     """
+    # only the path is selected, so Spark never reads the archive bytes; each task opens its
+    # archives by path with random access
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(root).select("path", "content"))
+             .option("recursiveFileLookup", "true").load(root).select("path"))
     feats = files.mapInArrow(_features, FEATURE_SCHEMA)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     feats = feats.repartition(n)
@@ -172,7 +184,7 @@ def read_feature_archives(spark: SparkSession, root: str, attributes: list[str],
     """Like ``read_mesh_archives`` for any feature type, with the given text ``attributes``.
     A missing ``root`` is an error (Spark's PATH_NOT_FOUND)."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(root).select("path", "content"))
+             .option("recursiveFileLookup", "true").load(root).select("path"))
     feats = files.mapInArrow(_features, FEATURE_SCHEMA).repartition(
         partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = T.StructType([T.StructField(k, T.StringType()) for k in attributes])

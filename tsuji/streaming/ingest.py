@@ -29,7 +29,7 @@ def _archives_stream(spark: SparkSession, landing: str, max_files_per_trigger: i
          .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = r.load(landing).select("path", "content")
+    files = r.load(landing).select("path")            # archives are opened by path inside the task
     feats = files.mapInArrow(geojson._features, geojson.FEATURE_SCHEMA)
     known = [F.get_json_object("properties", f"$.{k}").alias(k) for k in geojson.COLUMN_MAP]
     return feats.select("file_name", *known, "geom_type", "geometry", "srid")
