@@ -2,7 +2,7 @@
 
 ``ST_Contains(poly, ST_PointOnSurface(line))`` as a plain theta join would plan a nested loop.
 Instead every polygon lists the grid cells its bbox touches, every point falls in exactly one
-cell, and the join is an equi join on the cell (then on the polygon id for the exact test).
+cell, and the join is an equi join on the cell (then on (polygon id, grid row) for the exact test).
 Because a point has a single cell, no candidate pair is produced twice and no dedup is needed.
 
 Scale notes:
@@ -62,7 +62,8 @@ def polygon_bands(polys: DataFrame, cell: float, key: str = "gid", mpoly: str =
 
 def contains_point_edges(edges, px, py) -> Column:
     """Interior test against a flat edge list (shell and hole edges of disjoint polygons together):
-    even-odd crossings of the ray to +x, and false when the point lies on an edge."""
+    even-odd crossings of the ray to +x, and false when the point lies on an edge. For a valid
+    multipolygon (parts do not overlap) this equals "inside one of its polygons"."""
     px, py = F.col(px) if isinstance(px, str) else px, F.col(py) if isinstance(py, str) else py
 
     def step(acc, e):
