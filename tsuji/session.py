@@ -39,19 +39,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; set a local one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage (HDFS, S3, ...); every written
     intermediate table in this package goes below it, never to a machine-local folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = (spark.conf.get("spark.checkpoint.dir", None) or _local_dirs.get(sc.applicationId)
+         or sc.getCheckpointDir())
     if not d:
         # Only reached in tests / local runs where nothing was configured.
         d = tempfile.mkdtemp(prefix="tsuji-ckpt-", dir=os.environ.get("TSUJI_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        _local_dirs[sc.applicationId] = d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # not settable at runtime in this deployment: the record above is used
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
