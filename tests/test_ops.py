@@ -333,3 +333,18 @@ def test_member_parsing_layouts(layout):
         srid, it = _iter_member(z, "m.geojson")
         assert [f["properties"]["a"] for f in it] == [0, 1, 2, 3, 4]
     assert srid == (4326 if layout == "no-crs" else 6668)
+
+
+def test_fetch_worklist_skips_existing_non_empty_files(spark):
+    from tsuji.sources import fetch
+    root = _tmp()
+    with open(f"{root}/a.zip", "wb") as fh:
+        fh.write(b"x" * 10)                       # done: exists with size > 0
+    open(f"{root}/b.zip", "wb").close()           # empty: fetched again
+    urls = spark.createDataFrame([(1, "https://h/p/a.zip"), (2, "https://h/q/b.zip"), (3, "https://h/c.zip?x=1"),
+                                  (4, "https://h/r/c.zip")], "page_id long, url string")
+    got = {(r.page_id, r.name) for r in fetch.worklist(urls, fetch.listing(spark, root)).collect()}
+    assert got == {(2, "b.zip"), (3, "c.zip")}    # c.zip once, the first URL in order
+    bad = spark.createDataFrame([(1, "https://h/")], "page_id long, url string")
+    with pytest.raises(Exception, match="Cannot derive a filename"):
+        fetch.worklist(bad, fetch.listing(spark, root)).collect()
