@@ -83,3 +83,22 @@ def test_summary_of_no_log(spark):
     empty = spark.createDataFrame([], "seq long, probe long, message string")
     s = transfer.summarize_transfer(transfer.parse_log(empty)).first()
     assert (s.n_requests, s.n_get, s.get_bytes, s.full_size, s.fraction) == (0, 0, 0, None, None)
+
+
+def test_url_file_name_equals_urlparse_path_name(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from tsuji.functions.text import url_file_name
+    urls = ["http://a.com/x/y.zip?q=1#f", "example.com/a/b.zip", "https://h/dir/", "https://h", "ftp://h/p/f.txt",
+            "/rel/path.zip", "file:///tmp/z.zip", "https://h/a//b.geojson", "https://h/N13-24_3622_GEOJSON.zip"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    got = {r.u: r.n for r in df.select("u", url_file_name("u").alias("n")).collect()}
+    assert got == {u: Path(urlparse(u).path).name for u in urls}
+
+
+def test_wkt_spacing_and_case(spark):
+    from tsuji.functions.geom import line_from_wkt
+    rows = [("LINESTRING(1 2,3 4)",), ("linestring ( 1 2 , 3 4 )",), ("  LineString(1.5   2.5, 3 4)  ",)]
+    got = [[(p.x, p.y) for p in r[0]] for r in spark.createDataFrame(rows, "w string").select(line_from_wkt("w")).collect()]
+    assert got == [[(1.0, 2.0), (3.0, 4.0)], [(1.0, 2.0), (3.0, 4.0)], [(1.5, 2.5), (3.0, 4.0)]]
