@@ -86,10 +86,10 @@ def vincenty(lon1, lat1, lon2, lat2, a: float = WGS84_A, f: float = WGS84_F,
         return F.lit(b) * A * (st["sig"] - dsig)
 
     # constants are evaluated once (initial value); pass 0 evaluates the state at lambda = L,
-    # passes 1..n each refine lambda once
+    # passes 1..n-1 refine lambda; the distance uses the state of the last pass
     empty = F.lit(None).cast("struct<lam:double,ss:double,cs:double,sig:double,sa:double>")
     dist = F.aggregate(
-        F.sequence(F.lit(0), F.lit(iterations)),
+        F.sequence(F.lit(0), F.lit(iterations - 1)),
         F.struct(consts.alias("k"), empty.alias("st")),
         lambda acc, i: F.struct(acc["k"].alias("k"), F.when(i == 0, state(acc["k"], acc["k"]["L"]))
                                 .otherwise(step(acc["k"], acc["st"])).alias("st")),
@@ -155,16 +155,17 @@ def with_spheroid_length(seg: DataFrame, out: str = "seg_len", a: float = WGS84_
         c2sm = F.when(c2a == 0, F.lit(0.0)).otherwise(cs - 2 * s1 * s2 / c2a)
         return ss, cs, F.atan2(ss, cs), sa, c2a, c2sm
 
-    lam = L
-    df = df.select(*keep, *consts, lam.alias("_lam"))
-    for _ in range(iterations):
+    df = df.select(*keep, *consts, L.alias("_lam"))
+    for k in range(iterations):
         ss, cs, sig, sa, c2a, c2sm = state(col("_lam"))
-        C = F.lit(f / 16) * c2a * (4 + F.lit(f) * (4 - 3 * c2a))
-        nxt = L + (1 - C) * F.lit(f) * sa * (sig + C * ss * (c2sm + C * cs * (-1 + 2 * c2sm * c2sm)))
-        df = df.select(*keep, *consts, nxt.alias("_lam"))
-    ss, cs, sig, sa, c2a, c2sm = state(col("_lam"))
-    df = df.select(*keep, "_same", ss.alias("_ss"), cs.alias("_cs"), sig.alias("_sig"),
-                   c2sm.alias("_c2sm"), (c2a * F.lit((a * a - b * b) / (b * b))).alias("_u2"))
+        if k < iterations - 1:
+            C = F.lit(f / 16) * c2a * (4 + F.lit(f) * (4 - 3 * c2a))
+            nxt = L + (1 - C) * F.lit(f) * sa * (sig + C * ss * (c2sm + C * cs * (-1 + 2 * c2sm * c2sm)))
+            df = df.select(*keep, *consts, nxt.alias("_lam"))
+        else:
+            # the distance uses the last iteration's state, as in the classic formulation
+            df = df.select(*keep, "_same", ss.alias("_ss"), cs.alias("_cs"), sig.alias("_sig"),
+                           c2sm.alias("_c2sm"), (c2a * F.lit((a * a - b * b) / (b * b))).alias("_u2"))
     u2, ss, cs, c2sm = col("_u2"), col("_ss"), col("_cs"), col("_c2sm")
     A = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
     B = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))

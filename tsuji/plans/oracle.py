@@ -238,11 +238,11 @@ def _vincenty_sql(iterations: int = 5) -> str:
     SELECT *, {f / 16!r} * c2a * (4 + {f!r} * (4 - 3 * c2a)) C FROM {src}))"""
 
     ctes = [base, st("v0", "s0")]
-    for k in range(iterations):
+    for k in range(iterations - 1):
         ctes.append(dv(f"s{k}", f"d{k}"))
         ctes.append(step(f"d{k}", f"v{k + 1}"))
         ctes.append(st(f"v{k + 1}", f"s{k + 1}"))
-    ctes.append(dv(f"s{iterations}", "fin"))
+    ctes.append(dv(f"s{iterations - 1}", "fin"))         # distance from the last iteration's state
     k2 = (a * a - b * b) / (b * b)
     return with_(ROADS, VERTS, SEGS, *ctes, f"""dist AS (
   SELECT fid, CASE WHEN x1 = x2 AND y1 = y2 THEN 0.0 ELSE {b!r} * A * (sig - dsig) END d FROM (
