@@ -59,12 +59,15 @@ def merge_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = parts.part_paths(spark, f"{root}/parts")
     merged = parts.merge_parts(spark, paths, base_path=f"{root}/parts")
     n_merged = parts.write_counted(merged, f"{root}/merged", "merged")
+    # geo metadata first: its union bbox also drives the spatial sort (no second bounds pass)
+    meta = parts.write_geo_metadata(spark, geom.with_srid(spark.read.parquet(f"{root}/merged"), "geometry", 6668),
+                                    f"{root}/merged_geo", geometry="geometry")
+    bb = meta["columns"]["geometry"]["bbox"]
     sorted_path = f"{root}/merged_sorted"
-    layout.write_covering_layout(spark.read.parquet(f"{root}/merged"), sorted_path, line="geometry")
+    layout.write_covering_layout(spark.read.parquet(f"{root}/merged"), sorted_path, line="geometry",
+                                 total=tuple(bb) if bb else None)
     n_sorted = spark.read.parquet(sorted_path).count()   # parquet answers from footers
     parts.reconcile({"merged": n_merged, "sorted": n_sorted})
-    parts.write_geo_metadata(spark, geom.with_srid(spark.read.parquet(f"{root}/merged"), "geometry", 6668),
-                             f"{root}/merged_geo", geometry="geometry")
     return spark.read.parquet(f"{root}/merged").groupBy("source_mesh").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -17,22 +17,27 @@ from ..operators import search
 DEFAULT_ROW_GROUP_ROWS = 100_000
 
 
-def hilbert_order(df: DataFrame, line: str = "line", bbox: str = "bbox", out: str = "hilbert") -> DataFrame:
+def hilbert_order(df: DataFrame, line: str = "line", bbox: str = "bbox", out: str = "hilbert",
+                  total: tuple[float, float, float, float] | None = None) -> DataFrame:
     """Attach the Hilbert index of each bbox centre over the table's total bounds.
 
-    The total bounds are one global aggregate, brought back as four numbers and inlined as
-    literals (no join with the data).
+    ``total`` may be passed when the bounds are already known (e.g. from the geo metadata written
+    at merge time); otherwise they are one global aggregate, brought back as four numbers and
+    inlined as literals (no join with the data).
     """
     if bbox not in df.columns:
         df = search.with_bbox(df, line, bbox)
-    t = search.total_bounds_row(df, bbox)
-    if t is None or t["n"] == 0:
-        return df.withColumn(out, F.lit(None).cast("long"))
-    return geom.with_hilbert(df, bbox, (t["xmin"], t["ymin"], t["xmax"], t["ymax"]), out)
+    if total is None:
+        t = search.total_bounds_row(df, bbox)
+        if t is None or t["n"] == 0:
+            return df.withColumn(out, F.lit(None).cast("long"))
+        total = (t["xmin"], t["ymin"], t["xmax"], t["ymax"])
+    return geom.with_hilbert(df, bbox, total, out)
 
 
 def write_covering_layout(df: DataFrame, path: str, *, line: str = "line", key: str = "fid",
-                          num_files: int | None = None, row_group_rows: int = DEFAULT_ROW_GROUP_ROWS) -> str:
+                          num_files: int | None = None, row_group_rows: int = DEFAULT_ROW_GROUP_ROWS,
+                          total: tuple[float, float, float, float] | None = None) -> str:
     """Write ``df`` with a ``bbox`` covering column, globally Hilbert-sorted, in small row groups.
 
     One range shuffle on the Hilbert code (``key`` breaks ties so the order is total and
@@ -41,7 +46,7 @@ def write_covering_layout(df: DataFrame, path: str, *, line: str = "line", key:
     """
     spark = df.sparkSession
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = hilbert_order(df, line)
+    ordered = hilbert_order(df, line, total=total)
     (ordered.repartitionByRange(n, "hilbert", key)
      .sortWithinPartitions("hilbert", key)
      .drop("hilbert")
