@@ -1,4 +1,4 @@
-"""Ingest queries: archives -> features, WKB interchange, footer scan cost."""
+"""Ingest queries: archives -> features, WKB interchange, incremental (streaming) ingest."""
 
 from __future__ import annotations
 
