@@ -31,3 +31,12 @@ def test_api_roundtrip(spark):
     assert (n.road_type, n.source_mesh) == ("2", "3622")
     urls = spark.createDataFrame([(1, "http://h/a/f.zip"), (2, "http://h/b/f.zip"), (3, "http://h/g.zip")], "page_id long, url string")
     assert sorted(r.name for r in api.download_worklist(spark, urls, f"{root}/none").collect()) == ["f.zip", "g.zip"]
+
+
+def test_spread_small_only_touches_small_inputs(spark):
+    from tsuji.session import spread_small
+    n = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread_small(one)._jdf.rdd().getNumPartitions() == n
+    many = spark.range(100).repartition(n * 2)
+    assert spread_small(many) is many                     # untouched: no extra shuffle
