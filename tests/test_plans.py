@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tsuji.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
@@ -43,7 +44,7 @@ def test_decode_join_is_a_map_side_broadcast(spark):
     assert p.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in p
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_or_nested_loop_join(spark, name):
-    p = _plan(E.queries()[name](spark, SF))
+    p = _plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p

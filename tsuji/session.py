@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = (spark.conf.get("spark.checkpoint.dir", None) or _local_dirs.get(sc.applicationId)
          or sc.getCheckpointDir())
     if not d:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         # Only reached in tests / local runs where nothing was configured.
         d = tempfile.mkdtemp(prefix="tsuji-ckpt-", dir=os.environ.get("TSUJI_SCRATCH", "/tmp"))
         _local_dirs[sc.applicationId] = d
@@ -77,6 +80,27 @@ def spread_small(df, min_partitions: int | None = None):
     return df.repartition(n) if df._jdf.rdd().getNumPartitions() < n else df
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so tasks that run its Python
+    functions find it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tsuji-ship-"), "tsuji-package.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join(os.path.basename(root), os.path.relpath(full, root)))
+    sc.addPyFile(out)
+    _shipped.add(sc.applicationId)
+
+
 _materialized: dict[tuple, str] = {}
 
 
