@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, mixing
+from . import bpe, mixing, secrets, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -26,7 +26,16 @@ def _over(name: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSes
     return query
 
 
+def _with_labels(fn: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
+        return fn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return query
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": _with_labels(toxicity.toxicity_report),
     "op2_mixing": _over("documents", mixing.mix_report),
     "op5_byte_bpe": _over("documents", lambda d: bpe.round_trip_report(d, vocab_path())),
+    "op9_secrets": _over("documents", secrets.secrets_report),
 }
