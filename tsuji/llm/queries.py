@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, mixing, secrets, toxicity
+from . import bpe, mixing, secrets, toxicity, voronoi, vptree, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -37,5 +37,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": _with_labels(toxicity.toxicity_report),
     "op2_mixing": _over("documents", mixing.mix_report),
     "op5_byte_bpe": _over("documents", lambda d: bpe.round_trip_report(d, vocab_path())),
+    "op7_warc": _over("pages", warc.archive_report),
+    "op8_vptree": _over("embeddings", vptree.nearest),
+    "op10_voronoi": _over("embeddings", voronoi.top_k),
     "op9_secrets": _over("documents", secrets.secrets_report),
 }
