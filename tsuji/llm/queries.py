@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, mixing, partenum, secrets, toxicity, voronoi, vptree, warc
+from . import bpe, html_text, mixing, partenum, secrets, toxicity, voronoi, vptree, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -38,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": _over("documents", mixing.mix_report),
     "op4_partenum": _over("documents", partenum.near_duplicates),
     "op5_byte_bpe": _over("documents", lambda d: bpe.round_trip_report(d, vocab_path())),
+    "op6_html": _over("pages", html_text.page_report),
     "op7_warc": _over("pages", warc.archive_report),
     "op8_vptree": _over("embeddings", vptree.nearest),
     "op10_voronoi": _over("embeddings", voronoi.top_k),
