@@ -40,8 +40,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import mix64, pieces, prepared, utf8, written
+from .common import add_schema, map_pieces, mix64, pieces, prepared, utf8, with_columns, written
 from .graph import components
 from .shingles import shingle_sets
 
@@ -481,3 +482,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return (per_doc.join(named, "cls", "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "id").alias("component_id")))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of every linked group, the smallest id (null ids last, then the
+    smaller class); documents without shingles all stay. Texts are only filtered, by an anti join
+    with the ids that go. Only where ids repeat or are missing are the texts' classes needed."""
+    per_doc, roots = links(docs, id_col, text_col, percent)
+    rows = per_doc.where("cls is not null").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    rows = written(rows.select("id", "cls", F.coalesce("root", "cls").alias("root")), "jaccard-grouped")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "cls")
+    heads = written(rows.groupBy("root").agg(F.min(order).alias("head")).select("root", "head.id", "head.cls"), "jaccard-heads")
+    odd = per_doc.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").limit(1).count()
+    key = F.col(id_col).cast("long")
+    if not odd:
+        lost = (rows.join(heads.select("root", F.col("id").alias("head")), "root").where("id <> head")
+                .select(F.col("id").alias("_lost")))
+        lost = written(lost, "jaccard-lost")
+        few = lost.count() <= BROADCAST_IDS
+        return docs.join(F.broadcast(lost) if few else lost, key == F.col("_lost"), "left_anti")
+    named = with_class(docs.select(F.struct("*").alias("_row"), key.alias("_id"), F.col(text_col).cast("string").alias("_text")), "_text", "_class")
+    kept = named.join(heads.select(F.col("id").alias("_head"), F.col("cls").alias("_class")), "_class").where(F.col("_id").eqNullSafe(F.col("_head")))
+    one = kept.withColumn("_n", F.row_number().over(Window.partitionBy("_class").orderBy("_text"))).where("_n = 1")
+    return one.select("_row.*").unionByName(named.where("_class is null").select("_row.*"))
+
+
+def with_class(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """Adds the class of the text's shingle set, null for the empty set."""
+    def run(p: pa.RecordBatch) -> pa.RecordBatch:
+        sets, bounds = shingle_sets(*utf8(p.column(text_col)))
+        names = [class_of(running(sets[a:b]), b - a) if b > a else None for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        return with_columns(p, {out_col: pa.array(names, pa.int64())})
+
+    return prepared(df).mapInArrow(map_pieces(run, text_col), add_schema(df, **{out_col: T.LongType()}))

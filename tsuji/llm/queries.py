@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, html_text, mixing, partenum, secrets, toxicity, voronoi, vptree, warc
+from . import bpe, html_text, mixing, partenum, quality, secrets, toxicity, voronoi, vptree, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,7 @@ def _with_labels(fn: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[S
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": _with_labels(toxicity.toxicity_report),
     "op2_mixing": _over("documents", mixing.mix_report),
+    "op3_quality": _with_labels(quality.quality_report),
     "op4_partenum": _over("documents", partenum.near_duplicates),
     "op5_byte_bpe": _over("documents", lambda d: bpe.round_trip_report(d, vocab_path())),
     "op6_html": _over("pages", html_text.page_report),
