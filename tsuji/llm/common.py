@@ -62,7 +62,7 @@ def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
     if arr.null_count:
-        arr = pc.fill_null(arr, "")
+        arr = pc.fill_null(arr, "" if pa.types.is_string(arr.type) or pa.types.is_large_string(arr.type) else b"")
     if len(arr) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     kind = np.int64 if pa.types.is_large_string(arr.type) or pa.types.is_large_binary(arr.type) else np.int32

@@ -365,36 +365,98 @@ def could_link(n_a, sk_a, n_b, sk_b, percent: int) -> np.ndarray:
     return sizes & (agree >= sk_a.shape[-1] - far)
 
 
-def _pairs_in_groups(stage: int, percent: int):
-    """Grouped function over one block of a signature group. Stage 1: the hub with every other class;
-    stage 2: all classes of different components. Only pairs that could link come out."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("cls")
-        cls, n = pdf["cls"].to_numpy(), pdf["n"].to_numpy()
-        sk = np.frombuffer(b"".join(pdf["sk"]), np.uint8).reshape(len(pdf), -1)
-        a_out, b_out = [], []
-        if stage == 1:
-            hub = np.flatnonzero(pdf["is_hub"].to_numpy())
-            for h in hub[:1]:
-                ok = could_link(n[h], sk[h][None], n, sk, percent)
-                ok[h] = False
-                b_out.append(cls[ok])
-                a_out.append(np.full(int(ok.sum()), cls[h]))
-        else:
-            root, side = pdf["root"].to_numpy(), pdf["side"].to_numpy()
-            for i in range(len(cls)):
-                other = root != root[i]
-                other[:i + 1] = False                   # every pair once
-                if (side[i] >= 0) and (side != side[i]).any():
-                    other &= side != side[i]            # two blocks: only pairs across them
-                at = np.flatnonzero(other)
-                if len(at):
-                    at = at[could_link(n[i], sk[i][None], n[at], sk[at], percent)]
-                    a_out.append(np.full(len(at), cls[i]))
-                    b_out.append(cls[at])
-        a = np.concatenate(a_out) if a_out else np.zeros(0, np.int64)
-        b = np.concatenate(b_out) if b_out else np.zeros(0, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _whole_groups(batches, keys: tuple[str, ...]):
+    """Tables of complete groups from batches sorted by ``keys``: a group cut by a batch's end waits
+    for the rest."""
+    held = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        t = pa.Table.from_batches([batch])
+        t = t if held is None else pa.concat_tables([held, t])
+        last = np.ones(t.num_rows, bool)
+        for k in keys:
+            v = t.column(k).to_numpy()
+            last &= v == v[-1]
+        cut = int(last.argmax())
+        held = t.slice(cut)
+        if cut:
+            yield t.slice(0, cut)
+    if held is not None:
+        yield held
+
+
+def _columns(t: pa.Table, names: tuple[str, ...]) -> list[np.ndarray]:
+    return [t.column(n).to_numpy() for n in names]
+
+
+def _sketches(t: pa.Table, at: np.ndarray) -> np.ndarray:
+    """The rows' sketches as a matrix; all are of one band and so of one length."""
+    raw, _ = utf8(t.column("sk").take(pa.array(at)))
+    return raw.reshape(len(at), -1)
+
+
+def _distinct_pairs(a: list, b: list) -> pa.RecordBatch:
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+
+def _star_pairs(percent: int):
+    """Task function over rows sorted by (tag, sig, slice): the hub with every other class of its
+    group slice that could link with it."""
+    def run(batches):
+        for t in _whole_groups(batches, ("tag", "sig", "slice")):
+            tag, sig, piece, cls, n, hub = _columns(t, ("tag", "sig", "slice", "cls", "n", "is_hub"))
+            new = np.ones(len(tag), bool)
+            new[1:] = (tag[1:] != tag[:-1]) | (sig[1:] != sig[:-1]) | (piece[1:] != piece[:-1])
+            group = np.cumsum(new) - 1
+            hub_row = np.full(group[-1] + 1, -1)
+            rows = np.flatnonzero(hub)
+            hub_row[group[rows]] = rows
+            a, b = [], []
+            for g in np.unique(tag):
+                at = np.flatnonzero(tag == g)
+                sk = _sketches(t, at)
+                h = hub_row[group[at]]
+                ok = (h >= 0) & (cls[at] != cls[h])
+                mine, theirs = np.flatnonzero(ok), np.searchsorted(at, h[ok])
+                good = could_link(n[at[theirs]], sk[theirs], n[at[mine]], sk[mine], percent)
+                a.append(cls[at[theirs[good]]])
+                b.append(cls[at[mine[good]]])
+            yield _distinct_pairs(a, b)
+    return run
+
+
+def _cross_pairs(percent: int):
+    """Task function over rows sorted by (tag, sig, i, j): pairs of classes of different components
+    that could link; a block with another one gives only pairs across the two. Rows of all groups
+    are compared with the row ``d`` places on, for growing ``d``."""
+    def run(batches):
+        for t in _whole_groups(batches, ("tag", "sig", "i", "j")):
+            tag, sig, i, j, cls, n, root, side = _columns(t, ("tag", "sig", "i", "j", "cls", "n", "root", "side"))
+            new = np.ones(len(tag), bool)
+            new[1:] = (tag[1:] != tag[:-1]) | (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            group = np.cumsum(new)
+            a, b = [], []
+            for g in np.unique(tag):
+                at = np.flatnonzero(tag == g)
+                sk = _sketches(t, at)
+                gr, ro, si, cl, nn = group[at], root[at], side[at], cls[at], n[at]
+                two = i[at] != j[at]
+                left, d = np.arange(len(at)), 0
+                while len(left):
+                    d += 1
+                    left = left[left + d < len(at)]
+                    left = left[gr[left] == gr[left + d]]
+                    right = left + d
+                    test = (ro[left] != ro[right]) & (~two[left] | (si[left] != si[right]))
+                    x, y = left[test], right[test]
+                    ok = could_link(nn[x], sk[x], nn[y], sk[y], percent)
+                    if ok.any():
+                        a.append(cl[x[ok]])
+                        b.append(cl[y[ok]])
+            yield _distinct_pairs(a, b)
     return run
 
 
@@ -447,22 +509,24 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
     spread = with_hub.withColumn("is_hub", F.col("cls") == F.col("hub")).withColumn(
         "slice", F.explode(F.when(F.col("is_hub"), F.sequence(F.lit(0), slices - 1))
                            .otherwise(F.array(F.pmod(F.hash("cls"), slices)))))
-    stars = (spread.select("sig", "slice", "cls", "n", "sk", "is_hub").groupBy("sig", "slice")
-             .applyInPandas(_pairs_in_groups(1, percent), "a long, b long").distinct())
+    spread = (spread.select("tag", "sig", "slice", "cls", "n", "sk", "is_hub").repartition("tag", "sig", "slice")
+              .sortWithinPartitions("tag", "sig", "slice"))
+    stars = prepared(spread).mapInArrow(_star_pairs(percent), "a long, b long").distinct()
     stars = written(stars, "jaccard-stars")
     first = linked(stars, sets, percent)
     roots = components(first, "jaccard-roots")
 
     # stage 2: groups that still hold several components, in blocks and pairs of blocks
     named = rows.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    named = written(named.select("sig", "cls", "n", "sk", "root"), "jaccard-named")
+    named = written(named.select("tag", "sig", "cls", "n", "sk", "root"), "jaccard-named")
     mixed = (named.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"))
              .where("r0 <> r1").select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
     cut = named.join(mixed, "sig").withColumn("side", F.pmod(F.hash("cls"), F.col("blocks")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.select("sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
-                     "cls", "n", "sk", "root", "side")
-    across = cut.groupBy("sig", "i", "j").applyInPandas(_pairs_in_groups(2, percent), "a long, b long").distinct()
+    cut = (cut.select("tag", "sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
+                      "cls", "n", "sk", "root", "side").repartition("tag", "sig", "i", "j")
+           .sortWithinPartitions("tag", "sig", "i", "j"))
+    across = cut.mapInArrow(_cross_pairs(percent), "a long, b long").distinct()
     across = written(across.join(stars, ["a", "b"], "left_anti"), "jaccard-across")      # not checked before
     second = linked(across, sets, percent)
     per_doc = found.where("kind = 0").select("id", "n", "cls")
