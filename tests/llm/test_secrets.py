@@ -1,0 +1,101 @@
+"""Secret scan: base spans against plain regular expressions, the field against full Viterbi."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+
+from tsuji.llm import secrets as sc
+from tsuji.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def plain(text):
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return [(sc.KINDS[k], a, b) for a, k, b in sorted(out)]
+
+
+def joined(spans):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+def test_query(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op9_secrets"](spark, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        want = plain(docs[r.doc_id])
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in want) for k in sc.KINDS[:3])
+        assert r.base_sha256 == hashlib.sha256(joined(want).encode()).hexdigest()
+        assert set(joined(want).split(",")) <= set(r.spans.split(","))
+
+
+def test_base_spans_of_random_texts(spark):
+    rng = random.Random(1)
+    parts = ["password", "PassWD", "ſecret", "toKen", "apikey", "API_KEY", "toKen", ":", "=", " ", '"', "'", "abcdef0123456789", "ABCDEF", "é", "日", "AKIA",
+             "AKIAAKIA", "0" * 15, "f" * 16, "x" * 11, "Zz+/_.=-", "\n", "QWERTY123456789"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(1500)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in sc.scan(df, None).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == plain(t or ""), t
+
+
+def test_pruned_decoding_equals_full_viterbi():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        step = rng.normal(size=(3, 3)) * 2
+        step[sc.OUTSIDE, sc.INSIDE] = -1e9
+        n = int(rng.integers(1, 8))
+        doc = np.sort(rng.integers(0, 3, n))
+        e = rng.normal(size=n) * 6 - 2
+        f = sc.Field(None, None, None, None, None, step)
+        tags = sc.decode(f, e, doc)
+        for d in np.unique(doc):
+            at = np.flatnonzero(doc == d)
+
+            def value(t):
+                if t[0] == sc.INSIDE:
+                    return -np.inf
+                return sum(e[i] for i, x in zip(at, t) if x != sc.OUTSIDE) + sum(step[a, b] for a, b in zip(t, t[1:]))
+
+            best = max(value(t) for t in itertools.product(range(3), repeat=len(at)))
+            assert abs(value(tags[at].tolist()) - best) < 1e-9
+
+
+def test_field_learns_and_generalises():
+    """Trained on texts with base matches, the field tags a key whose spelling no base pattern knows."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("aeioubdfgklmnprst") for _ in range(rng.randint(2, 9)))
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    texts = []
+    for i in range(300):
+        w = [word() for _ in range(40)]
+        if i % 2:
+            w.insert(rng.randrange(40), rng.choice([f"password={key(rng.randint(12, 40))}", f'token = "{key(rng.randint(12, 40))}"', key(32)]))
+        texts.append(" ".join(w))
+    f = sc.fit([sc._training_chain(t.encode()) for t in texts])
+    probe = [word() + " credential=" + key(15) + " " + word(), " ".join(word() for _ in range(400))]
+    raw = np.frombuffer("".join(probe).encode(), np.uint8)
+    found = sc.find(f, raw, np.array([0, len(probe[0]), len(raw)]))
+    assert found[0] and found[0][0][2] == 3 and found[1] == []
+
+
+def test_training_on_nothing_and_odd_rows(spark):
+    df = spark.createDataFrame([(1, None, "x"), (1, None, "x"), (2, "", "y"), (None, "token=abcdefghijkl", "z"), (3, "é " * 60000 + "AKIA" + "Q" * 16, "w")],
+                               "doc_id long, text string, spans string")
+    assert sc.train(df.where("doc_id = 2")) is None
+    rows = {r.doc_id: r for r in sc.secrets_report(df).collect()}
+    assert rows[None].n_assign == 1 and rows[1].spans == "" and rows[3].n_access == 1
+    assert rows[3].spans.startswith("access:120000:120020")
+    assert sc.secrets_report(df.limit(0)).collect() == []
+    masked = {r.doc_id: r.text for r in sc.redact(df, None).collect()}
+    assert masked[None] == "[SECRET]" and masked[1] is None and masked[3].endswith("é [SECRET]")

@@ -72,8 +72,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def fold(texts: list[str]) -> list[str]:
     """Folded texts: words of letters between single blanks, one blank at either end.
-    A digit counts as a letter when a letter stands beside it or beyond other digits in between by
-    one place; a sign only between two letters or before one at a word's start."""
+    A digit counts as a letter when a letter stands beside it, or beyond one other digit; a sign
+    only between two letters, or (but for ``!``) before one."""
     joined = " ".join(texts)
     if not joined:
         return [" " for _ in texts]
@@ -84,7 +84,8 @@ def fold(texts: list[str]) -> list[str]:
     if len(subs):
         padded = np.concatenate([[0, 0], out, [0, 0]])
         near = (padded[subs + 1] > 0, padded[subs + 3] > 0)
-        far = (padded[subs] > 0, padded[subs + 4] > 0)
+        plain = np.concatenate([[0], sub[cps], [0]])                    # a digit between the digit and the letter
+        far = ((padded[subs] > 0) & (plain[subs] > 0), (padded[subs + 4] > 0) & (plain[subs + 2] > 0))
         digit = ~sign[cps[subs]]
         use = np.where(digit, near[0] | near[1] | far[0] | far[1], near[1] & (near[0] | (cps[subs] != ord("!"))))
         out = out.copy()
