@@ -319,7 +319,10 @@ def thinned(found: DataFrame, percent: int) -> DataFrame:
             .withColumn("parts", F.size(F.collect_set("part").over(before)))
             .where(F.col("parts") > F.element_at(F.array(*[F.lit(s) for s in spare]), F.col("tag") + 1)))
     rows = rows.select("sig", "cls", "n", "tag", "own")
-    live = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("o")).where("c > 1 and o").select("sig")
+    # near copies share many signatures: of the groups with the same members one is enough
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cls")).alias(f"m{seed}")
+    live = (rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("o"), mark(1), mark(2)).where("c > 1 and o")
+            .groupBy("c", "m1", "m2").agg(F.min("sig").alias("sig")).select("sig"))
     return written(rows.join(live, "sig").select("sig", "cls", "n", "tag"), "jaccard-members")
 
 
