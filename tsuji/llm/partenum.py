@@ -53,6 +53,7 @@ FLUSH_SETS = 32_000             # and the most sets, so that a set's number fits
 BROADCAST_IDS = 300_000         # ids broadcast at most when texts are fetched again
 BLOCK = 2048                    # classes of a signature group compared in one block
 PART_LIMIT = 1 << 16
+SKETCH_CELLS = 512              # cells of a sketch, unless the band's scheme has more
 
 
 @dataclass(frozen=True)
@@ -139,9 +140,10 @@ def signatures(s: np.ndarray, hashed: np.ndarray, tag: int, percent: int = PERCE
 
 
 def sketch(s: np.ndarray, hashed: np.ndarray, tag: int, percent: int = PERCENT) -> bytes:
-    """One byte per cell of the band's scheme: two sets that differ in d elements agree in all but d."""
+    """One byte per cell: two sets that differ in d elements agree in all but d cells. The more cells
+    there are for the band's largest difference, the fewer pairs beyond the threshold pass."""
     sch = scheme(tag, percent)
-    total, _ = cells_of(s, hashed, sch.parts * sch.cells)
+    total, _ = cells_of(s, hashed, max(sch.parts * sch.cells, min(SKETCH_CELLS, 8 * sch.parts * sch.cells)))
     return (mix64(total) & np.uint64(0xFF)).astype(np.uint8).tobytes()
 
 
@@ -364,7 +366,7 @@ def could_link(n_a, sk_a, n_b, sk_b, percent: int) -> np.ndarray:
     n_a, n_b = np.asarray(n_a), np.asarray(n_b)
     sizes = (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
     far = (n_a + n_b) * (100 - percent) // (100 + percent)
-    agree = (sk_a == sk_b).sum(-1)
+    agree = np.count_nonzero(sk_a == sk_b, axis=-1)
     return sizes & (agree >= sk_a.shape[-1] - far)
 
 
@@ -399,25 +401,26 @@ def _sketches(t: pa.Table, at: np.ndarray) -> np.ndarray:
     return raw.reshape(len(at), -1)
 
 
-def _distinct_pairs(a: list, b: list) -> pa.RecordBatch:
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+def _pairs(*columns: list) -> pa.RecordBatch:
+    """Distinct rows of (a, b, ...) integer columns given in pieces."""
+    rows = pd.DataFrame({n: np.concatenate(c) if c else np.zeros(0, np.int64) for n, c in zip(("a", "b", "deg"), columns)})
+    rows = rows.drop_duplicates(["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(rows[c].to_numpy(np.int64)) for c in rows], names=list(rows))
 
 
 def _star_pairs(percent: int):
-    """Task function over rows sorted by (tag, sig, slice): the hub with every other class of its
-    group slice that could link with it."""
+    """Task function over rows sorted by (tag, sig, slice): the hub (a) with every other class (b) of
+    its group slice that could link with it."""
     def run(batches):
         for t in _whole_groups(batches, ("tag", "sig", "slice")):
-            tag, sig, piece, cls, n, hub = _columns(t, ("tag", "sig", "slice", "cls", "n", "is_hub"))
+            tag, sig, piece, cls, n, hub, deg = _columns(t, ("tag", "sig", "slice", "cls", "n", "is_hub", "deg"))
             new = np.ones(len(tag), bool)
             new[1:] = (tag[1:] != tag[:-1]) | (sig[1:] != sig[:-1]) | (piece[1:] != piece[:-1])
             group = np.cumsum(new) - 1
             hub_row = np.full(group[-1] + 1, -1)
             rows = np.flatnonzero(hub)
             hub_row[group[rows]] = rows
-            a, b = [], []
+            a, b, d = [], [], []
             for g in np.unique(tag):
                 at = np.flatnonzero(tag == g)
                 sk = _sketches(t, at)
@@ -427,7 +430,8 @@ def _star_pairs(percent: int):
                 good = could_link(n[at[theirs]], sk[theirs], n[at[mine]], sk[mine], percent)
                 a.append(cls[at[theirs[good]]])
                 b.append(cls[at[mine[good]]])
-            yield _distinct_pairs(a, b)
+                d.append(deg[at[theirs[good]]])
+            yield _pairs(a, b, d)
     return run
 
 
@@ -457,9 +461,9 @@ def _cross_pairs(percent: int):
                     x, y = left[test], right[test]
                     ok = could_link(nn[x], sk[x], nn[y], sk[y], percent)
                     if ok.any():
-                        a.append(cl[x[ok]])
-                        b.append(cl[y[ok]])
-            yield _distinct_pairs(a, b)
+                        a.append(np.minimum(cl[x[ok]], cl[y[ok]]))
+                        b.append(np.maximum(cl[x[ok]], cl[y[ok]]))
+            yield _pairs(a, b)
     return run
 
 
@@ -504,20 +508,32 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
 
     degree = members.groupBy("cls").agg(F.count(F.lit(1)).alias("deg"))
     hubs = (members.select("sig", "cls").join(degree, "cls").groupBy("sig")
-            .agg(F.max(F.struct("deg", "cls"))["cls"].alias("hub"), F.count(F.lit(1)).alias("m")))
+            .agg(F.max(F.struct("deg", "cls")).alias("hub"), F.count(F.lit(1)).alias("m"))
+            .select("sig", "hub.deg", F.col("hub.cls").alias("hub"), "m"))
     hubs = written(hubs, "jaccard-hubs")
     # stage 1: a group's rows in slices, the hub in each of them
-    with_hub = rows.join(hubs, "sig")
     slices = F.ceil(F.col("m") / BLOCK).cast("int")
-    spread = with_hub.withColumn("is_hub", F.col("cls") == F.col("hub")).withColumn(
+    spread = rows.join(hubs, "sig").withColumn("is_hub", F.col("cls") == F.col("hub")).withColumn(
         "slice", F.explode(F.when(F.col("is_hub"), F.sequence(F.lit(0), slices - 1))
                            .otherwise(F.array(F.pmod(F.hash("cls"), slices)))))
-    spread = (spread.select("tag", "sig", "slice", "cls", "n", "sk", "is_hub").repartition("tag", "sig", "slice")
+    spread = (spread.select("tag", "sig", "slice", "cls", "n", "sk", "is_hub", "deg").repartition("tag", "sig", "slice")
               .sortWithinPartitions("tag", "sig", "slice"))
-    stars = prepared(spread).mapInArrow(_star_pairs(percent), "a long, b long").distinct()
-    stars = written(stars, "jaccard-stars")
-    first = linked(stars, sets, percent)
+    stars = prepared(spread).mapInArrow(_star_pairs(percent), "a long, b long, deg long")
+    stars = written(stars.groupBy("a", "b").agg(F.max("deg").alias("deg")), "jaccard-stars")
+    # first every class with the best of its hubs, then the other hubs that are still apart from it
+    best = stars.groupBy("b").agg(F.max(F.struct("deg", "a"))["a"].alias("a"))
+    best = written(best, "jaccard-best")
+    first = linked(best, sets, percent)
     roots = components(first, "jaccard-roots")
+    known = roots.select(F.col("node").alias("_cls"), "root")
+    root_of = lambda d, c: (d.join(known.select(F.col("_cls").alias(c), F.col("root").alias(f"r{c}")), c, "left")
+                            .withColumn(f"r{c}", F.coalesce(f"r{c}", c)))
+    other = root_of(root_of(stars.join(best, ["a", "b"], "left_anti"), "a"), "b").where("ra <> rb").select("a", "b")
+    other = linked(written(other, "jaccard-other"), sets, percent)
+    if other.limit(1).count():
+        first = first.unionByName(other)
+        roots = components(first, "jaccard-roots")
+    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     # stage 2: groups that still hold several components, in blocks and pairs of blocks
     named = rows.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
