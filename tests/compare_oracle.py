@@ -100,7 +100,9 @@ def main(argv):
     con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0
-    for n in names or list(qs):
+    from tsuji.plans.registry import QUERIES
+
+    for n in names or list(QUERIES):
         try:
             r = compare(spark, sf_dir, n, qs[n], orc.get(n), con)
         except Exception as e:  # report and continue

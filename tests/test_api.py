@@ -33,10 +33,25 @@ def test_api_roundtrip(spark):
     assert sorted(r.name for r in api.download_worklist(spark, urls, f"{root}/none").collect()) == ["f.zip", "g.zip"]
 
 
-def test_spread_small_only_touches_small_inputs(spark):
-    from tsuji.session import spread_small
-    n = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread_small(one)._jdf.rdd().getNumPartitions() == n
-    many = spark.range(100).repartition(n * 2)
-    assert spread_small(many) is many                     # untouched: no extra shuffle
+def test_archives_without_a_key_become_roads(spark):
+    """Delivery attributes only, no key, one archive with nearly all rows."""
+    from tsuji.session import current
+    from tsuji.sinks import parts
+    from tsuji.sources import geojson
+
+    root = tempfile.mkdtemp(prefix="tsuji-test-", dir="/tmp")
+    n = 3000
+    src = (spark.range(n).select(
+        F.when(F.col("id") < n - 5, "5339").otherwise("3622").alias("mesh"), F.col("id").alias("key"), F.lit("2024-09-01").alias("N13_001"),
+        *[F.lit("1").alias(f"N13_00{i}") for i in (2, 3, 4, 6, 7)], F.lit("0").alias("N13_005"), F.lit("533946").alias("N13_008"),
+        F.lit("kept").alias("remark"),
+        F.expr("array(struct(139.0D + id / 1000 AS x, 35.0D AS y), struct(139.1D AS x, 35.5D AS y))").alias("geometry")))
+    geojson.write_mesh_archives(src, f"{root}/zips", key="key", keep_key=False, features_per_archive=n).count()
+    feats = api.read_mesh_zip(spark, f"{root}/zips")
+    assert api.crs_epsg(feats) == 6668 and feats.where("remark = 'kept'").count() == n
+    assert api.convert_all(spark, f"{root}/zips", f"{root}/parts") == n
+    paths = parts.part_paths(spark, f"{root}/parts")
+    assert api.load_parts(spark, paths, f"{root}/stage", base_path=f"{root}/parts") == n
+    assert api.transform(spark, spark.read.parquet(current(spark, f"{root}/stage")), f"{root}/roads") == n
+    roads = spark.read.parquet(current(spark, f"{root}/roads"))
+    assert sorted(r.fid for r in roads.select("fid").collect()) == list(range(1, n + 1))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from conftest import lines_df
 from tsuji.functions import geom
 from tsuji.operators import ids, quality, spatial_join, warehouse
+from tsuji.session import current
 from tsuji.sinks import layout, parts
 from tsuji.sources import geojson
 
@@ -22,21 +23,20 @@ def _tmp():
 
 
 # ---------------------------------------------------------------- duplicates
-def test_cross_mesh_duplicates_flags_shared_geometry(spark):
-    shared = [(0, 0), (1, 1)]
-    df = lines_df(spark, [("3622", shared), ("3622", [(1, 1), (2, 2)]), ("3631", shared), ("3631", [(5, 5), (6, 6)])])
-    out = quality.cross_mesh_duplicates(df).collect()
-    assert sorted(r.source_mesh for r in out) == ["3622", "3631"]
+def test_a_line_delivered_by_two_meshes_is_reported_in_both(spark):
+    seam = [(140.0, 36.5), (140.0, 36.625), (140.125, 36.75)]
+    rows = [("A1", seam), ("A1", seam[:2]), ("B2", seam), ("B2", [(139.5, 36.0), (139.5, 36.25)]), ("C3", seam)]
+    got = quality.cross_mesh_duplicates(lines_df(spark, rows))
+    assert sorted(r.source_mesh for r in got.collect()) == ["A1", "B2", "C3"] and got.columns == ["source_mesh", "line"]
 
 
-def test_cross_mesh_duplicates_ignores_same_mesh_and_direction(spark):
-    df = lines_df(spark, [("3622", [(0, 0), (1, 1)]), ("3622", [(0, 0), (1, 1)]), ("3631", [(1, 1), (0, 0)]),
-                          ("3631", None), ("3622", None)])
-    assert quality.cross_mesh_duplicates(df).count() == 0
-
-
-def test_cross_mesh_duplicates_empty(spark):
-    assert quality.cross_mesh_duplicates(lines_df(spark, [])).count() == 0
+def test_repeats_within_a_mesh_reversals_and_signed_zeros_are_no_duplicates(spark):
+    rows = [("A1", [(3.5, 7.0), (4.0, 7.5)]), ("A1", [(3.5, 7.0), (4.0, 7.5)]), ("B2", [(4.0, 7.5), (3.5, 7.0)]),
+            ("A1", [(0.0, 5.0), (2.0, 5.0)]), ("B2", [(-0.0, 5.0), (2.0, 5.0)]), ("A1", None), ("B2", None)]
+    assert quality.cross_mesh_duplicates(lines_df(spark, rows)).count() == 0
+    assert quality.cross_mesh_duplicates(lines_df(spark, rows[:0])).count() == 0
+    same = [("A1", [(-0.0, 5.0), (2.0, 5.0)]), ("B2", [(-0.0, 5.0), (2.0, 5.0)])]
+    assert quality.cross_mesh_duplicates(lines_df(spark, same)).count() == 2
 
 
 # ---------------------------------------------------------------- normalise / transform
@@ -53,7 +53,7 @@ def test_normalize_renames_tags_and_keeps_unknown(spark):
 
 def test_mesh_code_missing_is_an_error(spark):
     df = spark.createDataFrame([("roads.zip",)], "f string")
-    with pytest.raises(Exception, match="Cannot parse mesh code"):
+    with pytest.raises(Exception, match="no mesh code"):
         warehouse.normalize_roads(df, file_col="f").collect()
 
 
@@ -95,7 +95,27 @@ def test_transform_refuses_to_replace_table_on_violation(spark):
     assert warehouse.transform(spark, stage, path) == 2
     with pytest.raises(warehouse.ConstraintError):
         warehouse.transform(spark, _stage(spark, road_type="9").withColumn("fid", F.lit(1)), path)
-    assert spark.read.parquet(path).count() == 2
+    assert spark.read.parquet(current(spark, path)).count() == 2
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    path = os.path.join(_tmp(), "roads")
+    stage = _stage(spark)
+    assert warehouse.transform(spark, stage, path) == 2
+    before = sorted(map(str, spark.read.parquet(current(spark, path)).collect()))
+    broken = stage.withColumn("secondary_mesh_code", F.when(F.col("source_mesh") == "5339", F.raise_error(F.lit("lost"))).otherwise("x"))
+    with pytest.raises(Exception, match="lost"):
+        warehouse.transform(spark, broken, path)
+    assert sorted(map(str, spark.read.parquet(current(spark, path)).collect())) == before
+    assert warehouse.transform(spark, stage.limit(1), path) == 1          # a later run replaces it
+    assert spark.read.parquet(current(spark, path)).count() == 1
+
+
+def test_identity_key_is_dense_and_repeatable(spark):
+    path = os.path.join(_tmp(), "roads")
+    warehouse.transform(spark, _stage(spark).repartition(3), path)
+    got = [(r.fid, r.source_mesh) for r in spark.read.parquet(current(spark, path)).orderBy("fid").collect()]
+    assert got == [(1, "5235"), (2, "5339")]
 
 
 def test_upsert(spark):
@@ -127,7 +147,7 @@ def test_merge_preserves_count_and_is_rerunnable(spark):
 
 
 def test_merge_errors(spark):
-    with pytest.raises(ValueError, match="No parts"):
+    with pytest.raises(ValueError, match="empty list"):
         parts.merge_parts(spark, [])
     root = _tmp()
     spark.createDataFrame([(1, 1.5)], "a int, b double").write.parquet(f"{root}/p1")
@@ -198,33 +218,36 @@ def test_archive_roundtrip_and_errors(spark):
     out = warehouse.normalize_roads(feats, file_col="file_name")
     got = sorted((r.source_mesh, r.road_type, r.srid) for r in out.collect())
     assert got == [("3622", "2", 6668), ("3622", "2", 6668), ("3631", "2", 6668)]
-    assert geojson.crs_srid({}) == 4326
-    with pytest.raises(geojson.ConvertError):
-        geojson.data_member(["a.shp", "a.dbf"], "x.zip")
-    with pytest.raises(geojson.ConvertError):
-        geojson.data_member(["readme.txt"], "x.zip")
+    assert geom.srid_of(feats, "geometry") == 6668 and "fid" in feats.columns
+    names = {"": 4326, "urn:ogc:def:crs:EPSG::6668": 6668, "urn:ogc:def:crs:EPSG:6.9:6668": 6668, "EPSG:4326": 4326,
+             "http://www.opengis.net/def/crs/EPSG/0/6668": 6668, "urn:ogc:def:crs:OGC:1.3:CRS84": 4326, "OGC:CRS84": 4326, "local": -1}
+    df = spark.createDataFrame([(k,) for k in names], "n string")
+    assert {r.n: r.s for r in df.select("n", geojson.srid_column(F.col("n")).alias("s")).collect()} == names
+    assert {k: geojson.srid_of_name(k) for k in names} == names
+    pick = geojson.data_member
+    assert pick(["meta.json", "b.GeoJSON", "a.geojson"], "x") == "b.GeoJSON" and pick(["readme.txt", "z.json", "a.json"], "x") == "z.json"
+    for members in (["a.shp", "a.dbf"], ["readme.txt"], []):
+        with pytest.raises(geojson.ConvertError, match="x.zip"):
+            pick(members, "x.zip")
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:
         z.writestr("a.txt", "x")
     assert zipfile.ZipFile(io.BytesIO(buf.getvalue())).namelist() == ["a.txt"]
 
 
-def test_seed_rows_transform(spark):
-    """The reference's hand-run seed: three stage rows near Tokyo, Osaka and Nagoya, codes as text."""
-    rows = [("1", "1", "1", "3", "2", "2024-09-01", 0, "5339", "533946", "LINESTRING(139.70 35.65, 139.72 35.66)"),
-            ("3", "2", "2", "2", "1", "2024-09-01", 1, "5235", "523504", "LINESTRING(135.50 34.69, 135.52 34.70)"),
-            ("2", "3", "3", "4", "2", "2024-09-01", 0, "5236", "523637", "LINESTRING(136.90 35.18, 136.92 35.19)")]
-    cols = "road_type string, road_classification string, road_status string, width_category string, " \
-           "toll_category string, d string, layer_order int, source_mesh string, secondary_mesh_code string, wkt string"
-    stage = (spark.createDataFrame(rows, cols)
-             .withColumn("registration_date", F.to_timestamp("d")).drop("d")
-             .withColumn("geometry", geom.line_from_wkt("wkt")).drop("wkt"))
-    stage = geom.with_srid(stage, "geometry", 6668)
+def test_text_stage_becomes_a_typed_table(spark):
+    rows = [(f"{1 + i % 5}", f"{1 + i % 6}", f"{1 + i % 7}", f"{1 + i % 6}", f"{1 + i % 2}", f"20{10 + i}-0{1 + i % 9}-15", i % 3 - 1, f"{60 + i}00", f"{60 + i}00{i:02d}",
+             f"LINESTRING({130 + i / 8} {30 + i / 16}, {130.5 + i / 8} {30.25 + i / 16})") for i in range(12)]
+    names = ["road_type", "road_classification", "road_status", "width_category", "toll_category", "d", "layer_order", "source_mesh",
+             "secondary_mesh_code", "wkt"]
+    stage = (spark.createDataFrame(rows, names).withColumn("layer_order", F.col("layer_order").cast("int"))
+             .withColumn("registration_date", F.to_timestamp("d")).withColumn("geometry", geom.line_from_wkt("wkt")).drop("d", "wkt"))
     path = os.path.join(_tmp(), "roads")
-    assert warehouse.transform(spark, stage.withColumn("fid", F.monotonically_increasing_id()), path) == 3
-    out = spark.read.parquet(path).orderBy("source_mesh").collect()
-    assert [r.road_type for r in out] == [3, 2, 1] and all(len(r.line) == 2 for r in out)
-    assert geom.srid_of(spark.read.parquet(path), "line") == 4326
+    assert warehouse.transform(spark, geom.with_srid(stage, "geometry", 6668), path) == 12
+    out = spark.read.parquet(current(spark, path))
+    assert [(r.fid, r.road_type, str(r.registration_date)) for r in out.orderBy("source_mesh").collect()] == [
+        (i + 1, 1 + i % 5, f"20{10 + i}-0{1 + i % 9}-15") for i in range(12)]
+    assert geom.srid_of(out, "line") == 4326 and dict(out.dtypes)["layer_order"] == "smallint"
 
 
 def test_incremental_ingest_skips_done_archives(spark):
@@ -314,25 +337,53 @@ def test_band_index_equals_full_ray_cast_on_detailed_polygons(spark):
     assert got == brute and len(got) > 1000
 
 
-@pytest.mark.parametrize("layout", ["lines", "one-line", "pretty", "no-crs"])
-def test_member_parsing_layouts(layout):
+def _walk(text):
+    return list(geojson.iter_features(lambda: io.StringIO(text)))
+
+
+@pytest.mark.parametrize("layout", geojson.LAYOUTS)
+def test_every_layout_gives_every_feature(layout, monkeypatch):
     import json as _json
-    from tsuji.sources.geojson import _iter_member
-    feats = [{"type": "Feature", "properties": {"a": i},
-              "geometry": {"type": "LineString", "coordinates": [[0, i], [1, i]]}} for i in range(5)]
-    fc = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::6668"}},
-          "features": feats}
-    head = {k: v for k, v in fc.items() if k != "features"}
-    text = {"lines": _json.dumps(head)[:-1] + ',\n"features": [\n' + ",\n".join(_json.dumps(f) for f in feats) + "\n]\n}\n",
-            "one-line": _json.dumps(fc), "pretty": _json.dumps(fc, indent=2),
-            "no-crs": _json.dumps({"type": "FeatureCollection", "features": feats}, indent=1)}[layout]
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w") as z:
-        z.writestr("m.geojson", text)
-    with zipfile.ZipFile(io.BytesIO(buf.getvalue())) as z:
-        srid, it = _iter_member(z, "m.geojson")
-        assert [f["properties"]["a"] for f in it] == [0, 1, 2, 3, 4]
-    assert srid == (4326 if layout == "no-crs" else 6668)
+
+    feats = [{"type": "Feature", "properties": {"a": i, "t": 'x"]},{ \\ é\n'}, "geometry": {"type": "LineString", "coordinates": [[0, i], [1.5e0, -i]]}}
+             for i in range(7)]
+    crs = {"type": "name", "properties": {"name": "EPSG:6668"}}
+    for size in (1, 7, 1 << 20):                       # the buffer may end anywhere
+        monkeypatch.setattr(geojson, "READ_CHARS", size)
+        for c in (crs, None):
+            got = _walk(geojson.collection_text({"type": "FeatureCollection", "name": "n"}, c, feats, layout))
+            assert [_json.loads(f) for f, _ in got] == feats
+            assert {n for _, n in got} == {"EPSG:6668" if c else None}
+
+
+def test_odd_collections():
+    assert _walk('{"features": []}') == [] and _walk("{}") == [] and _walk(' {"features" : null , "x":1} ') == []
+    assert [c for _, c in _walk('{"features":[{}],"crs":{"properties":{"name":"n"}}}')] == ["n"]
+    for broken in ("", "[]", '{"features":[{}', '{"features":[{}]', '{"features":[{} {}]}', '{"features":[{}]} x', '{"features":[{]}'):
+        with pytest.raises((geojson.ConvertError, ValueError)):
+            _walk(broken)
+
+
+def test_grid_join_with_one_polygon_over_everything(spark):
+    sq = lambda x, y, s: [[[{"x": float(a), "y": float(b)} for a, b in [(x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y)]]]]
+    rows = [(i, sq(i % 20, i // 20, 0.75)) for i in range(400)] + [(1000, sq(-500, -500, 2000)), (1001, sq(3, 3, 7))]
+    polys = spark.createDataFrame(rows, "gid long, mpoly array<array<array<struct<x:double,y:double>>>>")
+    pts = spark.createDataFrame([(i, (i % 61) / 3, (i // 61) / 3) for i in range(61 * 61)], "fid long, px double, py double")
+    cells = spatial_join.polygon_cells(polys, 1.0)
+    assert cells.groupBy("gid").count().agg(F.max("count")).first()[0] <= 9
+    got = {(r.fid, r.gid) for r in spatial_join.points_in_polygons(pts, polys, cell=1.0).collect()}
+    brute = {(r.fid, r.gid) for r in pts.crossJoin(polys).where(geom.contains_point("mpoly", "px", "py")).collect()}
+    assert got == brute and len({g for _, g in got}) > 390
+    missed = spatial_join.points_in_polygons(pts, polys.where("gid = 1001"), cell=1.0, keep_misses=True)
+    assert missed.where("gid is null").count() == 61 * 61 - len([1 for _, g in brute if g == 1001])
+
+
+def test_wkb_parquet_is_read_into_the_native_form(spark):
+    df = lines_df(spark, [("a", [(1, 2), (3, 4)]), ("b", None)]).withColumnRenamed("line", "geometry")
+    path = parts.write_wkb(df, f"{_tmp()}/wkb")
+    assert dict(spark.read.parquet(path).dtypes)["geometry"] == "binary"
+    back = parts.read_geoparquet(spark, path, srid=6668)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.select(*back.columns).collect())) and geom.srid_of(back, "geometry") == 6668
 
 
 def test_fetch_worklist_skips_existing_non_empty_files(spark):
@@ -346,5 +397,5 @@ def test_fetch_worklist_skips_existing_non_empty_files(spark):
     got = {(r.page_id, r.name) for r in fetch.worklist(urls, fetch.listing(spark, root)).collect()}
     assert got == {(2, "b.zip"), (3, "c.zip")}    # c.zip once, the first URL in order
     bad = spark.createDataFrame([(1, "https://h/")], "page_id long, url string")
-    with pytest.raises(Exception, match="Cannot derive a filename"):
+    with pytest.raises(Exception, match="without a file name"):
         fetch.worklist(bad, fetch.listing(spark, root)).collect()

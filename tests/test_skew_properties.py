@@ -68,7 +68,11 @@ def test_parts_with_a_hot_mesh_are_written_by_many_tasks(spark):
     rows += [(m, [(0.0, 0.0), (1.0, 1.0)]) for m in ("3622", "3631") for _ in range(1000)]
     df = lines_df(spark, rows).withColumn("fid", F.monotonically_increasing_id())
     root = tempfile.mkdtemp(prefix="tsuji-test-", dir="/tmp")
-    parts.write_parts(df, f"{root}/p", spread_col="fid")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        parts.write_parts(df, f"{root}/p")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     hot_files = [f for f in os.listdir(f"{root}/p/source_mesh=5339") if f.endswith(".parquet")]
     assert len(hot_files) > 1
     assert spark.read.parquet(f"{root}/p").count() == 5000

@@ -21,6 +21,7 @@ log = logging.getLogger(__name__)
 
 EXPECTED_EPSG = 6668
 SOURCE_MESH_COLUMN = warehouse.SOURCE_MESH
+MAX_WARNINGS = 100       # meshes named in the log
 
 
 def normalize_roads(df: DataFrame, mesh_code: str) -> DataFrame:
@@ -48,16 +49,23 @@ def read_mesh_zip(spark: SparkSession, path: str) -> DataFrame:
 
 
 def convert_all(spark: SparkSession, archives: str, parts_dir: str) -> int:
-    """Archives -> normalised features -> one part folder per mesh. Returns the feature count."""
+    """Archives -> normalised features -> one part folder per mesh. Returns the feature count.
+
+    The archives are read once; the report per mesh (CRS and geometry quality) is one aggregate over
+    the written features."""
     feats = warehouse.normalize_roads(geojson.read_mesh_archives(spark, archives), file_col="file_name")
-    # CRS per mesh (one row per mesh and CRS): warn when it is not the expected one
-    for r in feats.groupBy("source_mesh", "srid").count().where(F.col("srid") != EXPECTED_EPSG).collect():
-        log.warning("mesh %s: CRS EPSG:%s differs from expected EPSG:%s", r["source_mesh"], r["srid"], EXPECTED_EPSG)
-    flagged = quality.geometry_quality_by_mesh(feats, "geometry").where("n_flagged > 0").collect()  # per mesh
-    for r in flagged:
-        log.warning("mesh %s: %d invalid/empty/missing geometries (not repaired)", r["source_mesh"], r["n_flagged"])
-    parts.write_parts(feats.drop("member", "feature_no"), parts_dir, spread_col="file_name")
-    return spark.read.parquet(parts_dir).count()
+    report = (feats.select(SOURCE_MESH_COLUMN, "srid", geom.line_status("geometry").alias("status"))
+              .groupBy(SOURCE_MESH_COLUMN)
+              .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") != "ok").alias("flagged"),
+                   F.count_if(F.col("srid") != EXPECTED_EPSG).alias("other_crs")))
+    report = report.cache()                       # a row per mesh
+    for r in report.where("flagged > 0 or other_crs > 0").orderBy(SOURCE_MESH_COLUMN).limit(MAX_WARNINGS).collect():
+        log.warning("mesh %s: %d geometries missing, empty or invalid (kept), %d features not in EPSG:%s",
+                    r[SOURCE_MESH_COLUMN], r["flagged"], r["other_crs"], EXPECTED_EPSG)
+    total = report.agg(F.sum("n")).first()[0] or 0
+    report.unpersist()
+    parts.write_parts(feats.drop("file_name", "member", "feature_no", "properties", "geom_type", "rings", "multi_rings", "srid"), parts_dir)
+    return total
 
 
 def find_cross_mesh_duplicates(df: DataFrame, mesh_col: str = SOURCE_MESH_COLUMN, geometry: str = "geometry") -> DataFrame:

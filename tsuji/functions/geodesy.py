@@ -20,8 +20,10 @@ SPHERE_DISTANCE_RADIUS_M = 6371000.0
 # WGS 84 ellipsoid.
 WGS84_A = 6378137.0
 WGS84_F = 1 / 298.257223563
-# Fixed Vincenty iteration count: converges far below a micrometre for road segments.
+# Vincenty iterations; a segment whose last two longitudes still differ by more than the tolerance
+# (radians, a fraction of a millimetre) raises instead of getting a wrong length.
 VINCENTY_ITERATIONS = 5
+VINCENTY_TOLERANCE = 1e-10
 
 
 def haversine(lon1, lat1, lon2, lat2, radius: float = MEAN_RADIUS_M) -> Column:
@@ -161,6 +163,9 @@ def with_spheroid_length(seg: DataFrame, out: str = "seg_len", a: float = WGS84_
         if k < iterations - 1:
             C = F.lit(f / 16) * c2a * (4 + F.lit(f) * (4 - 3 * c2a))
             nxt = L + (1 - C) * F.lit(f) * sa * (sig + C * ss * (c2sm + C * cs * (-1 + 2 * c2sm * c2sm)))
+            if k == iterations - 2:
+                apart = F.abs(nxt - col("_lam")) > VINCENTY_TOLERANCE
+                nxt = F.when(apart & ~col("_same"), F.raise_error(F.lit("segment length did not converge")).cast("double")).otherwise(nxt)
             df = df.select(*keep, *consts, nxt.alias("_lam"))
         else:
             # the distance uses the last iteration's state, as in the classic formulation

@@ -52,4 +52,4 @@ def mesh_code_from_name(name, strict: bool = True) -> Column:
     if not strict:
         return F.when(code != "", code)
     return F.when(code != "", code).otherwise(
-        F.raise_error(F.concat(F.lit("Cannot parse mesh code from "), n)).cast("string"))
+        F.raise_error(F.concat(F.lit("no mesh code in the name "), n)).cast("string"))

@@ -25,15 +25,15 @@ def dense_id(df: DataFrame, order_cols: list[str], out: str = "id", start: int =
 
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The range boundaries come from a sample whose seed depends on the job, so two jobs over the
     # same plan may cut the ranges differently: number the rows once and cut the lineage with a
     # reliable checkpoint (written to spark.checkpoint.dir, survives executor loss).
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ranged = (ranged.sortWithinPartitions(*order_cols)
               .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
     ranged = (ranged.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
               .withColumn("_idx", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
-    # one row per range partition (at most n rows, independent of the data size)
+    # one row per range partition
     counts = sorted(tuple(r) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1))).collect())
     offs, run = [], 0
     for pid, cnt in counts:

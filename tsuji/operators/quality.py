@@ -12,27 +12,28 @@ def cross_mesh_duplicates(df: DataFrame, geom_col: str = "line", mesh_col: str =
     """Rows whose exact geometry occurs in two or more *different* meshes (detection only).
 
     Repeats inside one mesh do not count; null geometry never counts; empty in, empty out.
-    Direction matters (the key is the vertex sequence), and so does the sign of a zero: the
-    fingerprint hashes the raw double bits, as a byte-exact WKB key would.
+    Direction matters (the key is the vertex sequence), and so does the sign of a zero. Spark's
+    grouping and hash functions treat 0.0 and -0.0 as equal, so the key is the geometry's text form,
+    which writes every double in full and keeps the sign.
 
     Plan, sized for tables where geometry is the widest column:
-    1. distinct meshes per geometry *fingerprint* (xxhash64 + murmur3 of the vertex array): the
-       shuffle moves ~16 bytes + mesh code per row instead of the geometry, and map-side partial
-       aggregation collapses a hot geometry before the exchange;
+    1. distinct meshes per *fingerprint* of the text form (xxhash64 + murmur3): the shuffle moves
+       ~16 bytes + mesh code per row instead of the geometry, and map-side partial aggregation
+       collapses a hot geometry before the exchange;
     2. rows whose fingerprint spans several meshes are the candidates (semi join on the
        fingerprint; the candidate set is broadcast by AQE only when its measured size allows);
-    3. exact confirmation on the real geometry among the candidates only, so a fingerprint
-       collision can never report a false duplicate.
+    3. exact confirmation on the text form among the candidates only, so a fingerprint collision
+       can never report a false duplicate.
     """
-    g = df.where(F.col(geom_col).isNotNull())
-    fp = [F.xxhash64(geom_col).alias("_h1"), F.hash(geom_col).alias("_h2")]
-    keyed = g.select("*", *fp)
+    text = F.col(geom_col).cast("string")
+    fp = [F.xxhash64(text).alias("_h1"), F.hash(text).alias("_h2")]
+    keyed = df.where(F.col(geom_col).isNotNull()).select("*", *fp)
     multi = (keyed.groupBy("_h1", "_h2").agg(F.count_distinct(mesh_col).alias("_m"))
-             .where(F.col("_m") > 1).select("_h1", "_h2"))
-    cand = keyed.join(multi, ["_h1", "_h2"], "left_semi")
-    shared = (cand.groupBy(geom_col).agg(F.count_distinct(mesh_col).alias("_meshes"))
-              .where(F.col("_meshes") > 1).select(geom_col))
-    return cand.join(shared, on=geom_col, how="left_semi").drop("_h1", "_h2")
+             .where("_m > 1").select("_h1", "_h2"))
+    cand = keyed.join(multi, ["_h1", "_h2"], "left_semi").withColumn("_text", text)
+    shared = (cand.groupBy("_text").agg(F.count_distinct(mesh_col).alias("_m"))
+              .where("_m > 1").select("_text"))
+    return cand.join(shared, "_text", "left_semi").select(*df.columns)
 
 
 def geometry_quality_by_mesh(df: DataFrame, geom_col: str = "line", mesh_col: str = "source_mesh",

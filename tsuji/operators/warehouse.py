@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import geom
 from ..functions.text import mesh_code_from_name
+from ..session import publish, version_path
 from .codes import CODE_COLUMNS, CODE_TABLES, COLUMN_MAP
+from .ids import dense_id
 
 SOURCE_MESH = "source_mesh"
 
@@ -71,20 +73,35 @@ class ConstraintError(RuntimeError):
     pass
 
 
-def transform(spark: SparkSession, stage: DataFrame, target_path: str, **kw) -> int:
-    """Stage -> typed table, replacing the target only when every check passes.
+STABLE_ORDER = [SOURCE_MESH, "secondary_mesh_code", *CODE_COLUMNS, "registration_date", "layer_order"]
 
-    The checks run before anything is written, so a failing row leaves the old table untouched
-    (as the rolled-back transaction does). Returns the number of rows written.
+
+def with_identity(typed: DataFrame, geometry: str = "line", out: str = "fid") -> DataFrame:
+    """``out`` = 1, 2, ... as an identity column would give it, in a repeatable order: the
+    attributes, then the geometry's text. Rows equal in all of that are interchangeable."""
+    order = [c for c in STABLE_ORDER if c in typed.columns]
+    tied = typed.withColumn("_text", F.col(geometry).cast("string")).withColumn("_hash", F.xxhash64("_text"))
+    return dense_id(tied, [*order, "_hash", "_text"], out=out).select(out, *typed.columns)
+
+
+def transform(spark: SparkSession, stage: DataFrame, target: str, **kw) -> int:
+    """Stage -> typed table below the folder ``target``; returns the number of rows written.
+
+    A stage without ``fid`` (the delivery has none) gets one as an identity column. The rows are
+    written to a new folder, checked there in one pass beside the key check, and published by
+    ``publish`` only when every check passes: a failed write or check leaves the old table as it was.
     """
     typed = typed_roads(stage, **kw)
-    bad = constraint_violations(spark, typed).where("violations > 0").collect()   # at most 14 rows
+    if "fid" not in typed.columns:
+        typed = with_identity(typed)
+    new = version_path(target)
+    typed.write.parquet(new)
+    written = spark.read.parquet(new)
+    bad = constraint_violations(spark, written).where("violations > 0").collect()   # at most 14 rows
     if bad:
         raise ConstraintError("; ".join(f"{r['check']}={r['violations']}" for r in bad))
-    from pyspark.sql import Observation
-    obs = Observation("transform")
-    typed.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target_path)
-    return int(obs.get["rows"])
+    publish(spark, target, new)
+    return written.count()                       # answered from the footers
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:

@@ -37,12 +37,6 @@ def lengths_by(roads: DataFrame, keys: tuple[str, ...], spheroid: bool = False)
     return segment_lengths(roads, keys, spheroid).groupBy(*keys).agg(*_n_and_total())
 
 
-def order_small(df: DataFrame, *cols) -> DataFrame:
-    """ORDER BY for a result whose size is bounded by the code tables (a few hundred rows at most):
-    one partition sorted in place instead of a range exchange and its sampling job."""
-    return df.coalesce(1).sortWithinPartitions(*cols)
-
-
 def length_by_type(spark: SparkSession, roads: DataFrame, spheroid: bool = False) -> DataFrame:
     """Total length per road-type label (sphere unless ``spheroid``), longest first.
 
@@ -50,13 +44,13 @@ def length_by_type(spark: SparkSession, roads: DataFrame, spheroid: bool = False
     partial/final aggregate by label is the only shuffle."""
     seg = decode(segment_lengths(roads, ("road_type",), spheroid), spark, "road_type", "road_type_label")
     agg = seg.groupBy("road_type_label").agg(F.sum("seg_len").alias("total"))
-    return order_small(agg.select(F.col("road_type_label").alias("road_type"),
-                                  F.round("total", 1).alias("total_length_m")), F.desc("total_length_m"))
+    return agg.select(F.col("road_type_label").alias("road_type"),
+                      F.round("total", 1).alias("total_length_m")).orderBy(F.desc("total_length_m"))
 
 
 def count_by_type(roads: DataFrame) -> DataFrame:
     """``SELECT road_type, count(*)`` — reads only the one attribute column."""
-    return order_small(roads.groupBy("road_type").agg(F.count(F.lit(1)).alias("n")), "road_type")
+    return roads.groupBy("road_type").agg(F.count(F.lit(1)).alias("n")).orderBy("road_type")
 
 
 def count_all(roads: DataFrame) -> DataFrame:
@@ -65,44 +59,41 @@ def count_all(roads: DataFrame) -> DataFrame:
 
 
 def rank_in_mesh(spark: SparkSession, roads: DataFrame) -> DataFrame:
-    """Per mesh: count and total length per road type, ranked by the unrounded total.
+    """Per mesh: count and total spheroid length per road type, ranked by the unrounded total.
 
     ``RANK() OVER (PARTITION BY mesh ORDER BY total DESC)`` with SQL's DESC-puts-nulls-first rule.
     """
-    agg = (decode(segment_lengths(roads, ("source_mesh", "road_type")), spark, "road_type", "road_type_label")
+    agg = (decode(segment_lengths(roads, ("source_mesh", "road_type"), spheroid=True), spark, "road_type", "road_type_label")
            .groupBy("source_mesh", "road_type_label").agg(*_n_and_total()))
     w = Window.partitionBy("source_mesh").orderBy(F.desc_nulls_first("total"))
-    return order_small(agg.select("source_mesh", "road_type_label", "n",
-                                  F.round("total", 1).alias("total_len_m"),
-                                  F.rank().over(w).cast("long").alias("len_rank")), "source_mesh", "len_rank")
+    return agg.select("source_mesh", "road_type_label", "n", F.round("total", 1).alias("total_len_m"),
+                      F.rank().over(w).cast("long").alias("len_rank")).orderBy("source_mesh", "len_rank")
 
 
 def class_share(spark: SparkSession, roads: DataFrame) -> DataFrame:
-    """Count and length per road class with their share of the totals.
+    """Count and spheroid length per road class with their share of the totals.
 
     ``sum() OVER ()`` runs on the aggregated rows (one per class), so its single partition is tiny.
     """
-    agg = (decode(segment_lengths(roads, ("road_classification",)), spark, "road_classification",
+    agg = (decode(segment_lengths(roads, ("road_classification",), spheroid=True), spark, "road_classification",
                   "road_class_label").groupBy("road_class_label").agg(*_n_and_total()))
     w = Window.partitionBy()
-    return order_small(agg.select(
+    return agg.select(
         "road_class_label", "n",
         F.round("total", 1).alias("total_len_m"),
         F.round(F.lit(100.0) * F.col("total") / F.sum("total").over(w), 1).alias("len_pct"),
-        F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(w), 1).alias("n_pct")), F.desc("total_len_m"))
+        F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(w), 1).alias("n_pct")).orderBy(F.desc("total_len_m"))
 
 
 def width_cumulative(spark: SparkSession, roads: DataFrame) -> DataFrame:
-    """Per mesh: length per width class and the running total ordered by width *code*."""
-    agg = (decode(segment_lengths(roads, ("source_mesh", "width_category")), spark, "width_category",
+    """Per mesh: spheroid length per width class and the running total ordered by width *code*."""
+    agg = (decode(segment_lengths(roads, ("source_mesh", "width_category"), spheroid=True), spark, "width_category",
                   "width_label", keep_code=True)
            .groupBy("source_mesh", F.col("width_category").alias("width_code"), "width_label").agg(*_n_and_total()))
     # default frame with ORDER BY = RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
     w = Window.partitionBy("source_mesh").orderBy("width_code")
-    return order_small(agg.select("source_mesh", "width_code", "width_label", "n",
-                                  F.round("total", 1).alias("total_len_m"),
-                                  F.round(F.sum("total").over(w), 1).alias("cum_len_m")),
-                       "source_mesh", "width_code").drop("width_code")
+    return agg.select("source_mesh", "width_code", "width_label", "n", F.round("total", 1).alias("total_len_m"),
+                      F.round(F.sum("total").over(w), 1).alias("cum_len_m")).orderBy("source_mesh", "width_code").drop("width_code")
 
 
 def vertices(roads: DataFrame, key: str = "fid", extra: tuple[str, ...] = ()) -> DataFrame:
@@ -139,8 +130,8 @@ def length_by_type_vertices(roads: DataFrame) -> DataFrame:
     flipped = roads.select("fid", "road_type", geom.flip("line").alias("line"))
     v = vertices(flipped, extra=("road_type",))
     seg = v.select("fid", "road_type", distance_sphere_latlon(F.col("pt"), F.col("next_pt")).alias("seg_len"))
-    return order_small(seg.groupBy("road_type").agg(F.round(F.sum("seg_len"), 1).alias("total_length_m")),
-                       F.desc("total_length_m"))
+    return (seg.groupBy("road_type").agg(F.round(F.sum("seg_len"), 1).alias("total_length_m"))
+            .orderBy(F.desc("total_length_m")))
 
 
 def length_spheroid_by_type(spark: SparkSession, roads: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +17,14 @@ LISTED_PREFS = ("11", "12", "13", "14")
 
 _cache: dict[tuple, str] = {}
 _cells: dict[tuple, float] = {}
+_levels: dict[tuple, list[int]] = {}
 
 
 def admin_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``admin_area`` loaded once per session (truncate + restart identity = overwrite) and read back."""
     key = ("admin", spark.sparkContext.applicationId, sf_dir)
     path = _cache.get(key)
-    if path is None or (path.startswith("/") and not os.path.exists(path)):
+    if path is None:
         path = scratch_path(spark, "admin_area")
         adm.load_admin(fx.admin_source(spark, sf_dir)).write.mode("overwrite").parquet(path)
         _cache[key] = path
@@ -41,18 +40,21 @@ def admin_cell(spark: SparkSession, sf_dir: str) -> float:
 
 
 def admin_index(spark: SparkSession, sf_dir: str) -> dict:
-    """Grid cells and (polygon, row) edge lists of the loaded admin table, written once."""
+    """Grid cells, their levels and the band edge lists of the loaded admin table, written once."""
     cell = admin_cell(spark, sf_dir)
     out = {}
-    for name, build in (("cells", sj.polygon_cells), ("bands", sj.polygon_bands)):
+    for name, build in (("cells", lambda a: sj.polygon_cells(a, cell)), ("bands", sj.polygon_bands)):
         key = (f"admin_{name}", spark.sparkContext.applicationId, sf_dir)
         path = _cache.get(key)
-        if path is None or (path.startswith("/") and not os.path.exists(path)):
+        if path is None:
             path = scratch_path(spark, f"admin_{name}")
-            build(admin_area(spark, sf_dir), cell).write.mode("overwrite").parquet(path)
+            build(admin_area(spark, sf_dir)).write.mode("overwrite").parquet(path)
             _cache[key] = path
         out[name] = spark.read.parquet(path)
-    return {"cell": cell, **out}
+    key = ("admin_levels", spark.sparkContext.applicationId, sf_dir)
+    if key not in _levels:
+        _levels[key] = sj.grid_levels(out["cells"])
+    return {"cell": cell, "levels": _levels[key], **out}
 
 
 def _assign(spark: SparkSession, sf_dir: str, roads: DataFrame) -> DataFrame:
@@ -61,18 +63,16 @@ def _assign(spark: SparkSession, sf_dir: str, roads: DataFrame) -> DataFrame:
 
 def roads_pref(spark: SparkSession, sf_dir: str) -> DataFrame:
     """roads joined to their prefecture: the content of ``roads_p``."""
-    roads = fx.roads(spark, sf_dir)
-    hit = _assign(spark, sf_dir, roads.select("fid", "line"))
-    return roads.join(hit.select("fid", "pref_code"), "fid")
+    return _assign(spark, sf_dir, fx.roads(spark, sf_dir)).drop("gid", "admin_code")
 
 
 def roads_p_path(spark: SparkSession, sf_dir: str) -> str:
     """``roads_p`` written once per session below the shared checkpoint folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _cache.get(key)
-    if path is None or (path.startswith("/") and not os.path.exists(path)):
+    if path is None:
         new = pt.write_list_partitioned(roads_pref(spark, sf_dir), scratch_path(spark, "roads_p"),
-                                        "pref_code", LISTED_PREFS, spread_col="fid")
+                                        "pref_code", LISTED_PREFS)
         # composite primary key (fid, pref_code): a road matched twice (overlapping polygons) aborts
         # the load, as the key violation rolls back the insert in a database. Checked on the written
         # table (two narrow columns); the new path is published only when clean.
@@ -115,9 +115,7 @@ def pref_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pref_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roads whose representative point lies in no admin polygon."""
-    roads = fx.roads(spark, sf_dir).select("fid", "line")
-    hit = _assign(spark, sf_dir, roads)
-    return sj.unmatched(roads, hit).select("fid")
+    return sj.unmatched(fx.roads(spark, sf_dir), admin_area(spark, sf_dir), **admin_index(spark, sf_dir))
 
 
 def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,10 +142,10 @@ def partition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partitions_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X2 (rows only): partition directories the matching rows were read from, per probe."""
+    """Number of partition directories the matching rows were read from, per probe."""
     df = pt.read_list_partitioned(spark, roads_p_path(spark, sf_dir))
     out = None
     for label, q in _probes(df):
-        one = pt.partitions_touched(q).select(F.lit(label).alias("probe"), pt.PART_COL)
+        one = pt.partitions_touched(q).groupBy().agg(F.count(F.lit(1)).alias("n_parts")).select(F.lit(label).alias("probe"), "n_parts")
         out = one if out is None else out.unionByName(one)
     return out

@@ -1,40 +1,37 @@
-"""The whole batch flow as one job: raw features -> per-mesh parts -> stage load -> checked transform."""
+"""The whole batch flow as one job: archives -> per-mesh parts -> stage load -> checked transform."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import api
 from ..functions import geom
-from ..operators import quality
-from ..operators import warehouse as wh
-from ..session import scratch_path
+from ..session import current, scratch_path
 from ..sinks import parts
 from ..sources import fixtures as fx
+from .ingest import write_archives
 from .warehouse import TYPED_COLS
 
 
-def run_flow(spark: SparkSession, raw: DataFrame, root: str) -> dict:
+def run_flow(spark: SparkSession, archives: str, root: str) -> dict:
     """convert (normalise + quality report + one part per mesh) -> load (truncate + append into the
-    stage table) -> transform (typed, checked, replaces ``roads``). Returns the row counts."""
-    norm = wh.normalize_roads(raw, file_col="file_name").drop("file_name")
-    report = quality.geometry_quality_by_mesh(norm, "geometry").where("n_flagged > 0").collect()  # one row per mesh
-    parts.write_parts(norm, f"{root}/parts", spread_col="fid")
+    stage table) -> transform (identity key, typed, checked, replaces ``roads``). Returns row counts."""
+    n_parts = api.convert_all(spark, archives, f"{root}/parts")
     paths = parts.part_paths(spark, f"{root}/parts")
     n_stage = parts.load_stage(spark, paths, f"{root}/roads_stage", base_path=f"{root}/parts")
-    stage = geom.with_srid(spark.read.parquet(f"{root}/roads_stage"), "geometry", 6668)
-    n_roads = wh.transform(spark, stage, f"{root}/roads")
-    return {"flagged_meshes": len(report), "stage": n_stage, "roads": n_roads}
+    n_roads = api.transform(spark, spark.read.parquet(current(spark, f"{root}/roads_stage")), f"{root}/roads")
+    return {"parts": n_parts, "stage": n_stage, "roads": n_roads}
 
 
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6 with K1 / P1 / P2 / A6 / K7: the typed roads table produced by the full flow."""
+    """S1 with K1 / P1 / P2 / A6 / K6 / K7: the typed roads table from archives without a key."""
     root = scratch_path(spark, "flow")
-    counts = run_flow(spark, fx.raw_features(spark, sf_dir), root)
-    if counts["stage"] != counts["roads"]:
-        raise RuntimeError(f"stage and roads disagree: {counts}")
-    typed = spark.read.parquet(f"{root}/roads")
-    return typed.select(*TYPED_COLS, F.size("line").alias("npts"), F.lit(geom.srid_of(typed, "line")).alias("srid"))
+    write_archives(spark, sf_dir, f"{root}/archives", with_id=False)
+    counts = run_flow(spark, f"{root}/archives", root)
+    parts.reconcile(counts)
+    typed = spark.read.parquet(current(spark, f"{root}/roads"))
+    return typed.select(*TYPED_COLS, F.lit(geom.srid_of(typed, "line")).alias("srid"))
 
 
 def count_all(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +22,7 @@ def covering_file(spark: SparkSession, sf_dir: str) -> str:
     under the shared checkpoint folder (K5)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _layout_cache.get(key)
-    if path is None or (path.startswith("/") and not os.path.exists(path)):
+    if path is None:
         path = layout.write_covering_layout(fx.roads(spark, sf_dir), scratch_path(spark, "roads_covering"),
                                             row_group_rows=_row_group_rows(spark))
         _layout_cache[key] = path
@@ -89,7 +87,17 @@ def cross_mesh_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invalid_by_mesh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing, empty and invalid geometries per mesh (report only)."""
-    return quality.geometry_quality_by_mesh(fx.roads(spark, sf_dir).select("source_mesh", "line"))
+    return quality.geometry_quality_by_mesh(fx.flawed_roads(spark, sf_dir).select("source_mesh", "line"))
+
+
+def polygon_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of every polygon (ok, missing, empty, invalid)."""
+    return fx.admin_polygons(spark, sf_dir).select("fid", geom.polygon_status("mpoly").alias("status"))
+
+
+def duplicates_signed_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 on lines through 0.0 and -0.0: the two are different geometries."""
+    return quality.cross_mesh_duplicates(fx.flawed_roads(spark, sf_dir).where("fid % 23 = 5")).select("fid", "source_mesh")
 
 
 def point_on_line(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +106,12 @@ def point_on_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("fid", F.col("pt.x").alias("px"), F.col("pt.y").alias("py"))
 
 
+def point_on_long_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G9 on lines of 9 to 16 vertices."""
+    p = geom.with_point_on_line(fx.long_roads(spark, sf_dir), "line", "pt")
+    return p.select("fid", F.col("pt.x").alias("px"), F.col("pt.y").alias("py"))
+
+
 def point_accessors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST_NumPoints, ST_PointN(line, 2) and ST_PointN(line, -1)."""
     r = fx.roads(spark, sf_dir)

@@ -5,41 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text, wkb
+from ..functions import geom, text
 from ..operators import warehouse as wh
 from ..session import scratch_path
+from ..sinks import parts
 from ..sources import fixtures as fx
 from ..sources import geojson
 
 
-def write_archives(spark: SparkSession, sf_dir: str, root: str, features_per_archive: int = 50_000) -> int:
-    """Deliver the raw features as zipped GeoJSON archives (several per mesh); returns archive count."""
+# Names of one and the same CRS that deliveries use (fixed values).
+CRS_NAMES = ("urn:ogc:def:crs:EPSG::6668", "urn:ogc:def:crs:EPSG:6.9:6668", "EPSG:6668", "http://www.opengis.net/def/crs/EPSG/0/6668")
+
+
+def write_archives(spark: SparkSession, sf_dir: str, root: str, features_per_archive: int = 500,
+                   with_id: bool = True, bad_rows: bool = False) -> int:
+    """Deliver the raw features as zipped GeoJSON archives (several per mesh, in every layout and CRS
+    spelling, with an attribute the delivery does not know); returns the archive count."""
     raw = fx.raw_features(spark, sf_dir)
     src = raw.select(text.mesh_code_from_name("file_name").alias("mesh"), "fid",
+                     F.concat(F.lit("survey \"é\" "), F.col("fid") % 7).alias("note"),
                      *[c for c in raw.columns if c.startswith("N13_")], "geometry")
-    return geojson.write_mesh_archives(src, root, features_per_archive=features_per_archive).count()
+    return geojson.write_mesh_archives(src, root, features_per_archive=features_per_archive, keep_key=with_id,
+                                       crs_names=CRS_NAMES, layouts=geojson.LAYOUTS).count()
 
 
 def geojson_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives read back feature by feature, normalised, counted per mesh with CRS."""
+    """Archives of all layouts read back, every attribute and vertex count per feature."""
     root = scratch_path(spark, "archives")
     write_archives(spark, sf_dir, root)
-    feats = geojson.read_mesh_archives(spark, root)
-    norm = wh.normalize_roads(feats, file_col="file_name")
-    return norm.groupBy("source_mesh").agg(F.count(F.lit(1)).alias("n"), F.min("srid").alias("srid_min"),
-                                           F.max("srid").alias("srid_max"))
+    norm = wh.normalize_roads(geojson.read_mesh_archives(spark, root), file_col="file_name")
+    return norm.select(F.col("fid").cast("long").alias("fid"), "note", *wh.COLUMN_MAP.values(), "source_mesh", "geom_type",
+                       F.size("geometry").alias("npts"), F.element_at("geometry", -1)["x"].alias("xn"),
+                       F.element_at("geometry", -1)["y"].alias("yn"), "srid",
+                       F.lit(geom.srid_of(norm, "geometry")).alias("tagged_srid"))
 
 
 def wkb_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line encoded to WKB and decoded back (Arrow batches) equals the original."""
+    """Every line written as WKB and read back into the native form equals the original."""
     r = fx.roads(spark, sf_dir).select("fid", "line")
-    enc = r.select("fid", "line", wkb.to_wkb("line").alias("wkb"))
-    dec = enc.select("fid", F.length("wkb").alias("nbytes"), (wkb.from_wkb("wkb") == F.col("line")).alias("same"))
-    return dec
+    path = parts.write_wkb(r.withColumn("geometry", F.col("line")), scratch_path(spark, "wkb"))
+    size = spark.read.parquet(path).select("fid", F.length("geometry").alias("nbytes"))
+    back = parts.read_geoparquet(spark, path).select("fid", (F.col("geometry") == F.col("line")).alias("same"))
+    return size.join(back, "fid")
 
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives landing in a folder ingested by a file-source stream (AvailableNow), counted per mesh."""
+    """Archives landing in a folder ingested by a file-source stream (AvailableNow), per feature."""
     from ..sinks.partitioned import read_partitions_as_text
     from ..streaming.ingest import incremental_ingest as run
 
@@ -47,4 +58,6 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(spark, sf_dir, f"{root}/landing")
     run(spark, f"{root}/landing", f"{root}/table", f"{root}/_checkpoint")
     table = read_partitions_as_text(spark, f"{root}/table")
-    return table.groupBy("source_mesh").agg(F.count(F.lit(1)).alias("n"))
+    value = lambda k: F.element_at("properties", F.lit(k))
+    return table.select(value("fid").cast("long").alias("fid"), value("note").alias("note"), "road_type", "registration_date",
+                        "source_mesh", F.size("geometry").alias("npts"), "srid")

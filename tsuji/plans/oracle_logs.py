@@ -38,9 +38,11 @@ FROM parsed GROUP BY probe"""
 FETCH_WORKLIST = r"""WITH named AS (
   SELECT page_id, url,
     regexp_extract(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), '([^/]+)/*$', 1) AS name
-  FROM pages)
+  FROM pages),
+done AS (SELECT name FROM named WHERE page_id % 3 = 0 GROUP BY name HAVING max(CASE WHEN page_id % 6 = 0 THEN 0 ELSE 1 END) > 0)
 SELECT page_id, url, name FROM (
-  SELECT *, row_number() OVER (PARTITION BY name ORDER BY page_id) rn FROM named) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY page_id) rn FROM named)
+WHERE rn = 1 AND name NOT IN (SELECT name FROM done)"""
 
 ORACLES = {
     "http_parse": HTTP_PARSE,

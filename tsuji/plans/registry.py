@@ -41,6 +41,9 @@ QUERIES: dict[str, Query] = {
     "cross_mesh_duplicates": ge.cross_mesh_duplicates,
     "invalid_by_mesh": ge.invalid_by_mesh,
     "point_on_line": ge.point_on_line,
+    "point_on_long_line": ge.point_on_long_line,
+    "polygon_validity": ge.polygon_validity,
+    "duplicates_signed_zero": ge.duplicates_signed_zero,
     "point_accessors": ge.point_accessors,
     "flip": ge.flip,
     "wkt_roundtrip": ge.wkt_roundtrip,
@@ -57,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "stage_transform": wh.stage_transform,
     "constraint_violations": wh.constraint_violations,
     "code_upsert": wh.code_upsert,
+    "nation_upsert": wh.nation_upsert,
     "merge_parts": wh.merge_parts,
     "surrogate_ids": wh.surrogate_ids,
     "geojson_ingest": ig.geojson_ingest,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geom
 from ..operators import warehouse as wh
 from ..operators.ids import dense_id
-from ..session import scratch_path
+from ..session import current, scratch_path
 from ..sinks import layout, parts
 from ..sources import fixtures as fx
 
@@ -27,14 +27,14 @@ def stage_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage table -> checked, typed ``roads`` written and read back."""
     path = scratch_path(spark, "roads_typed")
     wh.transform(spark, fx.roads_stage(spark, sf_dir), path)
-    typed = spark.read.parquet(path)
+    typed = spark.read.parquet(current(spark, path))
     srid = geom.srid_of(typed, "line")
     return typed.select(*TYPED_COLS, F.size("line").alias("npts"), F.lit(srid).alias("srid"))
 
 
 def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NOT NULL, foreign-key and primary-key violations of the typed table (0 = clean)."""
-    return wh.constraint_violations(spark, wh.typed_roads(fx.roads_stage(spark, sf_dir)))
+    """NOT NULL, foreign-key and primary-key violations of a typed table with bad rows in it."""
+    return wh.constraint_violations(spark, wh.typed_roads(fx.flawed_stage(spark, sf_dir)))
 
 
 def code_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,12 +50,19 @@ def code_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.upsert(target, changes, ["fid"])
 
 
+def nation_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 on a code table: nations of regions 0 to 2 renamed and those of region 4 added."""
+    nation = fx.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    changes = nation.where("n_regionkey <= 2 or n_regionkey = 4").withColumn("n_name", F.lower("n_name"))
+    return wh.upsert(nation.where("n_regionkey < 4"), changes, ["n_nationkey"])
+
+
 def merge_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw features -> one part per mesh -> merged output + spatially sorted
     output, both counted while written and reconciled; returns rows per mesh of the merged table."""
     root = scratch_path(spark, "merge")
     norm = wh.normalize_roads(fx.raw_features(spark, sf_dir), file_col="file_name").drop("file_name")
-    parts.write_parts(norm, f"{root}/parts", spread_col="fid")
+    parts.write_parts(norm, f"{root}/parts")
     paths = parts.part_paths(spark, f"{root}/parts")
     merged = parts.merge_parts(spark, paths, base_path=f"{root}/parts")
     n_merged = parts.write_counted(merged, f"{root}/merged", "merged")

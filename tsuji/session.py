@@ -72,12 +72,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/tsuji/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread_small(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cluster only when it has fewer partitions than the default
-    parallelism (a small input such as a single file). Large inputs already have many splits and are
-    returned untouched, so no shuffle is added where the data is big."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df._jdf.rdd().getNumPartitions() < n else df
+def version_path(table: str) -> str:
+    """A new folder for the next version of ``table``."""
+    return f"{table.rstrip('/')}/version-{uuid.uuid4().hex[:12]}"
+
+
+def publish(spark: SparkSession, table: str, version: str) -> None:
+    """Make ``version`` the current one of ``table``: the pointer is one small text file, written
+    after the version is complete, so readers see either the old table or the whole new one."""
+    n = len(_pointers(spark, table)) + 1
+    spark.createDataFrame([(version.rsplit("/", 1)[-1],)], "version string").coalesce(1).write.text(f"{table.rstrip('/')}/current/{n:09d}")
+
+
+def _pointers(spark: SparkSession, table: str) -> list[str]:
+    """Committed pointers, oldest first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/current/*/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(f.getPath().getParent().toString() for f in found)
+
+
+def current(spark: SparkSession, table: str) -> str:
+    """Folder of the published version of ``table``."""
+    pointers = _pointers(spark, table)
+    if not pointers:
+        raise FileNotFoundError(f"no published version of {table}")
+    return f"{table.rstrip('/')}/{spark.read.text(pointers[-1]).first()[0]}"
 
 
 _shipped: set[str] = set()
@@ -113,9 +132,9 @@ def materialized(spark: SparkSession, name: str, key: tuple, build) -> str:
     """
     k = (spark.sparkContext.applicationId, name, key)
     path = _materialized.get(k)
-    if path is None or (path.startswith("/") and not os.path.exists(path)):
+    if path is None:
         path = scratch_path(spark, name)
-        spread_small(build()).write.mode("overwrite").parquet(path)
+        build().write.mode("overwrite").parquet(path)
         _materialized[k] = path
     return path
 

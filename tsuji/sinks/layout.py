@@ -44,10 +44,11 @@ def write_covering_layout(df: DataFrame, path: str, *, line: str = "line", key:
     reruns are identical), then a sort inside each partition. Always overwrites: a rerun never
     appends to the previous output.
     """
-    spark = df.sparkSession
-    n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = hilbert_order(df, line, total=total)
-    (ordered.repartitionByRange(n, "hilbert", key)
+    by = ["hilbert", key]
+    # without a number AQE sizes the ranges from the shuffled bytes
+    ranged = ordered.repartitionByRange(num_files, *by) if num_files else ordered.repartitionByRange(*by)
+    (ranged
      .sortWithinPartitions("hilbert", key)
      .drop("hilbert")
      .write.mode("overwrite")

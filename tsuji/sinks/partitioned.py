@@ -19,19 +19,16 @@ def list_partition(key, values: Sequence[str], default: str = DEFAULT_PART):
 
 
 def write_list_partitioned(df: DataFrame, path: str, key: str, values: Sequence[str], *,
-                           spread_col: str | None = None, files_per_part: int | None = None,
-                           dynamic: bool = False) -> str:
+                           spread: bool = True, dynamic: bool = False) -> str:
     """Write ``df`` partitioned by ``part`` (listed values + DEFAULT).
 
-    Rows are shuffled on (part, hash bucket of ``spread_col``) so that a partition holding a third
-    of the data is written by many tasks instead of one; AQE merges the small buckets.
+    The rebalance hint lets AQE deal rows by part into partitions of the advisory size, so a part
+    holding a third of the data is written by many tasks and small parts share one.
     ``dynamic`` replaces only the partitions present in ``df``; otherwise the table is replaced.
     """
-    spark = df.sparkSession
-    n = files_per_part or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = df.withColumn(PART_COL, list_partition(key, values))
-    if spread_col:
-        out = out.repartition(n, PART_COL, F.pmod(F.xxhash64(spread_col), F.lit(n)))
+    if spread:
+        out = out.hint("rebalance", PART_COL)
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy(PART_COL).parquet(path))

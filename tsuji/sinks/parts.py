@@ -8,21 +8,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geom
+from ..functions import geom, wkb
 from ..operators import search
+from ..session import publish, version_path
 from .partitioned import read_partitions_as_text
 
 
-def write_parts(df: DataFrame, path: str, mesh_col: str = "source_mesh", spread_col: str | None = None) -> str:
+def write_parts(df: DataFrame, path: str, mesh_col: str = "source_mesh", spread: bool = True) -> str:
     """One folder per mesh; rewriting a mesh replaces only that mesh's folder (dynamic overwrite).
 
-    Rows are shuffled on (mesh, hash bucket) so a mesh holding a third of all rows is written by
-    many tasks."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = df
-    if spread_col:
-        out = df.repartition(n, mesh_col, F.pmod(F.xxhash64(spread_col), F.lit(n)))
+    The rebalance hint lets AQE deal rows by mesh into partitions of the advisory size: small meshes
+    share a task, a mesh holding most of all rows is split over many."""
+    out = df.hint("rebalance", mesh_col) if spread else df
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(mesh_col).parquet(path))
     return path
@@ -53,18 +50,26 @@ def _safe_cast(col: str, src_type, dst_type):
 
 
 def merge_parts(spark: SparkSession, paths: Sequence[str], base_path: str | None = None) -> DataFrame:
-    """Union of the parts under the first part's schema (U1, K2): later parts must have the same
-    field names in the same order and are cast to the first part's types, losslessly or not at all."""
+    """All parts under the first part's schema (U1, K2): later parts must have the same field names
+    in the same order and are cast to the first part's types, losslessly or not at all.
+
+    Parts of one schema are one scan, however many there are; only the schemas (footers) are looked
+    at one by one."""
     if not paths:
-        raise ValueError("No parts to merge.")
-    parts = [read_partitions_as_text(spark, p, base_path=base_path) for p in paths]
-    first = parts[0].schema
-    out = parts[0]
-    for p, df in zip(paths[1:], parts[1:]):
-        if df.schema.fieldNames() != first.fieldNames():
-            raise ValueError(f"part {p} has fields {df.schema.fieldNames()}, expected {first.fieldNames()}")
+        raise ValueError("merge_parts got an empty list of parts")
+    groups: dict[tuple, list[str]] = {}
+    first = None
+    for p in paths:
+        schema = read_partitions_as_text(spark, p, base_path=base_path).schema
+        first = first or schema
+        if schema.fieldNames() != first.fieldNames():
+            raise ValueError(f"part {p} has fields {schema.fieldNames()}, expected {first.fieldNames()}")
+        groups.setdefault(tuple(f.dataType.simpleString() for f in schema.fields), []).append(p)
+    out = None
+    for same in groups.values():
+        df = read_partitions_as_text(spark, *same, base_path=base_path)
         df = df.select(*[_safe_cast(f.name, df.schema[f.name].dataType, f.dataType) for f in first.fields])
-        out = out.unionByName(df)
+        out = df if out is None else out.unionByName(df)
     return out
 
 
@@ -102,12 +107,31 @@ def read_geo_metadata(spark: SparkSession, path: str) -> dict:
     return json.loads(row[0]) if row else {}
 
 
-def load_stage(spark: SparkSession, paths: Sequence[str], table_path: str, base_path: str | None = None) -> int:
-    """Truncate + append of all parts into the stage table as one atomic overwrite (K6)."""
+def read_geoparquet(spark: SparkSession, *paths: str, geometry: str = "geometry", srid: int | None = None) -> DataFrame:
+    """Parquet whose ``geometry`` column holds WKB lines, in the native form. The CRS of a GeoParquet
+    footer is not visible to Spark's reader; pass ``srid`` to tag the column."""
+    df = spark.read.parquet(*paths)
+    if dict(df.dtypes)[geometry] == "binary":
+        df = df.withColumn(geometry, wkb.from_wkb(geometry))
+    return geom.with_srid(df, geometry, srid) if srid is not None else df
+
+
+def write_wkb(df: DataFrame, path: str, geometry: str = "geometry") -> str:
+    """``df`` as parquet with ``geometry`` as WKB, for tools that read GeoParquet columns; the metadata
+    beside it is ``write_geo_metadata``'s."""
+    df.withColumn(geometry, wkb.to_wkb(geometry)).write.parquet(path)
+    return path
+
+
+def load_stage(spark: SparkSession, paths: Sequence[str], table: str, base_path: str | None = None) -> int:
+    """Truncate + append of all parts into the stage table (K6): a new version of ``table``,
+    published when it is complete. Returns the rows loaded."""
     if not paths:
-        raise ValueError("No parts to load.")
-    df = read_partitions_as_text(spark, *paths, base_path=base_path)
-    return write_counted(df, table_path, "load_stage")
+        raise ValueError("load_stage got an empty list of parts")
+    new = version_path(table)
+    n = write_counted(read_partitions_as_text(spark, *paths, base_path=base_path), new, "load_stage")
+    publish(spark, table, new)
+    return n
 
 
 def load_stage_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,

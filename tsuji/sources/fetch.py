@@ -19,15 +19,11 @@ def listing(spark: SparkSession, dest_dir: str, glob: str | None = None) -> Data
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    try:
-        df = r.load(dest_dir)
-    except Exception as e:  # a missing folder means nothing is downloaded yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            from pyspark.sql import types as T
-            return spark.createDataFrame([], T.StructType([T.StructField("name", T.StringType()),
-                                                           T.StructField("length", T.LongType())]))
-        raise
-    return df.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(dest_dir)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "name string, length long")     # nothing is there yet
+    return r.load(dest_dir).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length")
 
 
 def worklist(urls: DataFrame, existing: DataFrame, url: str = "url", order: str = "page_id") -> DataFrame:
@@ -37,7 +33,7 @@ def worklist(urls: DataFrame, existing: DataFrame, url: str = "url", order: str
     """
     named = urls.withColumn("name", url_file_name(url))
     named = named.withColumn("name", F.when(F.col("name") != "", F.col("name")).otherwise(
-        F.raise_error(F.concat(F.lit("Cannot derive a filename from URL: "), F.col(url))).cast("string")))
+        F.raise_error(F.concat(F.lit("URL without a file name: "), F.col(url))).cast("string")))
     # first URL per name: min_by aggregates partially per task, so a hot name is not one task's work
     cols = [c for c in named.columns if c != "name"]
     first = (named.groupBy("name").agg(F.min_by(F.struct(*cols), F.col(order)).alias("_f"))

@@ -30,15 +30,16 @@ def _archives_stream(spark: SparkSession, landing: str, max_files_per_trigger: i
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     files = r.load(landing).select("path")            # archives are opened by path inside the task
-    feats = files.mapInArrow(geojson._features, geojson.FEATURE_SCHEMA)
-    known = [F.get_json_object("properties", f"$.{k}").alias(k) for k in geojson.COLUMN_MAP]
-    return feats.select("file_name", *known, "geom_type", "geometry", "srid")
+    raw = files.mapInArrow(geojson._read_archives, geojson.RAW).repartition("file_name", "feature_no")
+    # a stream's columns are fixed beforehand: unknown attributes stay in the ``properties`` map
+    return geojson.with_attributes(geojson.parsed(raw), list(geojson.COLUMN_MAP))
 
 
 def incremental_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
                        max_files_per_trigger: int | None = None) -> int:
     """Ingest every archive in ``landing`` not yet recorded in ``checkpoint`` into ``table``
-    (parquet, partitioned by ``source_mesh``). Returns the number of micro-batches run."""
+    (parquet, partitioned by ``source_mesh``), attributes, geometry of any type and all. The rows of
+    an archive are dealt out before they are parsed and written. Returns the number of micro-batches."""
     stream = wh.normalize_roads(_archives_stream(spark, landing, max_files_per_trigger), file_col="file_name")
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
