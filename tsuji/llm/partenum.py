@@ -47,7 +47,7 @@ from .graph import components
 from .shingles import shingle_sets
 
 PERCENT = 80
-TASK_SIGNATURES = 2_000_000     # signatures aimed at per bucket
+TASK_SIGNATURES = 3_000_000     # signatures aimed at per bucket
 FLUSH_SIGNATURES = 3_000_000    # signatures a task packs at once
 FLUSH_SETS = 32_000             # and the most sets, so that a set's number fits 15 bits
 BROADCAST_IDS = 300_000         # ids broadcast at most when texts are fetched again
@@ -155,7 +155,7 @@ def class_of(hashed: np.ndarray, size: int) -> int:
 
 # ---- packed pieces: the signatures of many sets that fall into one bucket -------------------------
 
-def pack(key: np.ndarray, ref: np.ndarray, cls: np.ndarray, size: np.ndarray) -> bytes:
+def pack(key: np.ndarray, ref: np.ndarray, cls: np.ndarray, band: np.ndarray) -> bytes:
     """``key`` (48 bits) sorted, ``ref`` = 2 * set number + own-band flag. Only sets that occur are
     kept; keys are stored as differences, byte plane by byte plane, which the shuffle compresses."""
     used, number = np.unique(ref >> 1, return_inverse=True)
@@ -164,11 +164,11 @@ def pack(key: np.ndarray, ref: np.ndarray, cls: np.ndarray, size: np.ndarray) ->
     head = np.array([len(key), len(used)], "<u4")
     return b"".join((head.tobytes(), np.ascontiguousarray(planes).tobytes(),
                      ((number << 1) | (ref & 1)).astype("<u2").tobytes(),
-                     cls[used].astype("<i8").tobytes(), size[used].astype("<u4").tobytes()))
+                     cls[used].astype("<i8").tobytes(), band[used].astype(np.uint8).tobytes()))
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, own flag, class, size) per signature."""
+    """(key, own flag, class, band) per signature."""
     n, m = np.frombuffer(blob, "<u4", 2).tolist()
     at = 8
     wide = np.zeros((n, 8), np.uint8)
@@ -178,8 +178,8 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     ref = np.frombuffer(blob, "<u2", n, at)
     at += 2 * n
     cls = np.frombuffer(blob, "<i8", m, at)
-    size = np.frombuffer(blob, "<u4", m, at + 8 * m)
-    return key, (ref & 1).astype(bool), cls[ref >> 1], size[ref >> 1].astype(np.int64)
+    band = np.frombuffer(blob, np.uint8, m, at + 8 * m)
+    return key, (ref & 1).astype(bool), cls[ref >> 1], band[ref >> 1]
 
 
 SENT = "bucket int, id long, n long, cls long, piece binary"
@@ -192,17 +192,17 @@ def _send(labels: list[int], percent: int):
     count = len(labels)
 
     def run(batches):
-        sigs, parts, refs, cls, size, seen, total = [], [], [], [], [], {}, 0
+        sigs, parts, refs, cls, band, seen, total = [], [], [], [], [], {}, 0
 
         def flush():
-            nonlocal sigs, parts, refs, cls, size, seen, total
+            nonlocal sigs, parts, refs, cls, band, seen, total
             if sigs:
                 sig = np.concatenate(sigs)
                 bucket = ((sig >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
                 key = (np.minimum(np.concatenate(parts), PART_LIMIT - 1) << np.uint64(32)) | (sig & np.uint64(0xFFFFFFFF))
                 order = np.lexsort((key, bucket))
                 key, ref, bucket = key[order], np.concatenate(refs)[order], bucket[order]
-                c, s = np.array(cls, np.int64), np.array(size, np.int64)
+                c, s = np.array(cls, np.int64), np.array(band, np.uint8)
                 edge = np.searchsorted(bucket, np.arange(count + 1, dtype=np.uint64))
                 for a in range(0, count, 16):
                     which = [b for b in range(a, min(a + 16, count)) if edge[b + 1] > edge[b]]
@@ -210,7 +210,7 @@ def _send(labels: list[int], percent: int):
                     none = pa.nulls(len(which), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(name[which]), none, none, none, pa.array(blobs, pa.binary())],
                                                      names=["bucket", "id", "n", "cls", "piece"])
-            sigs, parts, refs, cls, size, seen, total = [], [], [], [], [], {}, 0
+            sigs, parts, refs, cls, band, seen, total = [], [], [], [], [], {}, 0
 
         for batch in batches:
             for p in pieces(batch, "text"):
@@ -230,7 +230,7 @@ def _send(labels: list[int], percent: int):
                         yield from flush()
                     number = seen[c] = len(cls)
                     cls.append(c)
-                    size.append(len(s))
+                    band.append(int(tags[i]))
                     for tag, own in ((int(tags[i]), 1), (int(tags[i]) + 1, 0)):
                         sig, part = signatures(s, hashed, tag, percent)
                         sigs.append(sig)
@@ -264,9 +264,9 @@ def _meet(percent: int):
                 blobs.setdefault(b, []).append(x)
         for b in sorted(blobs):
             got = [unpack(x) for x in blobs.pop(b)]
-            key, own, cls, size = (np.concatenate(x) for x in zip(*got))
+            key, own, cls, tag = (np.concatenate(x) for x in zip(*got))
             del got
-            tag = np.searchsorted(bands(percent), size, "right") - 1 + ~own
+            tag = tag + ~own                              # the next band where the set is the smaller partner
             order = np.argsort(key, kind="stable")
             k = key[order]
             new = np.empty(len(k), bool)
@@ -275,7 +275,7 @@ def _meet(percent: int):
             lonely = new.copy()
             lonely[:-1] &= new[1:]
             order = order[~lonely]                       # signatures that occur more than once
-            frame = pd.DataFrame({"key": key[order], "tag": tag[order], "cls": cls[order], "own": own[order], "size": size[order]})
+            frame = pd.DataFrame({"key": key[order], "tag": tag[order], "cls": cls[order], "own": own[order]})
             frame = frame.drop_duplicates(["key", "tag", "cls"])
             by = frame.groupby(["key", "tag"], sort=False)
             frame["freq"] = by["cls"].transform("size")
@@ -286,7 +286,7 @@ def _meet(percent: int):
             for a in range(0, n, 50_000):
                 f = frame.iloc[a:a + 50_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(len(f), np.int32)), pa.nulls(len(f), pa.int64()), pa.array(f["size"].to_numpy(np.int64)),
+                    [pa.array(np.ones(len(f), np.int32)), pa.nulls(len(f), pa.int64()), pa.nulls(len(f), pa.int64()),
                      pa.array(f["cls"].to_numpy()), pa.array(sig[a:a + 50_000].view(np.int64)), pa.array(f["tag"].to_numpy(np.int32)),
                      pa.array((key[a:a + 50_000] >> np.uint64(32)).astype(np.int32)), pa.array(f["own"].to_numpy()),
                      pa.array(f["freq"].to_numpy(np.int64))], names=names)
@@ -313,19 +313,19 @@ def met(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
 
 
 def thinned(found: DataFrame, percent: int) -> DataFrame:
-    """``sig, cls, n, tag``: without the most frequent signatures every set may drop."""
+    """``sig, cls, tag``: without the most frequent signatures every set may drop."""
     spare = [scheme(t, percent).spare if scheme(t, percent).parts < PART_LIMIT else 0 for t in range(60)]
     w = Window.partitionBy("cls", "tag").orderBy(F.desc("freq"), "sig")
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (found.where("kind = 1")
             .withColumn("parts", F.size(F.collect_set("part").over(before)))
             .where(F.col("parts") > F.element_at(F.array(*[F.lit(s) for s in spare]), F.col("tag") + 1)))
-    rows = rows.select("sig", "cls", "n", "tag", "own")
+    rows = rows.select("sig", "cls", "tag", "own")
     # near copies share many signatures: of the groups with the same members one is enough
     mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cls")).alias(f"m{seed}")
     live = (rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("o"), mark(1), mark(2)).where("c > 1 and o")
             .groupBy("c", "m1", "m2").agg(F.min("sig").alias("sig")).select("sig"))
-    return written(rows.join(live, "sig").select("sig", "cls", "n", "tag"), "jaccard-members")
+    return written(rows.join(live, "sig").select("sig", "cls", "tag"), "jaccard-members")
 
 
 def needed_sets(docs: DataFrame, found: DataFrame, members: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
@@ -502,9 +502,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
     for low in bands(percent)[1:60].tolist():            # band number of a size
         first_band = first_band + F.when(F.col("n") >= low, 1).otherwise(0)
     sk = sk.withColumn("band", first_band)
-    sk = (sk.select("cls", F.col("band").alias("tag"), F.col("own").alias("sk"))
-          .unionByName(sk.select("cls", (F.col("band") + 1).alias("tag"), F.col("next").alias("sk"))))
-    rows = written(members.join(sk, ["cls", "tag"]), "jaccard-groups")
+    sk = (sk.select("cls", "n", F.col("band").alias("tag"), F.col("own").alias("sk"))
+          .unionByName(sk.select("cls", "n", (F.col("band") + 1).alias("tag"), F.col("next").alias("sk"))))
+    sk = written(sk, "jaccard-sketches")
 
     degree = members.groupBy("cls").agg(F.count(F.lit(1)).alias("deg"))
     hubs = (members.select("sig", "cls").join(degree, "cls").groupBy("sig")
@@ -513,9 +513,11 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
     hubs = written(hubs, "jaccard-hubs")
     # stage 1: a group's rows in slices, the hub in each of them
     slices = F.ceil(F.col("m") / BLOCK).cast("int")
-    spread = rows.join(hubs, "sig").withColumn("is_hub", F.col("cls") == F.col("hub")).withColumn(
+    spread = members.join(hubs, "sig").withColumn("is_hub", F.col("cls") == F.col("hub")).withColumn(
         "slice", F.explode(F.when(F.col("is_hub"), F.sequence(F.lit(0), slices - 1))
                            .otherwise(F.array(F.pmod(F.hash("cls"), slices)))))
+    # the sketches join last: what goes before moves a few numbers per row
+    spread = spread.select("tag", "sig", "slice", "cls", "is_hub", "deg").join(sk, ["cls", "tag"])
     spread = (spread.select("tag", "sig", "slice", "cls", "n", "sk", "is_hub", "deg").repartition("tag", "sig", "slice")
               .sortWithinPartitions("tag", "sig", "slice"))
     stars = prepared(spread).mapInArrow(_star_pairs(percent), "a long, b long, deg long")
@@ -536,14 +538,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     # stage 2: groups that still hold several components, in blocks and pairs of blocks
-    named = rows.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    named = written(named.select("tag", "sig", "cls", "n", "sk", "root"), "jaccard-named")
+    named = members.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    named = written(named.select("tag", "sig", "cls", "root"), "jaccard-named")
     mixed = (named.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"))
              .where("r0 <> r1").select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
     cut = named.join(mixed, "sig").withColumn("side", F.pmod(F.hash("cls"), F.col("blocks")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = (cut.select("tag", "sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
-                      "cls", "n", "sk", "root", "side").repartition("tag", "sig", "i", "j")
+    cut = cut.select("tag", "sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
+                     "cls", "root", "side").join(sk, ["cls", "tag"])
+    cut = (cut.select("tag", "sig", "i", "j", "cls", "n", "sk", "root", "side").repartition("tag", "sig", "i", "j")
            .sortWithinPartitions("tag", "sig", "i", "j"))
     across = cut.mapInArrow(_cross_pairs(percent), "a long, b long").distinct()
     across = written(across.join(stars, ["a", "b"], "left_anti"), "jaccard-across")      # not checked before
