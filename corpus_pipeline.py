@@ -22,8 +22,10 @@ ORACLE_SQL = None
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier rejects go."""
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs.select(F.struct("*").alias("_row"), "text", "source", "lang", "n_chars"), model)
-    return scored.where(F.col("quality") >= quality.THRESHOLD).select("_row.*")
+    name = "quality"
+    while any(c.startswith(name) for c in docs.columns):       # the score must not hide a column
+        name = f"_{name}"
+    return quality.score(docs, model, prefix=name).where(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

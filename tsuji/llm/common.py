@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path, ship_package
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000                # rows of an Arrow batch, unless the session sets its own number
 PIECE_BYTES = 2_000_000          # text handled at once inside a task: bounds the Python worker's memory
 
 
@@ -29,7 +31,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def prepared(df: DataFrame) -> DataFrame:
     """Ship the package to the executors once per application (Python operators need it there)."""
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":          # Spark's default: too many long texts
+        spark.conf.set(ARROW_ROWS, BATCH_ROWS)
     return df
 
 

@@ -47,8 +47,8 @@ from .graph import components
 from .shingles import shingle_sets
 
 PERCENT = 80
-TASK_SIGNATURES = 3_000_000     # signatures aimed at per bucket
-FLUSH_SIGNATURES = 3_000_000    # signatures a task packs at once
+TASK_SIGNATURES = 2_500_000     # signatures aimed at per bucket
+FLUSH_SIGNATURES = 1_200_000    # signatures a task packs at once
 FLUSH_SETS = 32_000             # and the most sets, so that a set's number fits 15 bits
 BROADCAST_IDS = 300_000         # ids broadcast at most when texts are fetched again
 BLOCK = 2048                    # classes of a signature group compared in one block
@@ -199,7 +199,7 @@ def _send(labels: list[int], percent: int):
             if sigs:
                 sig = np.concatenate(sigs)
                 bucket = ((sig >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-                key = (np.minimum(np.concatenate(parts), PART_LIMIT - 1) << np.uint64(32)) | (sig & np.uint64(0xFFFFFFFF))
+                key = (np.concatenate(parts).astype(np.uint64) << np.uint64(32)) | (sig & np.uint64(0xFFFFFFFF))
                 order = np.lexsort((key, bucket))
                 key, ref, bucket = key[order], np.concatenate(refs)[order], bucket[order]
                 c, s = np.array(cls, np.int64), np.array(band, np.uint8)
@@ -234,7 +234,7 @@ def _send(labels: list[int], percent: int):
                     for tag, own in ((int(tags[i]), 1), (int(tags[i]) + 1, 0)):
                         sig, part = signatures(s, hashed, tag, percent)
                         sigs.append(sig)
-                        parts.append(part)
+                        parts.append(np.minimum(part, PART_LIMIT - 1).astype(np.uint16))
                         refs.append(np.full(len(sig), 2 * number + own, np.int32))
                         total += len(sig)
                 yield pa.RecordBatch.from_arrays(
