@@ -42,13 +42,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_schema, map_pieces, mix64, pieces, prepared, utf8, with_columns, written
+from .common import add_schema, map_pieces, mix64, pieces, prepared, trimmed, utf8, with_columns, written
 from .graph import components
 from .shingles import shingle_sets
 
 PERCENT = 80
-TASK_SIGNATURES = 2_500_000     # signatures aimed at per bucket
-FLUSH_SIGNATURES = 1_200_000    # signatures a task packs at once
+TASK_SIGNATURES = 2_000_000     # signatures aimed at per bucket
+FLUSH_SIGNATURES = 600_000    # signatures a task packs at once
 FLUSH_SETS = 32_000             # and the most sets, so that a set's number fits 15 bits
 BROADCAST_IDS = 300_000         # ids broadcast at most when texts are fetched again
 BLOCK = 2048                    # classes of a signature group compared in one block
@@ -308,8 +308,8 @@ def met(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // (6 * TASK_SIGNATURES)))           # about one signature per word
     labels = even_labels(docs.sparkSession, buckets)
-    sent = prepared(rows).mapInArrow(_send(labels, percent), SENT).repartition(buckets, "bucket")
-    return written(sent.mapInArrow(_meet(percent), _FOUND), "jaccard-met")
+    sent = prepared(rows).mapInArrow(trimmed(_send(labels, percent)), SENT).repartition(buckets, "bucket")
+    return written(sent.mapInArrow(trimmed(_meet(percent)), _FOUND), "jaccard-met")
 
 
 def thinned(found: DataFrame, percent: int) -> DataFrame:
@@ -357,7 +357,7 @@ def needed_sets(docs: DataFrame, found: DataFrame, members: DataFrame, id_col: s
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
                         pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["cls", "n", "words", "own", "next"])
 
-    sets = prepared(rows).mapInArrow(run, schema)
+    sets = prepared(rows).mapInArrow(trimmed(run), schema)
     return written(sets.join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sets")
 
 
@@ -489,7 +489,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     keep[i] = 100 * both >= percent * (len(base) + len(other) - both)
                 yield pa.RecordBatch.from_arrays([p.column("a"), p.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
-    return written(rows.select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long"), "jaccard-links")
+    return written(rows.select("a", "b", "wa", "wb").mapInArrow(trimmed(run), "a long, b long"), "jaccard-links")
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -520,7 +520,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
     spread = spread.select("tag", "sig", "slice", "cls", "is_hub", "deg").join(sk, ["cls", "tag"])
     spread = (spread.select("tag", "sig", "slice", "cls", "n", "sk", "is_hub", "deg").repartition("tag", "sig", "slice")
               .sortWithinPartitions("tag", "sig", "slice"))
-    stars = prepared(spread).mapInArrow(_star_pairs(percent), "a long, b long, deg long")
+    stars = prepared(spread).mapInArrow(trimmed(_star_pairs(percent)), "a long, b long, deg long")
     stars = written(stars.groupBy("a", "b").agg(F.max("deg").alias("deg")), "jaccard-stars")
     # first every class with the best of its hubs, then the other hubs that are still apart from it
     best = stars.groupBy("b").agg(F.max(F.struct("deg", "a"))["a"].alias("a"))
@@ -548,7 +548,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
                      "cls", "root", "side").join(sk, ["cls", "tag"])
     cut = (cut.select("tag", "sig", "i", "j", "cls", "n", "sk", "root", "side").repartition("tag", "sig", "i", "j")
            .sortWithinPartitions("tag", "sig", "i", "j"))
-    across = cut.mapInArrow(_cross_pairs(percent), "a long, b long").distinct()
+    across = cut.mapInArrow(trimmed(_cross_pairs(percent)), "a long, b long").distinct()
     across = written(across.join(stars, ["a", "b"], "left_anti"), "jaccard-across")      # not checked before
     second = linked(across, sets, percent)
     per_doc = found.where("kind = 0").select("id", "n", "cls")
