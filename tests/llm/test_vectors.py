@@ -99,3 +99,26 @@ def test_large_components_stay_exact(spark):
     rows = [(0, [2.0 ** 20, 1.0]), (1, [2.0 ** 20, 3.0]), (2, [2.0 ** 20, 2.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert as_dict(voronoi.top_k(df, every=5).collect()) == brute(rows, 10, 5, 1024)
+
+
+def test_repeated_ids_keep_the_exact_search_exact(spark):
+    """An id in more rows than k: its own rows must not stand for candidates in the bound."""
+    rng = np.random.default_rng(5)
+    own = [(100, [9.0, 9.0])] * 11
+    others = [(i, [float(v) for v in 5 + rng.normal(size=2)]) for i in range(1, 51)]
+    df = spark.createDataFrame(own + others, "vec_id long, embedding array<double>").repartition(3)
+    want = brute(own + others, 10, 100, 1024)[100]
+    # as in the SQL, each of the 11 query rows meets every candidate
+    assert as_dict(voronoi.top_k(df).collect()) == {100: want[:1] * 10}
+    several = [(100, [9.0, 9.0 - j / 64]) for j in range(11)]
+    df = spark.createDataFrame(several + others, "vec_id long, embedding array<double>").repartition(3)
+    pairs = [(-sum(math.floor(1024 * a) * math.floor(1024 * b) for a, b in zip(q, v)), j) for _, q in several for j, v in others]
+    assert as_dict(voronoi.top_k(df).collect()) == {100: [(j, -s) for s, j in sorted(pairs)[:10]]}
+
+
+def test_repeated_query_rows_are_one_query_of_the_trees(spark):
+    rng = np.random.default_rng(6)
+    rows = [(20, [1.0, 2.0, 0.5])] * 7 + [(i, [float(v) for v in rng.normal(size=3)]) for i in range(21, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = {20: [j for j, _ in brute(rows, 8, 20)[20]]}
+    assert {q: [j for j, _ in v] for q, v in as_dict(vptree.nearest(df, k=8, factor=1.0).collect()).items()} == want

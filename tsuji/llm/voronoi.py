@@ -6,8 +6,8 @@ Euclidean distance, so distances to pivots bound scores.
 
 1. Pivots (a bounded, repeatable choice of rows) split data and queries into cells; every row knows
    its distance to its pivot.
-2. Summaries, a few numbers per cell: per data cell the ``k + 1`` smallest distances to the pivot and
-   the largest; per query cell the largest. From them follows, for every query cell, a distance
+2. Summaries, a few numbers per cell: per data cell the ``k + 1`` smallest distances to the pivot, one
+   row counting for every id; per query cell the largest. From them follows, for every query cell, a distance
    within which each of its queries surely has ``k`` candidates.
 3. Query cells are joined into groups. A data row goes to a group only if the triangle inequality
    cannot rule it out for all of the group's cells.
@@ -72,8 +72,9 @@ def assigned(rows: DataFrame, pivots: dict, top2: float, is_query: bool) -> Data
 
 
 def bounds(pivot_gap: np.ndarray, q_radius: np.ndarray, near: list[list[float]], k: int) -> np.ndarray:
-    """Per query cell: a distance within which every query of the cell has ``k + 1`` data rows (one
-    of them may be its own). ``near[j]`` are the smallest distances of data cell ``j``."""
+    """Per query cell: a distance within which every query of the cell has data rows of ``k + 1`` ids
+    (one of them may be its own). ``near[j]`` are the smallest distances of data cell ``j``, at most
+    one of every id."""
     out = np.full(len(q_radius), np.inf)
     for i, r in enumerate(q_radius):
         if np.isnan(r):
@@ -159,13 +160,15 @@ def plan(rows: DataFrame, queries: DataFrame, k: int, group_rows: int, n_pivots:
     """Cells' geometry per vector length: low and high shells, group of every query cell, query count
     per group. Only summaries (a few numbers per pivot) come to the driver."""
     data_near = (rows.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"))).collect()
-    # k + 1 smallest distances per cell: partial top lists per slice of the cell, then their best
+    # k + 1 smallest distances per cell: partial top lists per slice of the cell, then their best; an
+    # id counts with one of its rows, so that no more than one of them can be a query's own
     from pyspark.sql import Window
 
     w = Window.partitionBy("dim", "cell", "slice").orderBy("dist")
     w2 = Window.partitionBy("dim", "cell").orderBy("dist")
     slices = max(1, -(-sum(r.n for r in data_near) // (n_pivots * 4096)))
-    near = (rows.select("dim", "cell", "dist", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"))
+    one = rows.groupBy("dim", "id").agg(F.min(F.struct("dist", "cell")).alias("b"))
+    near = (one.select("dim", "b.cell", "b.dist", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"))
             .withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1)
             .withColumn("r", F.row_number().over(w2)).where(F.col("r") <= k + 1)
             .groupBy("dim", "cell").agg(F.sort_array(F.collect_list("dist")).alias("near")).collect())

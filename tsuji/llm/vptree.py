@@ -11,8 +11,8 @@ in blocks to every shard, a block searches a tree as one batch (matrix products
 the shards' bests are merged per query.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components take no part; rows
-without an id take no part; rows that share the query's id count as its own; vectors meet only
-vectors of their length; ties go to the smaller id; fewer candidates than ``k`` give fewer rows.
+without an id take no part; rows that share the query's id count as its own; equal
+rows of one id are one query; vectors meet only vectors of their length; ties go to the smaller id; fewer candidates than ``k`` give fewer rows.
 """
 
 from __future__ import annotations
@@ -135,7 +135,8 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k
     piece = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n)).cast("int")
     data = (rows.withColumn("shard", piece(shards, 1))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    queries = (rows.where(F.col("id") % every == 0).select("id", "dim", "vec").withColumn("block", piece(blocks, 2))
+    # repeats of a query row are one query: each would find the same rows again
+    queries = (rows.where(F.col("id") % every == 0).select("id", "dim", "vec").distinct().withColumn("block", piece(blocks, 2))
                .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
 
     def solve(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
