@@ -71,3 +71,34 @@ def test_long_odd_pages_end_quickly():
     ht.parse("<div>" * 20_000 + "x", None, found)
     assert len(set(found)) == 20_000
     assert ht.parse("<" * 100_000)
+
+
+def texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    return {r.page_id: r.text for r in ht.page_report(df).collect()}
+
+
+def test_repeats_and_url_variants_of_a_page_are_one_page(spark):
+    page = "<div><h2>Title</h2><p>One</p><ul><li>a</li></ul></div>"
+    rows = [(i, f"https://a.example/x?page={i}" if i % 2 else "https://a.example/x", page) for i in range(30)]
+    assert set(texts(spark, rows).values()) == {"Title\nOne\na"}
+
+
+def test_recurring_blocks_of_article_and_main_stay(spark):
+    block = ("<div><p>Box</p></div><section><h2>Sec</h2></section><ul><li>u</li></ul><ol><li>o</li></ol><table><tr><td>t</td></tr></table>"
+             "<figure><figcaption>f</figcaption></figure><dl><dt>k</dt><dd>v</dd></dl>")
+    rows = []
+    for i in range(40):
+        rows.append((i, f"https://a.example/{i}", f"<div>Menu</div><article><p>Story {i}</p>{block}</article>"))
+        rows.append((100 + i, f"https://b.example/{i}", f"<div>Menu</div><main><p>Story {i}</p>{block}<div>loose</div></main>"))
+    got = texts(spark, rows)
+    kept = "Box\nSec\nu\no\nt\nf\nk\nv"
+    for i in range(40):
+        assert got[i] == f"Story {i}\n{kept}"
+        assert got[100 + i] == f"Story {i}\n{kept}\nloose"
+
+
+def test_a_template_of_a_small_part_of_a_host_is_removed(spark):
+    rows = [(i, f"https://a.example/{i}", f"<div><p>Story {i}</p></div>" + ("<div>Shop banner</div>" if i < 20 else "")) for i in range(200)]
+    got = texts(spark, rows)
+    assert all(got[i] == f"Story {i}" for i in range(200))

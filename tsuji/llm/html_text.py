@@ -1,14 +1,16 @@
 """Main text of web pages, with the host's template removed.
 
 Two passes over the pages, both parsing the whole HTML once:
-1. every block element's subtree is hashed (its source with white space evened out); Spark counts in
-   how many pages of a host each hash occurs;
-2. subtrees whose hash recurs in at least ``min_pages`` pages and ``min_share`` of the host's pages
-   are deleted, then the main text is what is left of the article.
+1. block elements' subtrees are hashed (their source with white space evened out); Spark counts in
+   how many different pages of a host each hash occurs. Rows of a host with the same HTML (repeats,
+   variants of a URL) are one page;
+2. subtrees whose hash recurs in at least ``min_pages`` different pages are deleted, then the main
+   text is what is left of the article.
 
-A host's template list is bounded by the page's own size, not by the number of pages: a hash needs a
-fixed share of the host's pages. Paragraphs, headings and other text blocks inside an article are
-never taken for template, so an article that a host shows on many pages keeps its text.
+Templates are joined by (host, hash), so no list grows with a host: a page gets only those of its own
+subtrees that are template and can change its text. Nothing inside ``main`` is taken for template, and
+inside an ``article`` only elements with loose text alone are: paragraphs, headings and other text
+blocks and all that holds one stay, so an article that a host shows on many pages keeps its text.
 
 What is never main text is also known by its element (navigation, page header, footer, aside, form,
 script ...), its role or a word of its class or id (advert, sidebar, cookie, comments ...). The main
@@ -33,7 +35,6 @@ from pyspark.sql import functions as F
 from .common import pieces, prepared, written
 
 MIN_PAGES = 10
-MIN_SHARE = 0.3
 
 # element names and words (fixed values)
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
@@ -106,18 +107,22 @@ class _Open:
         self.drop, self.hashed, self.block, self.children = drop, hashed, block, []
 
 
-def parse(html: str, templates: frozenset | set | None = None, hashes: list | None = None) -> list[str]:
+def parse(html: str, templates: frozenset | set | None = None, hashes: list | None = None,
+          used: list | None = None) -> list[str]:
     """Blocks of main text. ``templates`` are subtree hashes to delete; ``hashes``, if given, gets
-    the hashes of the page's subtrees that may be template."""
+    the hashes of the page's subtrees that may be template, and ``used`` those of them whose deletion
+    can change the page's text."""
     out: list = []                    # text pieces, None between blocks
     regions: list[tuple[str, list]] = []   # (article or main, its pieces)
     stack: list[_Open] = []
     inside = 0                        # open article elements
+    in_main = 0                       # open main elements
+    inner: list[int] = []             # hashes of subtrees inside an article
     need_hash = hashes is not None or bool(templates)
 
     def close(to: int, at: int) -> None:
         """Close the elements from number ``to`` on; the last one ends before position ``at``."""
-        nonlocal inside
+        nonlocal inside, in_main
         while len(stack) > to:
             e = stack.pop()
             gone = e.drop
@@ -129,9 +134,13 @@ def parse(html: str, templates: frozenset | set | None = None, hashes: list | No
                     stack[-1].children.append((e.at, at, h))
                 if hashes is not None:
                     hashes.append(h)
+                    if inside:
+                        inner.append(h)
                 gone = gone or bool(templates) and h in templates
             if e.name == "article":
                 inside -= 1
+            elif e.name == "main":
+                in_main -= 1
             if gone:
                 del out[e.out:]
                 del regions[e.regions:]
@@ -194,7 +203,15 @@ def parse(html: str, templates: frozenset | set | None = None, hashes: list | No
                 e.hashed = False
             if name == "article":
                 inside += 1
-        hashed = block and name not in ("html", "body", "head", "article", "main") and (inside == 0 or name not in TEXT_BLOCKS)
+            else:
+                in_main += 1
+        elif inside and name in TEXT_BLOCKS:
+            for e in reversed(stack):     # nor is what holds an article's text block
+                if e.block and not e.hashed and e.name not in ("html", "body", "head"):
+                    break                 # its holders are known
+                e.hashed = False
+        hashed = (block and name not in ("html", "body", "head", "article", "main") and in_main == 0
+                  and (inside == 0 or name not in TEXT_BLOCKS))
         stack.append(_Open(name, begin, len(out), len(regions), drop, hashed, block))
     if upto < n:
         out.append(html[upto:])
@@ -203,7 +220,12 @@ def parse(html: str, templates: frozenset | set | None = None, hashes: list | No
         found = [r for k, r in regions if k == kind]
         if found:
             out = [x for r in found for x in [*r, None]]
+            if used is not None:
+                used += inner
             break
+    else:
+        if used is not None:
+            used += hashes or []
     blocks, run = [], []
     for piece in [*out, None]:
         if piece is not None:
@@ -222,41 +244,50 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
-              min_share: float = MIN_SHARE) -> DataFrame:
-    """Written ``host, hashes``: the subtree hashes that recur on a host."""
-    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+def digest_of(html: Column) -> Column:
+    """Names a page's content among those of its host."""
+    return F.xxhash64(html)
+
+
+def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
+    """Written ``host, digest, hashes``: per different page the subtrees that recur on its host, as
+    far as they can change the page's text. Pages without such a subtree have no row."""
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), digest_of(F.col(html_col)).alias("digest"), F.col(html_col).alias("html"))
 
     def run(batches):
         for batch in batches:
             for p in pieces(batch, "html"):
-                found = []
+                found, changing = [], []
                 for h in p.column("html").to_pylist():
                     mine: list[int] = []
-                    parse(h or "", None, mine)
+                    used: list[int] = []
+                    parse(h or "", None, mine, used)
                     found.append(sorted(set(mine)))
-                yield pa.RecordBatch.from_arrays([p.column("host"), pa.array(found, pa.list_(pa.int64()))], names=["host", "hashes"])
+                    changing.append(sorted(set(used)))
+                yield pa.RecordBatch.from_arrays(
+                    [p.column("host"), p.column("digest"), pa.array(found, pa.list_(pa.int64())), pa.array(changing, pa.list_(pa.int64()))],
+                    names=["host", "digest", "hashes", "used"])
 
-    seen = prepared(rows).mapInArrow(run, "host string, hashes array<long>")
-    # the page count of a host travels as one more hash (null), so one pass and one exchange count both
-    counted = (seen.select("host", F.explode(F.concat("hashes", F.array(F.lit(None).cast("long")))).alias("hash"))
-               .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= min_pages)))
-    counted = written(counted, "html-counts")
-    pages_of = counted.where("hash is null").select("host", F.col("n").alias("pages"))
-    often = (counted.where("hash is not null").join(pages_of, "host").where(F.col("n") >= F.lit(min_share) * F.col("pages"))
-             .groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("hashes")))
-    return written(often, "html-templates")
+    seen = prepared(rows).mapInArrow(run, "host string, digest long, hashes array<long>, used array<long>")
+    seen = written(seen.dropDuplicates(["host", "digest"]), "html-pages")
+    often = (seen.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") >= min_pages).select("host", "hash"))
+    often = written(often, "html-counts")
+    hits = (seen.select("host", "digest", F.explode("used").alias("hash")).join(often, ["host", "hash"])
+            .groupBy("host", "digest").agg(F.sort_array(F.collect_list("hash")).alias("hashes")))
+    return written(hits, "html-templates")
 
 
 def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", out_col: str = "text",
-              min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``pages`` without ``html_col``, with the main text. The template lists are a written table, so
-    Spark broadcasts them when they are small and otherwise joins by host, splitting a hot host."""
-    known = templates(pages, url_col, html_col, min_pages, min_share)
+              min_pages: int = MIN_PAGES) -> DataFrame:
+    """``pages`` without ``html_col``, with the main text. The pages' template lists are a written
+    table, so Spark broadcasts them when they are small and otherwise joins by host and digest,
+    splitting a page with many copies."""
+    known = templates(pages, url_col, html_col, min_pages)
     kept = [f for f in pages.schema.fields if f.name not in (html_col, out_col)]
     rows = pages.select(F.struct(*[F.col(f.name) for f in kept]).alias("_row"), F.col(html_col).alias("_html"),
-                        host_of(F.col(url_col)).alias("host"))
-    rows = rows.join(known, "host", "left").select("_row", "_html", "hashes")
+                        host_of(F.col(url_col)).alias("host"), digest_of(F.col(html_col)).alias("digest"))
+    rows = rows.join(known, ["host", "digest"], "left").select("_row", "_html", "hashes")
 
     def run(batches):
         for batch in batches:
