@@ -57,3 +57,17 @@ def test_recorded_fixture_values(spark):
     assert search.intersecting(r, (139.3, 35.3, 139.5, 35.45), bbox=None).count() == 599
     assert search.bbox_overlap(r, (139.3, 35.3, 139.5, 35.45)).count() == 615
     assert E.queries()["cross_mesh_duplicates"](spark, SF01).count() == 462
+
+
+def test_duplicates_are_compared_on_the_whole_flawed_table(spark):
+    from tsuji.sources import fixtures as fx
+
+    got = {r.fid for r in E.queries()["duplicates_flawed"](spark, SF).collect()}
+    con = duck(SF)
+    assert got == {r[0] for r in con.execute(E.oracle_sql()["duplicates_flawed"]).fetchall()}
+    kinds = {}
+    for r in fx.flawed_roads(spark, SF).collect():
+        kinds.setdefault("missing" if r.line is None else "empty" if not r.line else "zero" if r.line[0].x == 0 else "other", set()).add(r.fid)
+    assert set(kinds) == {"missing", "empty", "zero", "other"}
+    assert not got & kinds["missing"] and got >= kinds["empty"] and got & kinds["zero"] and got & kinds["other"]
+    assert {r.fid for r in E.queries()["duplicates_signed_zero"](spark, SF).collect()} == got & kinds["zero"]

@@ -96,8 +96,14 @@ def polygon_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicates_signed_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U2 on lines through 0.0 and -0.0: the two are different geometries."""
-    return quality.cross_mesh_duplicates(fx.flawed_roads(spark, sf_dir).where("fid % 23 = 5")).select("fid", "source_mesh")
+    """U2 on lines through 0.0 and -0.0: the two are different geometries. The duplicates of all rows,
+    of which those that begin on the zero meridian are shown."""
+    return quality.cross_mesh_duplicates(fx.flawed_roads(spark, sf_dir)).where("get(line, 0).x = 0").select("fid", "source_mesh")
+
+
+def duplicates_flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 on missing, empty, single-point, infinite, signed-zero and ordinary lines together."""
+    return quality.cross_mesh_duplicates(fx.flawed_roads(spark, sf_dir)).select("fid", "source_mesh")
 
 
 def point_on_line(spark: SparkSession, sf_dir: str) -> DataFrame:

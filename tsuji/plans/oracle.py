@@ -206,6 +206,17 @@ SELECT o_orderkey AS fid, ['invalid', 'invalid', 'missing', 'empty', 'ok'][1 + o
 DUPLICATES_SIGNED_ZERO = with_(ROADS, "z AS (SELECT fid, source_mesh, fid % 2 neg FROM roads WHERE fid % 23 = 5)") + """
 SELECT fid, source_mesh FROM z WHERE neg IN (SELECT neg FROM z GROUP BY neg HAVING count(DISTINCT source_mesh) > 1)"""
 
+# every flawed row; points carry the sign of a zero, which the comparison of numbers does not see
+DUPLICATES_FLAWED = with_(ROADS, VERTS, """lines AS (
+  SELECT fid, list({'x': x, 'y': y, 'neg': false} ORDER BY i) pts FROM verts GROUP BY fid)""", """flawed AS (
+  SELECT r.fid, r.source_mesh, CASE r.fid % 23 WHEN 1 THEN NULL WHEN 2 THEN pts[1:0] WHEN 3 THEN [pts[1], pts[1]]
+    WHEN 4 THEN [pts[1], {'x': 'inf'::double, 'y': 35.0::double, 'neg': false}]
+    WHEN 5 THEN [{'x': 0::double, 'y': 1::double, 'neg': r.fid % 2 = 1}, {'x': 1::double, 'y': 2::double, 'neg': false}]
+    ELSE pts END pts
+  FROM roads r JOIN lines l ON r.fid = l.fid)""", """shared AS (
+  SELECT pts FROM flawed WHERE pts IS NOT NULL GROUP BY pts HAVING count(DISTINCT source_mesh) > 1)""") + """
+SELECT fid, source_mesh FROM flawed WHERE pts IN (SELECT pts FROM shared)"""
+
 # interior point of a line: centroid of segment midpoints weighted by length (in vertex order),
 # then the nearest interior vertex (ties -> lowest index), else the nearer endpoint
 _CENT = """cent AS (
@@ -288,6 +299,7 @@ ORACLES: dict[str, str] = {
     "point_on_long_line": POINT_ON_LONG_LINE,
     "polygon_validity": POLYGON_VALIDITY,
     "duplicates_signed_zero": DUPLICATES_SIGNED_ZERO,
+    "duplicates_flawed": DUPLICATES_FLAWED,
     "partitions_touched": PARTITIONS_TOUCHED,
     "point_accessors": POINT_ACCESSORS,
     "flip": FLIP,

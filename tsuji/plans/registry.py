@@ -44,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "point_on_long_line": ge.point_on_long_line,
     "polygon_validity": ge.polygon_validity,
     "duplicates_signed_zero": ge.duplicates_signed_zero,
+    "duplicates_flawed": ge.duplicates_flawed,
     "point_accessors": ge.point_accessors,
     "flip": ge.flip,
     "wkt_roundtrip": ge.wkt_roundtrip,
