@@ -135,3 +135,16 @@ def test_nulls_repeats_empty_table(spark):
     assert got.count((9, 1, 9)) == 2 and (2, 1, 1) in got and (None, 1, 3) in got
     df = spark.createDataFrame([], "doc_id long, text string, cls string")
     assert pe.near_duplicates(df).collect() == []
+
+
+def test_bands_of_very_long_texts(spark):
+    """Sets beyond band 59 pass the thinning and get their band."""
+    tags = [3, 52, 53, 59, 60, 61, 86]
+    rows = [(1, None, None, 10 * t + c, 1000 + t, t, 0, True, 2) for t in tags for c in (1, 2)]
+    found = spark.createDataFrame(rows, "kind int, id long, n long, cls long, sig long, tag int, part int, own boolean, freq long")
+    got = {r.tag for r in pe.thinned(found.withColumn("left", pe.F.lit(0)), 80).collect()}
+    assert got == {3, 53, 59, 60, 61, 86}                  # band 52 may drop parts, 3 and those from 53 on none
+    sizes = [1, 4, 5, 1_753_496, 1_753_497, 2_191_871, 2_191_872, 2_739_841, 1 << 29]
+    df = spark.createDataFrame([(n,) for n in sizes], "n long")
+    assert [r.b for r in df.select(pe.band_of(pe.F.col("n"), 80).alias("b")).collect()] == [
+        int(np.searchsorted(pe.bands(), n, "right")) - 1 for n in sizes]

@@ -38,7 +38,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -312,14 +312,33 @@ def met(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     return written(sent.mapInArrow(trimmed(_meet(percent)), _FOUND), "jaccard-met")
 
 
+def spares(percent: int) -> list[int]:
+    """Parts a set may leave out, per band: up to the first band with as many parts as numbers for
+    them, from which on all signatures stay."""
+    out = []
+    for t in range(len(bands(percent)) - 1):
+        if scheme(t, percent).parts >= PART_LIMIT:
+            break
+        out.append(scheme(t, percent).spare)
+    return out
+
+
+def band_of(n: Column, percent: int) -> Column:
+    """Band number of a size."""
+    out = F.lit(0)
+    for low in bands(percent)[1:].tolist():
+        out = out + F.when(n >= low, 1).otherwise(0)
+    return out
+
+
 def thinned(found: DataFrame, percent: int) -> DataFrame:
     """``sig, cls, tag``: without the most frequent signatures every set may drop."""
-    spare = [scheme(t, percent).spare if scheme(t, percent).parts < PART_LIMIT else 0 for t in range(60)]
+    spare = F.array(*[F.lit(s) for s in spares(percent)])
     w = Window.partitionBy("cls", "tag").orderBy(F.desc("freq"), "sig")
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (found.where("kind = 1")
             .withColumn("parts", F.size(F.collect_set("part").over(before)))
-            .where(F.col("parts") > F.element_at(F.array(*[F.lit(s) for s in spare]), F.col("tag") + 1)))
+            .where(F.col("parts") > F.coalesce(F.get(spare, F.col("tag")), F.lit(0))))
     rows = rows.select("sig", "cls", "tag", "own")
     # near copies share many signatures: of the groups with the same members one is enough
     mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cls")).alias(f"m{seed}")
@@ -498,10 +517,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
     members = thinned(found, percent)
     sets = needed_sets(docs, found, members, id_col, text_col, percent)
     sk = sets.select("cls", "n", "own", "next")
-    first_band = F.lit(0)
-    for low in bands(percent)[1:60].tolist():            # band number of a size
-        first_band = first_band + F.when(F.col("n") >= low, 1).otherwise(0)
-    sk = sk.withColumn("band", first_band)
+    sk = sk.withColumn("band", band_of(F.col("n"), percent))
     sk = (sk.select("cls", "n", F.col("band").alias("tag"), F.col("own").alias("sk"))
           .unionByName(sk.select("cls", "n", (F.col("band") + 1).alias("tag"), F.col("next").alias("sk"))))
     sk = written(sk, "jaccard-sketches")
