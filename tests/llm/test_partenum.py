@@ -142,9 +142,48 @@ def test_bands_of_very_long_texts(spark):
     tags = [3, 52, 53, 59, 60, 61, 86]
     rows = [(1, None, None, 10 * t + c, 1000 + t, t, 0, True, 2) for t in tags for c in (1, 2)]
     found = spark.createDataFrame(rows, "kind int, id long, n long, cls long, sig long, tag int, part int, own boolean, freq long")
-    got = {r.tag for r in pe.thinned(found.withColumn("left", pe.F.lit(0)), 80).collect()}
+    got = {r.tag for r in pe.thinned(found.withColumn("spent", pe.F.lit(0)), 80).collect()}
     assert got == {3, 53, 59, 60, 61, 86}                  # band 52 may drop parts, 3 and those from 53 on none
     sizes = [1, 4, 5, 1_753_496, 1_753_497, 2_191_871, 2_191_872, 2_739_841, 1 << 29]
     df = spark.createDataFrame([(n,) for n in sizes], "n long")
     assert [r.b for r in df.select(pe.band_of(pe.F.col("n"), 80).alias("b")).collect()] == [
         int(np.searchsorted(pe.bands(), n, "right")) - 1 for n in sizes]
+
+
+def test_spare_parts_are_spent_once(spark):
+    """A pair keeps a common signature after both leaving-outs, whatever the frequencies."""
+    rng = np.random.default_rng(4)
+    rows, pairs = [], []
+    for n in [30, 40, 60, 74, 90, 110, 150, 200]:
+        for _ in range(60):
+            t = int(np.searchsorted(pe.bands(), n, "right")) - 1
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            more = len(a) // 9
+            b = np.unique(np.concatenate([a[rng.permutation(len(a))[more:]], rng.integers(0, 1 << 63, more, dtype=np.uint64) * np.uint64(2)]))
+            x, y = (pe.signatures(s, pe.running(s), t) for s in (a, b))
+            assert 0 <= x[2] <= pe.scheme(t).spare and len(x) == 3
+            common = sorted(set(x[0].tolist()) & set(y[0].tolist()))
+            part = dict(zip(x[0].tolist(), x[1].tolist()))
+            name, c = len(pairs), 2 * len(pairs)
+            pairs.append(name)
+            for i, sig in enumerate(common):
+                for k, s in ((0, x), (1, y)):
+                    rows.append((1, None, None, c + k, int(np.uint64(sig).view(np.int64)), t, int(part[sig]), True, 2 + i, int(s[2])))
+    schema = "kind int, id long, n long, cls long, sig long, tag int, part int, own boolean, freq long, spent int"
+    got = {r.cls // 2 for r in pe.thinned(spark.createDataFrame(rows, schema), 80).select("cls").collect()}
+    assert got == set(pairs)
+
+
+def test_spent_parts_travel_with_the_signatures():
+    key, ref = np.array([3, 5, 9], np.uint64), np.array([1, 4, 5], np.int32)
+    blob = pe.pack(key, ref, np.array([7, 8, 9]), np.array([1, 2, 3], np.uint8), np.array([10, 11, 20, 21, 30, 31], np.uint16))
+    assert pe.unpack_spent(blob).tolist() == [11, 30, 31]
+    assert [x.tolist() for x in pe.unpack(blob)] == [[3, 5, 9], [True, False, True], [7, 9, 9], [1, 3, 3]]
+
+
+def test_documents_without_an_id_link(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(words)), (7, " ".join(words[:57])), (3, " ".join(words[3:])), (9, "quite another text of a few words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in pe.near_duplicates(df).collect()}
+    assert got == {(None, 3), (7, 3), (3, 3), (9, 9)}

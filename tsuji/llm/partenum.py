@@ -11,9 +11,9 @@ The spare parts keep the guarantee while two things are left out of the exchange
 * signatures of empty cells, which would meet in every document - unless a set has more parts with
   such a signature than are spare; then it sends them as well;
 * very common signatures (those of passages many documents share): a set may drop its most frequent
-  signatures as long as they lie in at most ``spare`` parts. The least frequent of a pair's common
-  signatures cannot be dropped by either, because ``spare`` more frequent ones in other parts would
-  have to be dropped before it.
+  signatures as long as they lie in at most ``spare`` parts, less those with a signature of empty
+  cells. The least frequent of a pair's common signatures cannot be dropped by either, because
+  ``spare`` more frequent ones in other parts would have to be dropped before it.
 
 Work per document is vectorised; signatures are shuffled as packed pieces, one per task and bucket,
 in which equal sets of a task already count once. Documents with equal sets form a class; only
@@ -126,17 +126,19 @@ def running(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(s: np.ndarray, hashed: np.ndarray, tag: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(signature hash, part) of one set for one band."""
+def signatures(s: np.ndarray, hashed: np.ndarray, tag: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, int]:
+    """(signature hash, part) of one set for one band, and how many of its spare parts are spent on
+    empty cells: all where it sends such signatures too, for its partner may leave them out."""
     sch = scheme(tag, percent)
     total, count = cells_of(s, hashed, sch.parts * sch.cells)
     salt, part = _places(tag, percent)
     sig = mix64((total.reshape(sch.parts, sch.cells) @ sch.pick).ravel() + salt)
     full = count.reshape(sch.parts, sch.cells) @ sch.pick.astype(np.int64) > 0
-    if int((~full.all(1)).sum()) <= sch.spare:
+    spent = int((~full.all(1)).sum())
+    if spent <= sch.spare:
         full = full.ravel()
-        return sig[full], part[full]
-    return sig, part
+        return sig[full], part[full], spent
+    return sig, part, sch.spare
 
 
 def sketch(s: np.ndarray, hashed: np.ndarray, tag: int, percent: int = PERCENT) -> bytes:
@@ -155,16 +157,18 @@ def class_of(hashed: np.ndarray, size: int) -> int:
 
 # ---- packed pieces: the signatures of many sets that fall into one bucket -------------------------
 
-def pack(key: np.ndarray, ref: np.ndarray, cls: np.ndarray, band: np.ndarray) -> bytes:
-    """``key`` (48 bits) sorted, ``ref`` = 2 * set number + own-band flag. Only sets that occur are
-    kept; keys are stored as differences, byte plane by byte plane, which the shuffle compresses."""
+def pack(key: np.ndarray, ref: np.ndarray, cls: np.ndarray, band: np.ndarray, spent: np.ndarray | None = None) -> bytes:
+    """``key`` (48 bits) sorted, ``ref`` = 2 * set number + own-band flag, ``spent`` by ``ref``. Only
+    sets that occur are kept; keys are stored as differences, byte plane by byte plane, which the
+    shuffle compresses."""
     used, number = np.unique(ref >> 1, return_inverse=True)
     step = np.diff(key, prepend=np.uint64(0)).astype("<u8")
     planes = step.view(np.uint8).reshape(-1, 8)[:, :6].T
     head = np.array([len(key), len(used)], "<u4")
     return b"".join((head.tobytes(), np.ascontiguousarray(planes).tobytes(),
                      ((number << 1) | (ref & 1)).astype("<u2").tobytes(),
-                     cls[used].astype("<i8").tobytes(), band[used].astype(np.uint8).tobytes()))
+                     cls[used].astype("<i8").tobytes(), band[used].astype(np.uint8).tobytes(),
+                     b"" if spent is None else spent.reshape(-1, 2)[used].astype("<u2").tobytes()))
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -182,8 +186,14 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return key, (ref & 1).astype(bool), cls[ref >> 1], band[ref >> 1]
 
 
+def unpack_spent(blob: bytes) -> np.ndarray:
+    """Spent parts per signature."""
+    n, m = np.frombuffer(blob, "<u4", 2).tolist()
+    return np.frombuffer(blob, "<u2", 2 * m, 8 + 8 * n + 9 * m)[np.frombuffer(blob, "<u2", n, 8 + 6 * n)]
+
+
 SENT = "bucket int, id long, n long, cls long, piece binary"
-_FOUND = "kind int, id long, n long, cls long, sig long, tag int, part int, own boolean, freq long"
+_FOUND = "kind int, id long, n long, cls long, sig long, tag int, part int, own boolean, freq long, spent int"
 
 
 def _send(labels: list[int], percent: int):
@@ -192,25 +202,25 @@ def _send(labels: list[int], percent: int):
     count = len(labels)
 
     def run(batches):
-        sigs, parts, refs, cls, band, seen, total = [], [], [], [], [], {}, 0
+        sigs, parts, refs, cls, band, spent, seen, total = [], [], [], [], [], [], {}, 0
 
         def flush():
-            nonlocal sigs, parts, refs, cls, band, seen, total
+            nonlocal sigs, parts, refs, cls, band, spent, seen, total
             if sigs:
                 sig = np.concatenate(sigs)
                 bucket = ((sig >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
                 key = (np.concatenate(parts).astype(np.uint64) << np.uint64(32)) | (sig & np.uint64(0xFFFFFFFF))
                 order = np.lexsort((key, bucket))
                 key, ref, bucket = key[order], np.concatenate(refs)[order], bucket[order]
-                c, s = np.array(cls, np.int64), np.array(band, np.uint8)
+                c, s, left = np.array(cls, np.int64), np.array(band, np.uint8), np.array(spent, np.uint16)
                 edge = np.searchsorted(bucket, np.arange(count + 1, dtype=np.uint64))
                 for a in range(0, count, 16):
                     which = [b for b in range(a, min(a + 16, count)) if edge[b + 1] > edge[b]]
-                    blobs = [pack(key[edge[b]:edge[b + 1]], ref[edge[b]:edge[b + 1]], c, s) for b in which]
+                    blobs = [pack(key[edge[b]:edge[b + 1]], ref[edge[b]:edge[b + 1]], c, s, left) for b in which]
                     none = pa.nulls(len(which), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(name[which]), none, none, none, pa.array(blobs, pa.binary())],
                                                      names=["bucket", "id", "n", "cls", "piece"])
-            sigs, parts, refs, cls, band, seen, total = [], [], [], [], [], {}, 0
+            sigs, parts, refs, cls, band, spent, seen, total = [], [], [], [], [], [], {}, 0
 
         for batch in batches:
             for p in pieces(batch, "text"):
@@ -231,8 +241,9 @@ def _send(labels: list[int], percent: int):
                     number = seen[c] = len(cls)
                     cls.append(c)
                     band.append(int(tags[i]))
-                    for tag, own in ((int(tags[i]), 1), (int(tags[i]) + 1, 0)):
-                        sig, part = signatures(s, hashed, tag, percent)
+                    for tag, own in ((int(tags[i]) + 1, 0), (int(tags[i]), 1)):
+                        sig, part, empty = signatures(s, hashed, tag, percent)
+                        spent.append(min(empty, PART_LIMIT - 1))
                         sigs.append(sig)
                         parts.append(np.minimum(part, PART_LIMIT - 1).astype(np.uint16))
                         refs.append(np.full(len(sig), 2 * number + own, np.int32))
@@ -258,13 +269,14 @@ def _meet(percent: int):
                 n = plain.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(n, np.int32)), plain.column("id"), plain.column("n"), plain.column("cls"), pa.nulls(n, pa.int64()),
-                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64())], names=names)
+                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()),
+                     pa.nulls(n, pa.int32())], names=names)
             rest = batch.filter(piece.is_valid())
             for b, x in zip(rest.column("bucket").to_pylist(), rest.column("piece").to_pylist()):
                 blobs.setdefault(b, []).append(x)
         for b in sorted(blobs):
-            got = [unpack(x) for x in blobs.pop(b)]
-            key, own, cls, tag = (np.concatenate(x) for x in zip(*got))
+            got = [(*unpack(x), unpack_spent(x)) for x in blobs.pop(b)]
+            key, own, cls, tag, spent = (np.concatenate(x) for x in zip(*got))
             del got
             tag = tag + ~own                              # the next band where the set is the smaller partner
             order = np.argsort(key, kind="stable")
@@ -275,7 +287,8 @@ def _meet(percent: int):
             lonely = new.copy()
             lonely[:-1] &= new[1:]
             order = order[~lonely]                       # signatures that occur more than once
-            frame = pd.DataFrame({"key": key[order], "tag": tag[order], "cls": cls[order], "own": own[order]})
+            frame = pd.DataFrame({"key": key[order], "tag": tag[order], "cls": cls[order], "own": own[order],
+                                  "spent": spent[order]})
             frame = frame.drop_duplicates(["key", "tag", "cls"])
             by = frame.groupby(["key", "tag"], sort=False)
             frame["freq"] = by["cls"].transform("size")
@@ -289,7 +302,7 @@ def _meet(percent: int):
                     [pa.array(np.ones(len(f), np.int32)), pa.nulls(len(f), pa.int64()), pa.nulls(len(f), pa.int64()),
                      pa.array(f["cls"].to_numpy()), pa.array(sig[a:a + 50_000].view(np.int64)), pa.array(f["tag"].to_numpy(np.int32)),
                      pa.array((key[a:a + 50_000] >> np.uint64(32)).astype(np.int32)), pa.array(f["own"].to_numpy()),
-                     pa.array(f["freq"].to_numpy(np.int64))], names=names)
+                     pa.array(f["freq"].to_numpy(np.int64)), pa.array(f["spent"].to_numpy(np.int32))], names=names)
     return run
 
 
@@ -338,7 +351,7 @@ def thinned(found: DataFrame, percent: int) -> DataFrame:
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (found.where("kind = 1")
             .withColumn("parts", F.size(F.collect_set("part").over(before)))
-            .where(F.col("parts") > F.coalesce(F.get(spare, F.col("tag")), F.lit(0))))
+            .where(F.col("parts") > F.coalesce(F.get(spare, F.col("tag")), F.lit(0)) - F.col("spent")))
     rows = rows.select("sig", "cls", "tag", "own")
     # near copies share many signatures: of the groups with the same members one is enough
     mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cls")).alias(f"m{seed}")
@@ -349,14 +362,15 @@ def thinned(found: DataFrame, percent: int) -> DataFrame:
 
 def needed_sets(docs: DataFrame, found: DataFrame, members: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Written ``cls, n, words, own, next``: the full set and both sketches of every class in a group.
-    The texts are read again for one document per class."""
-    one = (found.where("kind = 0 and cls is not null and id is not null").groupBy("cls").agg(F.min("id").alias("id"))
+    The texts are read again for one document per class, and for all without an id if a class has no other."""
+    one = (found.where("kind = 0 and cls is not null").groupBy("cls").agg(F.min("id").alias("id"))
            .join(members.select("cls").distinct(), "cls"))
     one = written(one, "jaccard-needed")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    ids = one.select("id").distinct()
-    few = one.count() <= BROADCAST_IDS
-    rows = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    ids = one.where("id is not null").select("id").distinct()
+    n, named = one.agg(F.count(F.lit(1)), F.count("id")).first()
+    some = rows.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "id", "left_semi")
+    rows = some if n == named else some.unionByName(rows.where("id is null"))
     schema = "cls long, n long, words binary, own binary, next binary"
 
     def run(batches):
