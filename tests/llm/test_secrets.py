@@ -99,3 +99,17 @@ def test_training_on_nothing_and_odd_rows(spark):
     assert sc.secrets_report(df.limit(0)).collect() == []
     masked = {r.doc_id: r.text for r in sc.redact(df, None).collect()}
     assert masked[None] == "[SECRET]" and masked[1] is None and masked[3].endswith("é [SECRET]")
+
+
+def test_training_finds_rare_matches_and_sees_whole_texts(spark):
+    """A match outside the smallest hashes still trains the field, with its whole text's feature."""
+    plain = [(i, f"plain words number {i}") for i in range(400)]
+    match = [(1000 + i, f"some words {i} " * 300 + "password=abcdefghijkl0123 end") for i in range(40)]
+    df = spark.createDataFrame(plain + match, "doc_id long, text string").withColumn("h", sc.F.xxhash64("text"))
+    top = df.where("doc_id >= 1000").agg(sc.F.max_by("doc_id", "h").alias("i"), sc.F.max("h").alias("h")).first()
+    df = df.where((sc.F.col("doc_id") == top.i) | (sc.F.col("doc_id") < 1000) & (sc.F.col("h") < top.h)).drop("h")
+    assert df.count() > 40                                   # of which the match has the greatest hash
+    f = sc.train(df, max_texts=4)
+    assert f is not None
+    chain = sc._training_chain(b"password=abcdefghijkl0123", 1)
+    assert set(chain[4].tolist()) == {1} and sc.text_kind(np.zeros(3000, np.uint8), np.array([0, 3000])).tolist() == [1]

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_schema, map_pieces, prepared, utf8, with_columns
+from .common import add_schema, map_pieces, prepared, utf8, with_columns, written
 
 # base patterns and least lengths (fixed values)
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -120,6 +120,15 @@ def tokens(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return at, end, np.searchsorted(off, at, "right") - 1
 
 
+def text_kind(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Feature of every whole text: share of digits, by length."""
+    total = np.diff(off)
+    du = np.zeros(len(raw) + 1, np.int32)
+    np.cumsum(_DIGIT[raw], out=du[1:])
+    share = (du[off[1:]] - du[off[:-1]]) / np.maximum(total, 1)
+    return np.digitize(share, (0.01, 0.1)) * 2 + (total > 2000)
+
+
 def observe(raw: np.ndarray, off: np.ndarray, at: np.ndarray, end: np.ndarray, doc: np.ndarray):
     """Feature values of every token: shape, cue before it, feature of its text."""
     size = end - at
@@ -167,13 +176,7 @@ def observe(raw: np.ndarray, off: np.ndarray, at: np.ndarray, end: np.ndarray, d
         p2 = lambda x: np.concatenate([[False, False], x[:-2]])[:n] & same2
         cue = np.select([p1(is_sep) & p2(key), p1(is_sep | is_quote) & p2(is_sep | is_quote | key), p1(key), p1(is_sep), p1(is_quote)],
                         [1, 2, 3, 4, 5], 0).astype(np.int8)
-    # the whole text: share of digits, by length
-    total = np.diff(off)
-    du = np.zeros(len(raw) + 1, np.int32)
-    np.cumsum(_DIGIT[raw], out=du[1:])
-    share = (du[off[1:]] - du[off[:-1]]) / np.maximum(total, 1)
-    kind = np.digitize(share, (0.01, 0.1)) * 2 + (total > 2000)
-    return shape, cue, kind[doc].astype(np.int8)
+    return shape, cue, text_kind(raw, off)[doc].astype(np.int8)
 
 
 def neighbours(shape: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -325,14 +328,16 @@ def redact(df: DataFrame, f: Field | None, text_col: str = "text", mark: str = "
     return prepared(df).mapInArrow(map_pieces(run, text_col), df.schema)
 
 
-def _training_chain(raw: bytes) -> tuple[np.ndarray, ...] | None:
-    """Features and tags of one training text."""
+def _training_chain(raw: bytes, kind: int | None = None) -> tuple[np.ndarray, ...] | None:
+    """Features and tags of one training text, or of a part of a text of this ``kind``."""
     part = np.frombuffer(raw, np.uint8)
     off = np.array([0, len(part)])
     at, end, doc = tokens(part, off)
     if len(at) == 0:
         return None
     shape, cue, text = observe(part, off, at, end, doc)
+    if kind is not None:
+        text = np.full_like(text, kind)
     before, after = neighbours(shape, doc)
     tags = np.full(len(at), OUTSIDE, np.int8)
     for a, b, k in base_matches(part.tobytes()):
@@ -401,30 +406,40 @@ def fit(chains: list[tuple[np.ndarray, ...]], rounds: int = 40, rate: float = 0.
 
 
 def train(docs: DataFrame, text_col: str = "text", max_texts: int = TRAIN_TEXTS) -> Field | None:
-    """Train on a bounded sample: of the ``10 * max_texts`` distinct texts with the smallest hash, up
-    to ``max_texts / 2`` with a base match and as many without. None when no text has a match: then
-    only the base patterns are scanned for."""
+    """Train on a bounded sample: of all distinct texts, the ``max_texts / 2`` with the smallest hash
+    among those with a base match and as many among those without. None when no text has a match:
+    then only the base patterns are scanned for."""
     text = F.col(text_col)
     known = docs.where(text.isNotNull()).select(F.xxhash64(text).alias("h"), text.alias("text"))
-    least = known.groupBy("h").agg(F.count(F.lit(1)).alias("n")).select("h").orderBy("h").limit(10 * max_texts)
+
+    def flagged(p: pa.RecordBatch) -> pa.RecordBatch:
+        raw, off = utf8(p.column("text"))
+        hit = may_match(raw, off)
+        for i in np.flatnonzero(hit).tolist():
+            hit[i] = bool(base_matches(raw[off[i]:off[i + 1]].tobytes()))
+        return pa.RecordBatch.from_arrays([p.column("h"), pa.array(hit)], names=["h", "hit"])
+
+    seen = prepared(known).mapInArrow(map_pieces(flagged, "text"), "h long, hit boolean")
+    seen = written(seen.groupBy("h").agg(F.max("hit").alias("hit")), "secrets-hashes")
+    half = max_texts // 2
+    least = seen.where("hit").orderBy("h").limit(half).unionByName(seen.where("not hit").orderBy("h").limit(half))
 
     def window(batches):
         for batch in batches:
-            hit, part = [], []
+            part, kind = [], []
             for t in batch.column("text").to_pylist():
                 raw = t.encode()
                 found = base_matches(raw)
                 lo = max(0, (found[0][0] if found else 0) - TRAIN_BYTES // 2)
-                hit.append(bool(found))
                 part.append(raw[lo:lo + TRAIN_BYTES])
-            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(hit), pa.array(part, pa.binary())], names=["h", "hit", "part"])
-
-    # at most 10 * max_texts hashes are broadcast
-    parts = (prepared(known).join(F.broadcast(least), "h").mapInArrow(window, "h long, hit boolean, part binary")
-             .dropDuplicates(["h"]))
-    half = max_texts // 2
-    rows = parts.where("hit").orderBy("h").limit(half).unionByName(parts.where("not hit").orderBy("h").limit(half))
-    return fit([_training_chain(bytes(r.part)) for r in rows.orderBy("h").collect()])
+                kind.append(int(text_kind(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]))
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(part, pa.binary()), pa.array(kind, pa.int32())],
+                                             names=["h", "part", "kind"])
+
+    # at most max_texts hashes are broadcast
+    rows = (prepared(known).join(F.broadcast(least.select("h")), "h").mapInArrow(window, "h long, part binary, kind int")
+            .dropDuplicates(["h"]))
+    return fit([_training_chain(bytes(r.part), r.kind) for r in rows.orderBy("h").collect()])
 
 
 def spans_text(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:
