@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from road_rows import lines_df
 from tsuji import api
 
 

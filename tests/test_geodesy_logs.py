@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from road_rows import lines_df
 from tsuji.functions import geodesy
 from tsuji.operators import transfer
 

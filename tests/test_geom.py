@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from road_rows import lines_df
 from tsuji.functions import geom
 
 

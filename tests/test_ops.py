@@ -10,7 +10,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from road_rows import lines_df
 from tsuji.functions import geom
 from tsuji.operators import ids, quality, spatial_join, warehouse
 from tsuji.session import current

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from road_rows import lines_df
 from tsuji.functions import geom
 from tsuji.operators import quality, transfer
 from tsuji.sinks import parts

@@ -41,7 +41,8 @@ def length_by_type(spark: SparkSession, roads: DataFrame, spheroid: bool = False
     """Total length per road-type label (sphere unless ``spheroid``), longest first.
 
     Labels are attached on the map side (hash probe into the broadcast 5-row code table), so one
-    partial/final aggregate by label is the only shuffle."""
+    partial/final aggregate by label is the only shuffle of more than a row per label (the final
+    order is a range exchange of those rows)."""
     seg = decode(segment_lengths(roads, ("road_type",), spheroid), spark, "road_type", "road_type_label")
     agg = seg.groupBy("road_type_label").agg(F.sum("seg_len").alias("total"))
     return agg.select(F.col("road_type_label").alias("road_type"),
