@@ -41,8 +41,39 @@ s AS (SELECT q.vec_id query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT s
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) rank FROM s) WHERE rank <= 10"""
 
+# every order's steps straight from the documents' failure masks
+FILTER_AUDIT = r"""WITH t AS (
+  SELECT doc_id, coalesce(source, '') part, coalesce(text, '') x,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents),
+lab AS (SELECT doc_id, max((quality = 1)::INT) good, max((toxic = 1)::INT) toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) good, coalesce(toxic, 0) toxic,
+    (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x))::INT
+    + 8 * regexp_matches(x, '[#$%&*|]')::INT
+    + 16 * coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY x), false)::INT mask
+  FROM t LEFT JOIN lab ON lab.doc_id = t.doc_id),
+m AS (SELECT part, mask, count(*) n, sum(good) good, sum(toxic) toxic FROM f GROUP BY ALL),
+b AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) x, unnest([1, 2, 4, 8, 16]) v),
+o AS (SELECT p.x || q.x || r.x || s.x || u.x filter_order, [p.v, q.v, r.v, s.v, u.v] vs
+  FROM b p, b q, b r, b s, b u WHERE p.v + q.v + r.v + s.v + u.v = 31 AND p.v | q.v | r.v | s.v | u.v = 31),
+st AS (SELECT filter_order, step, vs[step] own, coalesce(list_sum(vs[1:step - 1]), 0)::INT earlier
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) step)),
+g AS (SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (mask & (earlier | own) = 0), 0) kept,
+    coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & own > 0), 0) removed,
+    coalesce(sum(n) FILTER (mask & earlier > 0 AND mask & own > 0), 0) redundant,
+    coalesce(sum(n) FILTER (mask = own), 0) unique_fails,
+    coalesce(sum(good) FILTER (mask & earlier = 0 AND mask & own > 0), 0) good_lost,
+    coalesce(sum(toxic) FILTER (mask & earlier = 0 AND mask & own > 0), 0) toxic_lost
+  FROM m, st GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM g"""
+
 ORACLES: dict[str, str] = {
     "op4_partenum": PARTENUM,
     "op7_warc": WARC,
     "op10_voronoi": VORONOI,
+    "op12_filter_audit": FILTER_AUDIT,
 }
