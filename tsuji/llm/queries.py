@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, filter_audit, html_text, mixing, partenum, quality, secrets, toxicity, voronoi, vptree, warc
+from . import bpe, filter_audit, html_text, mixing, partenum, quality, recompression, secrets, toxicity, voronoi, vptree, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -44,5 +44,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vptree": _over("embeddings", vptree.nearest),
     "op10_voronoi": _over("embeddings", voronoi.top_k),
     "op9_secrets": _over("documents", secrets.secrets_report),
+    "op11_runs": _over("documents", recompression.run_report),
     "op12_filter_audit": _with_labels(filter_audit.audit_report),
 }
