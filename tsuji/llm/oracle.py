@@ -1,7 +1,8 @@
 """DuckDB SQL of those training-data queries that SQL can express.
 
 The others rest on brute-force tests: learned models (1, 3, 9), a shuffle by Spark's hash (2), a
-tokenizer (5), an HTML parser (6), an approximate search (8), and the pipeline made of them.
+tokenizer (5, 13), an HTML parser (6), an approximate search (8), checksums of ids (11), and the pipeline
+made of them.
 """
 
 from __future__ import annotations

@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, filter_audit, html_text, mixing, partenum, quality, recompression, secrets, toxicity, voronoi, vptree, warc
+from . import bpe, filter_audit, html_text, mixing, partenum, quality, recompression, secrets, toxicity, voronoi, vptree, warc, word_bpe
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
-def vocab_path() -> str:
+def vocab_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def _over(name: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -46,4 +47,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": _over("documents", secrets.secrets_report),
     "op11_runs": _over("documents", recompression.run_report),
     "op12_filter_audit": _with_labels(filter_audit.audit_report),
+    "op13_tree_bpe": _over("documents", lambda d: word_bpe.round_trip_report(d, vocab_path(WORD_VOCABULARY))),
 }
