@@ -379,33 +379,12 @@ def line_is_valid(line) -> Column:
     return (F.size(F.array_distinct(ln)) >= 2) & finite(ln["x"]) & finite(ln["y"])
 
 
-def _segments_cross(a, b, c, d):
-    # proper or touching intersection of segments ab and cd
-    d1 = _side(c, d, a["x"], a["y"])
-    d2 = _side(c, d, b["x"], b["y"])
-    d3 = _side(a, b, c["x"], c["y"])
-    d4 = _side(a, b, d["x"], d["y"])
-    return (((d1 > 0) & (d2 < 0)) | ((d1 < 0) & (d2 > 0))) & (((d3 > 0) & (d4 < 0)) | ((d3 < 0) & (d4 > 0)))
-
-
-def ring_is_valid(ring) -> Column:
-    """Closed, >= 4 points, and no two non-adjacent edges cross (a bow-tie is invalid)."""
-    r = _c(ring)
-    n = F.size(r)
-    closed = (n >= 4) & (r[0]["x"] == F.element_at(r, -1)["x"]) & (r[0]["y"] == F.element_at(r, -1)["y"])
-    idx = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
-
-    def edge(i):
-        return F.element_at(r, i), F.element_at(r, i + 1)
-
-    crossing = F.exists(idx, lambda i: F.exists(idx, lambda j: (j > i + 1) & ~((i == 1) & (j == n - 1)) & _segments_cross(
-        *edge(i), *edge(j))))
-    return closed & ~crossing
-
-
 def polygon_is_valid(mpoly) -> Column:
-    """Every ring of every polygon valid (hole nesting is not checked)."""
-    return F.forall(_c(mpoly), lambda poly: (F.size(poly) > 0) & F.forall(poly, ring_is_valid))
+    """No rule of ``validity`` is broken: rings closed and simple, holes in their shell and not in each
+    other, polygons apart, interiors connected."""
+    from .validity import polygon_fault
+
+    return polygon_fault(_c(mpoly)).isNull()
 
 
 def line_status(line) -> Column:

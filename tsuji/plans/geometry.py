@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geodesy, geom
+from ..functions import geodesy, geom, validity
 from ..operators import quality, search
 from ..session import scratch_path
 from ..sinks import layout
@@ -95,6 +95,11 @@ def polygon_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.admin_polygons(spark, sf_dir).select("fid", geom.polygon_status("mpoly").alias("status"))
 
 
+def polygon_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule every shaped polygon breaks (nested, outside, crossing, touching, open rings)."""
+    return fx.shaped_polygons(spark, sf_dir).select("fid", F.coalesce(validity.polygon_fault("mpoly"), F.lit("ok")).alias("fault"))
+
+
 def duplicates_signed_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U2 on lines through 0.0 and -0.0: the two are different geometries. The duplicates of all rows,
     of which those that begin on the zero meridian are shown."""

@@ -43,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "point_on_line": ge.point_on_line,
     "point_on_long_line": ge.point_on_long_line,
     "polygon_validity": ge.polygon_validity,
+    "polygon_faults": ge.polygon_faults,
     "duplicates_signed_zero": ge.duplicates_signed_zero,
     "duplicates_flawed": ge.duplicates_flawed,
     "point_accessors": ge.point_accessors,

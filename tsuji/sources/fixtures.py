@@ -109,6 +109,47 @@ def admin_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(ring((0, 0), (1, 0), (1, 1), (0, 1), (0, 0)))).alias("mpoly"))
 
 
+def _square(x0, y0, x1, y1):
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+
+
+_BIG = _square(0, 0, 12, 12)
+# Multipolygons (polygons of rings of vertices) on a 12 x 12 grid: valid ones, and one rule broken each.
+SHAPES = [
+    [[_BIG]],
+    [[_BIG, _square(2, 2, 4, 4), _square(6, 6, 9, 9)]],
+    [[_BIG, _square(2, 2, 4, 4), _square(4, 4, 6, 6)]],                          # holes touch in a point
+    [[_BIG, [(0, 6), (3, 5), (3, 7), (0, 6)]]],                                  # a hole touches the shell
+    [[_BIG, _square(1, 1, 11, 11)], [_square(3, 3, 5, 5)]],                      # an island in a hole
+    [[_square(0, 0, 4, 4)], [_square(4, 4, 8, 8)]],                              # polygons touch in a point
+    [[_BIG, _square(14, 2, 16, 4)]],                                             # a hole outside
+    [[_BIG, _square(1, 1, 9, 9), _square(3, 3, 5, 5)]],                          # a hole in a hole
+    [[_BIG, [(0, 6), (6, 3), (12, 6), (6, 9), (0, 6)]]],                         # a hole parts the interior
+    [[_BIG, _square(2, 2, 4, 4), _square(4, 4, 6, 6), [(4, 2), (7, 2), (6, 4), (5, 3), (4, 2)]]],   # holes in a ring
+    [[_BIG, _square(0, 4, 3, 8)]],                                               # a hole along an edge
+    [[_BIG, _square(10, 2, 16, 5)]],                                             # a hole through the shell
+    [[_square(0, 0, 6, 6)], [_square(4, 4, 10, 10)]],                            # polygons overlap
+    [[_BIG], [_square(3, 3, 5, 5)]],                                             # a polygon in a polygon
+    [[[(0, 0), (6, 6), (12, 0), (12, 12), (6, 6), (0, 12), (0, 0)]]],            # a ring touches itself
+    [[[(0, 0), (12, 12), (12, 0), (0, 12), (0, 0)]]],                            # a bow-tie
+    [[[(0, 0), (12, 0), (12, 6), (12, 12), (0, 12), (0, 0)], [(8, 4), (12, 6), (16, 4), (16, 8), (8, 8), (8, 4)]]],
+    [[[(0, 0), (8, 0), (8, 8), (8, 12), (8, 8), (0, 8), (0, 0)]]],               # a spike
+    [[_BIG[:4]]],                                                                # an open ring
+    [[[(0, 0), (5, 5), (0, 0), (5, 5), (0, 0)]]],                                # a ring of two points
+]
+
+
+def shaped_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fid, mpoly``: one of SHAPES per customer, moved and scaled by powers of two (exact coordinates)."""
+    rows = [(k, [[[(float(x), float(y)) for x, y in ring] for ring in p] for p in s]) for k, s in enumerate(SHAPES)]
+    shapes = spark.createDataFrame(rows, "kind int, shape array<array<array<struct<x: double, y: double>>>>")
+    placed = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS fid", f"cast(c_custkey % {len(SHAPES)} AS int) AS kind", "c_custkey % 300 - 150 AS x0",
+        "c_custkey div 7 % 120 - 60 AS y0", "element_at(array(0.125D, 0.25D, 1D, 2D), cast(1 + c_custkey div 20 % 4 AS int)) AS s")
+    return placed.join(F.broadcast(shapes), "kind").selectExpr(
+        "fid", "transform(shape, p -> transform(p, r -> transform(r, v -> struct(x0 + v.x * s AS x, y0 + v.y * s AS y)))) AS mpoly")
+
+
 def roads_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loosely typed stage table (codes as text, timestamp date, int layer), EPSG:6668."""
     df = _orders_keyed(spark, sf_dir).selectExpr(
