@@ -103,3 +103,40 @@ def test_nulls_repeats_empty_table(spark):
         if r.taken:
             want[r.doc_id] = want.get(r.doc_id, 0) + r.taken // r.size
     assert n == want
+
+
+def test_a_source_of_one_repeated_row_meets_its_target(spark):
+    """Sources that repeat a row 200 times are taken up to their targets, not all or nothing."""
+    text = " ".join(["w"] * 10)
+    rows = [(i, text, "a") for i in range(200)] + [(1000, text, "b")] * 200 + [(2000, text, "c")] * 200
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_report(df).collect()
+    assert len(got) == 600 and {r.taken for r in got} == {0, 10, 20}
+    taken = {s: sum(r.taken for r in got if r.doc_id // 1000 == s) for s in (0, 1, 2)}
+    target = {s: next(r.target for r in got if r.doc_id // 1000 == s) for s in (0, 1, 2)}
+    assert [round(target[s]) for s in (0, 1, 2)] == [4000, 3333, 1667]
+    assert all(abs(taken[s] - target[s]) <= 20 for s in taken), (taken, target)
+    again = mixing.mix_report(df, block_rows=7, queue_rows=11).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+    copies = {r.s: r.n for r in mixing.mixed_documents(df).groupBy(F.expr("doc_id div 1000 s")).agg(F.count("*").alias("n")).collect()}
+    assert copies == {s: taken[s] // 10 for s in taken}
+
+
+def test_a_pass_ends_inside_repeated_rows(spark):
+    """Targets that are no multiple of a repeated row's size; rows that differ in another column only."""
+    rows = [(1, "w w w", "a", i % 2) for i in range(101)] + [(2, "w", "a", 7)] * 50 + [(3, "w w", "b", 0)] * 90 + [(4, "w", "c", 1)] * 99
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, other int")
+    sizes = {"a": 353, "b": 180, "c": 99}
+    want = targets_by_rounds(sizes)
+    got = mixing.mix_report(df).collect()
+    source = {1: "a", 2: "a", 3: "b", 4: "c"}
+    taken = dict.fromkeys(sizes, 0)
+    for r in got:
+        taken[source[r.doc_id]] += r.taken
+    assert all(abs(taken[s] - want[s]) <= 6 for s in sizes), (taken, want)
+    n = {r.doc_id: r["count"] for r in mixing.mixed_documents(df).groupBy("doc_id").count().collect()}
+    size = {1: 3, 2: 1, 3: 2, 4: 1}
+    total = {}
+    for r in got:
+        total[r.doc_id] = total.get(r.doc_id, 0) + r.taken // size[r.doc_id]
+    assert n == {i: c for i, c in total.items() if c}
