@@ -17,6 +17,7 @@ rows and ids are independent; extra columns pass through, a column named like an
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import unicodedata
 from functools import lru_cache
@@ -24,7 +25,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import add_schema, map_pieces, prepared, utf8, with_columns
@@ -36,7 +36,7 @@ WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x
 SUFFIX_1 = "stmd"
 SUFFIX_2 = ("re", "ve", "ll")
 
-CACHE_WORDS = 400_000           # finished merges kept per Python worker; emptied when full
+CACHE_BYTES = 40_000_000        # finished merges kept per Python worker; emptied when full
 CACHE_WORD_CHARS = 64           # longer slices are not cached
 
 # symbols
@@ -182,6 +182,7 @@ class Vocabulary:
         self.begin = np.concatenate([[0], np.cumsum(self.length)[:-1]])
         self.blob = np.frombuffer(b"".join(words), np.uint8)
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
 
     def merge(self, piece: bytes) -> list[int]:
         """Pair merges of one slice: lowest rank first, leftmost first among equals."""
@@ -224,9 +225,11 @@ class Vocabulary:
     def encode_slice(self, piece: str) -> bytes:
         ids = np.array(self.merge(piece.encode("utf-8")), "<u4").tobytes()
         if len(piece) <= CACHE_WORD_CHARS:
-            if len(self.cache) >= CACHE_WORDS:
+            if self.cached > CACHE_BYTES:
                 self.cache.clear()
+                self.cached = 0
             self.cache[piece] = ids
+            self.cached += 200 + 4 * len(piece) + len(ids)      # about what the entry takes
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -296,9 +299,20 @@ def decode(df: DataFrame, vocab_path: str, ids_col: str = "token_ids", offsets_c
 
 
 def round_trip_report(docs: DataFrame, vocab_path: str) -> DataFrame:
-    """Digests of the ids and of the decoded bytes of every document."""
-    coded = encode(docs.select("doc_id", "text"), vocab_path).drop("text")
-    back = decode(coded, vocab_path)
-    return back.select(
-        "doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Digests of the ids and of the decoded bytes of every document. Texts are encoded and decoded in
+    one Python pass: only counts and digests leave it."""
+    def run(piece: pa.RecordBatch) -> pa.RecordBatch:
+        v = vocabulary(vocab_path)
+        counts, coded, decoded = [], [], []
+        for ids in v.encode([t or "" for t in piece.column("text").to_pylist()]):
+            numbers = np.frombuffer(ids, "<u4").astype(np.int64)
+            counts.append(len(numbers))
+            coded.append(hashlib.sha256(ids).hexdigest())
+            decoded.append(hashlib.sha256(v.decode(numbers, v.offsets(numbers))).hexdigest())
+        return pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(counts, pa.int64()), pa.array(coded, pa.string()),
+                                           pa.array(decoded, pa.string())], names=schema.names)
+
+    rows = docs.select("doc_id", "text")
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
+                           T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    return prepared(rows).mapInArrow(map_pieces(run, "text"), schema)

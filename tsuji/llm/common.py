@@ -53,8 +53,19 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
             yield batch.slice(a, b - a)
 
 
+_large: list[Callable[[], None]] = []
+
+
+def large(cached):
+    """Marks a cached function whose tables are too large to keep when a task has ended."""
+    _large.append(cached.cache_clear)
+    return cached
+
+
 def give_back() -> None:
     """Return freed memory to the operating system: a reused Python worker would keep it all."""
+    for clear in _large:
+        clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

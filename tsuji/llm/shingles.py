@@ -6,7 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from .common import mix64
+from .common import large, mix64
 
 WORDS = 5
 
@@ -20,7 +20,8 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _JOIN = np.uint64(0xA0761D6478BD642F)
 
 
-@lru_cache(maxsize=2)
+@large
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         up, down = np.full(n, _BASE), np.full(n, _INVERSE)
