@@ -108,8 +108,8 @@ def test_repeated_ids_keep_the_exact_search_exact(spark):
     others = [(i, [float(v) for v in 5 + rng.normal(size=2)]) for i in range(1, 51)]
     df = spark.createDataFrame(own + others, "vec_id long, embedding array<double>").repartition(3)
     want = brute(own + others, 10, 100, 1024)[100]
-    # as in the SQL, each of the 11 query rows meets every candidate
-    assert as_dict(voronoi.top_k(df).collect()) == {100: want[:1] * 10}
+    # the 11 equal rows are one query, which has its 10 best candidates
+    assert as_dict(voronoi.top_k(df).collect()) == {100: want}
     several = [(100, [9.0, 9.0 - j / 64]) for j in range(11)]
     df = spark.createDataFrame(several + others, "vec_id long, embedding array<double>").repartition(3)
     pairs = [(-sum(math.floor(1024 * a) * math.floor(1024 * b) for a, b in zip(q, v)), j) for _, q in several for j, v in others]
@@ -122,3 +122,11 @@ def test_repeated_query_rows_are_one_query_of_the_trees(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     want = {20: [j for j, _ in brute(rows, 8, 20)[20]]}
     assert {q: [j for j, _ in v] for q, v in as_dict(vptree.nearest(df, k=8, factor=1.0).collect()).items()} == want
+
+
+def test_equal_query_rows_do_not_crowd_candidates_out(spark):
+    rng = np.random.default_rng(8)
+    rows = [(100, [1.0, 2.0, 0.5])] * 5 + [(i, [float(v) for v in rng.normal(size=3)]) for i in range(101, 180)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = as_dict(voronoi.top_k(df, n_pivots=6, share_rows=9).collect())
+    assert got == {100: brute(rows, 10, 100, 1024)[100]} and len({j for j, _ in got[100]}) == 10

@@ -38,7 +38,7 @@ VORONOI = """WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) e FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+  FROM (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 100 = 0) q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) rank FROM s) WHERE rank <= 10"""
 

@@ -18,8 +18,9 @@ Results are exact whatever the pivots; where the data has no cluster structure t
 little out and step 3 sends every row to every group, of which there are few.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part, nor
-rows without an id; a zero vector does; rows that share the query's id count as its own; vectors
-meet only vectors of their length; ties go to the smaller id; fewer candidates give fewer rows.
+rows without an id; a zero vector does; rows that share the query's id count as its own; equal rows of one
+id are one query, while different vectors of one id share its ``k`` ranks; a candidate counts once per row;
+vectors meet only vectors of their length; ties go to the smaller id; fewer candidates give fewer rows.
 """
 
 from __future__ import annotations
@@ -197,7 +198,8 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
         pivots[d] = (p, np.maximum(top2 - (p ** 2).sum(1), 0))
 
     data = written(assigned(rows, pivots, top2, False), "voronoi-data")
-    queries = assigned(rows.where(F.col("id") % every == 0), pivots, top2, True)
+    # equal rows of an id are one query: each would fill the ranks with the same candidates again
+    queries = assigned(rows.where(F.col("id") % every == 0).select("id", "dim", "vec").distinct(), pivots, top2, True)
     queries = written(queries, "voronoi-queries")
     near, asked = plan(data, queries, k, group_rows, n_pivots)
 
@@ -222,8 +224,25 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
         blocks[d] = [max(1, -(-int(count[group == g].sum()) // group_rows)) for g in range(n_groups)]
     if not group_of:
         return empty
-    n = sum(r.n for r in per_dim.values())
-    shares = max(1, -(-n // share_rows))
+
+    def wanted(d: int, g: int, dims, cell, dist) -> np.ndarray:
+        """Rows that group g cannot rule out."""
+        low, high = shell[d]
+        mine = cell % low.shape[1]
+        return np.flatnonzero((dims == d) & (dist >= low[g][mine]) & (dist <= high[g][mine]))
+
+    def counted(batches):
+        """How many rows of a batch each group gets."""
+        for batch in batches:
+            dims, cell, dist = (batch.column(c).to_numpy() for c in ("dim", "cell", "dist"))
+            rows = [(int(d), g, len(wanted(int(d), g, dims, cell, dist)))
+                    for d in np.unique(dims) if int(d) in shell for g in range(len(shell[int(d)][0]))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in ((0, pa.int32()), (1, pa.int32()), (2, pa.int64()))],
+                                             names=["dim", "grp", "n"])
+
+    # a group's rows are dealt over as many shares as it needs, so its queries are copied no more often
+    sent = data.select("dim", "cell", "dist").mapInArrow(counted, "dim int, grp int, n long").groupBy("dim", "grp").agg(F.sum("n").alias("n"))
+    shares = {(r.dim, r.grp): max(1, -(-r.n // share_rows)) for r in sent.collect()}
 
     def send(batches):
         """A data row once for every (group, block) it may matter to."""
@@ -232,16 +251,16 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
             for d in np.unique(dims):
                 if int(d) not in shell:
                     continue
-                low, high = shell[int(d)]
-                for g in range(len(low)):
-                    at = np.flatnonzero((dims == d) & (dist >= low[g][cell % low.shape[1]]) & (dist <= high[g][cell % low.shape[1]]))
+                for g in range(len(shell[int(d)][0])):
+                    at = wanted(int(d), g, dims, cell, dist)
                     if len(at):
                         part = batch.take(pa.array(at))
+                        of = np.full(len(at), shares[int(d), g], np.int32)
                         for b in range(blocks[int(d)][g]):
                             yield pa.RecordBatch.from_arrays(
                                 [part.column("id"), part.column("dim"), part.column("vec"),
-                                 pa.array(np.full(len(at), g, np.int32)), pa.array(np.full(len(at), b, np.int32))],
-                                names=["id", "dim", "vec", "grp", "block"])
+                                 pa.array(np.full(len(at), g, np.int32)), pa.array(np.full(len(at), b, np.int32)), pa.array(of)],
+                                names=["id", "dim", "vec", "grp", "block", "shares"])
 
     def place(batches):
         """A query's group and block."""
@@ -249,13 +268,14 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
             dims, cell, ids = (batch.column(c).to_numpy() for c in ("dim", "cell", "id"))
             g = np.array([group_of[int(d)][c] for d, c in zip(dims, cell)], np.int32)
             b = np.array([i // every % blocks[int(d)][x] for i, d, x in zip(ids, dims, g)], np.int32)
+            of = np.array([shares.get((int(d), int(x)), 1) for d, x in zip(dims, g)], np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("dim"), batch.column("vec"), pa.array(g), pa.array(b)],
-                names=["id", "dim", "vec", "grp", "block"])
+                [batch.column("id"), batch.column("dim"), batch.column("vec"), pa.array(g), pa.array(b), pa.array(of)],
+                names=["id", "dim", "vec", "grp", "block", "shares"])
 
-    shape = "id long, dim int, vec binary, grp int, block int"
-    left = data.mapInArrow(send, shape).withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int"))
-    right = queries.mapInArrow(place, shape).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    shape = "id long, dim int, vec binary, grp int, block int, shares int"
+    left = data.mapInArrow(send, shape).withColumn("share", F.pmod(F.xxhash64("id"), "shares").cast("int")).drop("shares")
+    right = queries.mapInArrow(place, shape).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
 
     def solve(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(a) == 0 or len(b) == 0:
