@@ -13,8 +13,8 @@ inside an ``article`` only elements with loose text alone are: paragraphs, headi
 blocks and all that holds one stay, so an article that a host shows on many pages keeps its text.
 
 What is never main text is also known by its element (navigation, page header, footer, aside, form,
-script ...), its role or a word of its class or id (advert, sidebar, cookie, comments ...). The main
-text is that of the ``article`` elements, else of ``main``, else of the whole body.
+script ...), its role or a class or id that names such a part as a whole (advert, sidebar, cookie-notice,
+comments ...). The main text is that of the ``article`` elements, else of ``main``, else of the whole body.
 
 Defined cases: null or empty HTML gives an empty text; text without any tag is one block; repeated
 rows give the same text; a page without a host shares the empty host; unclosed and wrongly nested
@@ -44,12 +44,16 @@ TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt figcaption
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 NEVER_TEXT = frozenset("""head script style noscript template iframe textarea title nav footer aside form button select svg
-math canvas object audio video dialog menu search noembed noframes fieldset datalist map""".split())
+dialog menu search noembed noframes datalist""".split())
 NEVER_ROLE = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 NEVER_WORD = frozenset("""ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion sidebar
 menu nav navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices banner popup modal
 newsletter subscribe subscription signup login social share sharing related recommended recommendations comment comments
 disqus replies respond widget widgets toolbar pagination pager skiplink""".split())
+# words that only place or shape what a class names
+NEUTRAL_WORD = frozenset("""area bar block bottom box button buttons center column container content fixed float global group holder
+inner item items js left link links list main outer overlay page panel post posts primary region right row secondary section
+site sticky top user wrap wrapper""".split())
 KEPT = frozenset("html body main".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
@@ -57,9 +61,17 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def _names_unwanted(token: str) -> bool:
+    """Does a class or id as a whole name something that is not main text (``ad-box``, ``site-footer``)? One
+    that says anything else besides (``notice-periods``, ``related-work``) does not."""
+    words = _WORD.findall(token)
+    return any(w in NEVER_WORD for w in words) and all(w in NEVER_WORD or w in NEUTRAL_WORD or w.isdigit() for w in words)
+
+
 @lru_cache(maxsize=20_000)
 def _unwanted(name: str, attributes: str) -> bool:
-    """Is an element with these attributes never main text?"""
+    """Is an element with these attributes never main text? The id of a text block is an anchor and
+    tells nothing."""
     if name in NEVER_TEXT:
         return True
     if not attributes or name in KEPT:
@@ -73,12 +85,8 @@ def _unwanted(name: str, attributes: str) -> bool:
             return True
         if key == "role" and value in NEVER_ROLE:
             return True
-        if key in ("class", "id"):
-            words = _WORD.findall(value)
-            if name == "article":
-                if any(w in ("comment", "comments", "ad", "advert", "sponsored", "related") for w in words):
-                    return True
-            elif any(w in NEVER_WORD for w in words):
+        if key == "class" or key == "id" and name not in TEXT_BLOCKS:
+            if any(map(_names_unwanted, value.split())):
                 return True
     return False
 
