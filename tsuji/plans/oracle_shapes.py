@@ -1,9 +1,9 @@
-"""DuckDB oracle of polygon validity: every pair of edges and point-in-ring counts, no sweep."""
+"""DuckDB oracles of polygons (validity by every pair of edges and point-in-ring counts) and of GeoParquet."""
 
 from __future__ import annotations
 
 from ..sources.fixtures import SHAPES
-from .oracle import with_
+from .oracle import ROADS, VERTS, with_
 
 _VERTICES = ", ".join(f"({k}, {p}, {r}, {i}, {x}, {y})" for k, shape in enumerate(SHAPES) for p, polygon in enumerate(shape)
                       for r, ring in enumerate(polygon) for i, (x, y) in enumerate(ring))
@@ -82,4 +82,18 @@ SELECT c_custkey AS fid, CASE
   WHEN c_custkey IN (SELECT fid FROM parted) THEN 'interior not connected' ELSE 'ok' END AS fault
 FROM customer"""
 
-ORACLES: dict[str, str] = {"polygon_faults": POLYGON_FAULTS}
+GEOPARQUET = with_(ROADS, VERTS) + """
+SELECT source_mesh, count(*) n, count(*) same, count(*) covered, 6668 AS srid, any_value(t.xmin) xmin, any_value(t.ymin) ymin,
+  any_value(t.xmax) xmax, any_value(t.ymax) ymax
+FROM roads, (SELECT min(x) xmin, min(y) ymin, max(x) xmax, max(y) ymax FROM verts) t GROUP BY source_mesh"""
+
+# 9 bytes of head, 9 of each polygon's, 4 of each ring's, 16 of each vertex
+POLYGON_GEOPARQUET = with_(PLACED) + """
+SELECT fid, true AS same, (9 + 9 * count(DISTINCT p) + 4 * count(DISTINCT rg) + 16 * count(*))::BIGINT AS nbytes, count(*) AS vertices,
+  min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax FROM v GROUP BY fid"""
+
+ORACLES: dict[str, str] = {
+    "polygon_faults": POLYGON_FAULTS,
+    "geoparquet_roundtrip": GEOPARQUET,
+    "polygon_geoparquet": POLYGON_GEOPARQUET,
+}

@@ -67,6 +67,8 @@ QUERIES: dict[str, Query] = {
     "surrogate_ids": wh.surrogate_ids,
     "geojson_ingest": ig.geojson_ingest,
     "wkb_roundtrip": ig.wkb_roundtrip,
+    "geoparquet_roundtrip": ig.geoparquet_roundtrip,
+    "polygon_geoparquet": ig.polygon_geoparquet,
     "incremental_ingest": ig.incremental_ingest,
     "scan_cost": rp.scan_cost_report,
     "end_to_end": fl.end_to_end,
