@@ -67,6 +67,12 @@ def bbox_layout_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.read_bbox(spark, covering_file(spark, sf_dir), BOX).select("fid", "source_mesh")
 
 
+def indexed_bbox_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 / S6 by the packed R-tree: the same rows, read from the files the tree hits."""
+    path = layout.write_covering_layout(fx.roads(spark, sf_dir), scratch_path(spark, "roads_indexed"), file_rows=500)
+    return layout.read_bbox(spark, path, BOX).select("fid", "source_mesh")
+
+
 def hilbert_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hilbert index of each road's bbox centre over the total bounds."""
     return layout.hilbert_order(fx.roads(spark, sf_dir).select("fid", "line")).select("fid", "hilbert")

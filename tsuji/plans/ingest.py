@@ -10,7 +10,7 @@ from ..operators import warehouse as wh
 from ..session import scratch_path
 from ..sinks import geoparquet, parts
 from ..sources import fixtures as fx
-from ..sources import geojson
+from ..sources import geojson, mesh_archive
 
 
 # Names of one and the same CRS that deliveries use (fixed values).
@@ -40,6 +40,17 @@ def geojson_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(geom.srid_of(norm, "geometry")).alias("tagged_srid"))
 
 
+def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 / S8 by the data source: features of the archives whose mesh cell meets a box, the others unopened."""
+    root = scratch_path(spark, "archives")
+    write_archives(spark, sf_dir, root)
+    texts = mesh_archive.scan_archives(spark, root, box=(131.0, 24.5, 138.5, 36.5))
+    rows = mesh_archive.features_of(texts, ["fid", *wh.COLUMN_MAP])
+    return wh.normalize_roads(rows, file_col="file_name").select(
+        F.col("fid").cast("long").alias("fid"), *wh.COLUMN_MAP.values(), "source_mesh", F.size("geometry").alias("npts"),
+        F.element_at("geometry", -1)["x"].alias("xn"), "srid")
+
+
 def wkb_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line written as WKB and read back into the native form equals the original."""
     r = fx.roads(spark, sf_dir).select("fid", "line")

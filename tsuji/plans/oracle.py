@@ -291,6 +291,7 @@ ORACLES: dict[str, str] = {
     "bbox_intersects": BBOX_INTERSECTS,
     "bbox_intersects_vertices": BBOX_INTERSECTS_VERTICES,
     "bbox_layout_read": BBOX_LAYOUT_READ,
+    "indexed_bbox_read": BBOX_LAYOUT_READ,
     "hilbert_cell": HILBERT_CELL,
     "total_bounds": TOTAL_BOUNDS,
     "cross_mesh_duplicates": CROSS_MESH_DUPLICATES,

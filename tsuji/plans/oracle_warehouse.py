@@ -57,6 +57,14 @@ SELECT n.fid, {_NOTE.replace('fid', 'n.fid')} AS note, n.* EXCLUDE (fid), 'LineS
 FROM ({NORMALIZE[NORMALIZE.index("SELECT fid, strftime"):]}) n JOIN roads r ON r.fid = n.fid
 JOIN verts v ON v.fid = n.fid AND v.i = 1 + r.k % 4"""
 
+# cells on the standard grid: 40 minutes of latitude by one degree of longitude from 100 E
+ARCHIVE_SCAN = with_(ROADS, VERTS) + f"""
+SELECT n.*, (v.i + 1)::INTEGER AS npts, v.x AS xn, 6668 AS srid
+FROM ({NORMALIZE[NORMALIZE.index("SELECT fid, strftime"):]}) n JOIN roads r ON r.fid = n.fid
+JOIN verts v ON v.fid = n.fid AND v.i = 1 + r.k % 4
+WHERE 100 + n.source_mesh[3:4]::INT <= 138.5 AND 101 + n.source_mesh[3:4]::INT >= 131.0
+  AND n.source_mesh[1:2]::INT / 1.5 <= 36.5 AND (n.source_mesh[1:2]::INT + 1) / 1.5 >= 24.5"""
+
 INCREMENTAL_INGEST = with_(ROADS) + f"""
 SELECT fid, {_NOTE} AS note, road_type::VARCHAR AS road_type, strftime(registration_date, '%Y-%m-%d') AS registration_date,
   source_mesh, (2 + k % 4)::INTEGER AS npts, 6668 AS srid FROM roads"""
@@ -77,6 +85,7 @@ ORACLES = {
     "count_all": with_(ROADS) + "SELECT count(*) AS n FROM roads",
     "incremental_ingest": INCREMENTAL_INGEST,
     "geojson_ingest": GEOJSON_INGEST,
+    "archive_scan": ARCHIVE_SCAN,
     "wkb_roundtrip": WKB_ROUNDTRIP,
     "normalize": NORMALIZE,
     "stage_transform": STAGE_TRANSFORM,

@@ -36,6 +36,7 @@ QUERIES: dict[str, Query] = {
     "bbox_intersects": ge.bbox_intersects,
     "bbox_intersects_vertices": ge.bbox_intersects_vertices,
     "bbox_layout_read": ge.bbox_layout_read,
+    "indexed_bbox_read": ge.indexed_bbox_read,
     "hilbert_cell": ge.hilbert_cell,
     "total_bounds": ge.total_bounds,
     "cross_mesh_duplicates": ge.cross_mesh_duplicates,
@@ -66,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "merge_parts": wh.merge_parts,
     "surrogate_ids": wh.surrogate_ids,
     "geojson_ingest": ig.geojson_ingest,
+    "archive_scan": ig.archive_scan,
     "wkb_roundtrip": ig.wkb_roundtrip,
     "geoparquet_roundtrip": ig.geoparquet_roundtrip,
     "polygon_geoparquet": ig.polygon_geoparquet,
