@@ -1,8 +1,9 @@
 """Analytic queries over ``roads``: lengths, counts, rank / share / cumulative windows.
 
-Shape of every analysis: per-row length computed in the scan stage (no shuffle), broadcast
-decode join against a fixed code table, partial + final hash aggregate (one shuffle of at most
-a few hundred groups), then one window over that small aggregated result.
+Shape of every analysis: per-row length computed in the scan stage (no shuffle), partial + final hash
+aggregate (one shuffle of at most a few hundred groups), broadcast decode join against a fixed code
+table, then one window over that small aggregated result. The three window reports share one written
+table of partial sums, so segments are measured once for all of them.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geodesy, geom
 from ..operators.codes import decode
+from ..sources import fixtures
 
 
 def with_length(roads: DataFrame, spheroid: bool = False, out: str = "len_m") -> DataFrame:
@@ -59,25 +61,40 @@ def count_all(roads: DataFrame) -> DataFrame:
     return roads.agg(F.count(F.lit(1)).alias("n"))
 
 
-def rank_in_mesh(spark: SparkSession, roads: DataFrame) -> DataFrame:
-    """Per mesh: count and total spheroid length per road type, ranked by the unrounded total.
+PARTIAL_KEYS = ("source_mesh", "road_type", "road_classification", "width_category")
+
+
+def partial_lengths(roads: DataFrame) -> DataFrame:
+    """Count and spheroid length per mesh and combination of codes: the one pass over all segments that
+    every report below rolls up (sums and counts merge, so any coarser grouping follows)."""
+    return lengths_by(roads, PARTIAL_KEYS, spheroid=True)
+
+
+def _rolled_up(spark: SparkSession, partials: DataFrame, code: str, label: str, *keys: str) -> DataFrame:
+    """``n`` and ``total`` per label of ``code`` and ``keys``."""
+    return (decode(partials.select(*keys, code, "n", "total"), spark, code, label, keep_code=code in keys)
+            .groupBy(*keys, label).agg(F.sum("n").alias("n"), F.sum("total").alias("total")))
+
+
+def rank_in_mesh(spark: SparkSession, partials: DataFrame) -> DataFrame:
+    """Per mesh: count and total spheroid length per road type, ranked by the unrounded total (A4, W1, M1),
+    from ``partial_lengths``.
 
     ``RANK() OVER (PARTITION BY mesh ORDER BY total DESC)`` with SQL's DESC-puts-nulls-first rule.
     """
-    agg = (decode(segment_lengths(roads, ("source_mesh", "road_type"), spheroid=True), spark, "road_type", "road_type_label")
-           .groupBy("source_mesh", "road_type_label").agg(*_n_and_total()))
+    agg = _rolled_up(spark, partials, "road_type", "road_type_label", "source_mesh")
     w = Window.partitionBy("source_mesh").orderBy(F.desc_nulls_first("total"))
     return agg.select("source_mesh", "road_type_label", "n", F.round("total", 1).alias("total_len_m"),
                       F.rank().over(w).cast("long").alias("len_rank")).orderBy("source_mesh", "len_rank")
 
 
-def class_share(spark: SparkSession, roads: DataFrame) -> DataFrame:
-    """Count and spheroid length per road class with their share of the totals.
+def class_share(spark: SparkSession, partials: DataFrame) -> DataFrame:
+    """Count and spheroid length per road class with their share of the totals (W2, M2), from
+    ``partial_lengths``.
 
     ``sum() OVER ()`` runs on the aggregated rows (one per class), so its single partition is tiny.
     """
-    agg = (decode(segment_lengths(roads, ("road_classification",), spheroid=True), spark, "road_classification",
-                  "road_class_label").groupBy("road_class_label").agg(*_n_and_total()))
+    agg = _rolled_up(spark, partials, "road_classification", "road_class_label")
     w = Window.partitionBy()
     return agg.select(
         "road_class_label", "n",
@@ -86,11 +103,11 @@ def class_share(spark: SparkSession, roads: DataFrame) -> DataFrame:
         F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(w), 1).alias("n_pct")).orderBy(F.desc("total_len_m"))
 
 
-def width_cumulative(spark: SparkSession, roads: DataFrame) -> DataFrame:
-    """Per mesh: spheroid length per width class and the running total ordered by width *code*."""
-    agg = (decode(segment_lengths(roads, ("source_mesh", "width_category"), spheroid=True), spark, "width_category",
-                  "width_label", keep_code=True)
-           .groupBy("source_mesh", F.col("width_category").alias("width_code"), "width_label").agg(*_n_and_total()))
+def width_cumulative(spark: SparkSession, partials: DataFrame) -> DataFrame:
+    """Per mesh: spheroid length per width class and the running total ordered by width *code* (W3), from
+    ``partial_lengths``."""
+    agg = _rolled_up(spark, partials, "width_category", "width_label", "source_mesh", "width_category") \
+        .withColumnRenamed("width_category", "width_code")
     # default frame with ORDER BY = RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
     w = Window.partitionBy("source_mesh").orderBy("width_code")
     return agg.select("source_mesh", "width_code", "width_label", "n", F.round("total", 1).alias("total_len_m"),
@@ -138,3 +155,9 @@ def length_by_type_vertices(roads: DataFrame) -> DataFrame:
 def length_spheroid_by_type(spark: SparkSession, roads: DataFrame) -> DataFrame:
     """ST_Length(geography) on the spheroid, summed per road-type label (G1)."""
     return length_by_type(spark, roads, spheroid=True)
+
+
+def geodesic_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 over any distance: one pair of places per customer, up to an ocean apart."""
+    pairs = fixtures.far_pairs(spark, sf_dir)
+    return geodesy.with_spheroid_length(pairs, "metres").select("fid", F.round("metres", 0).alias("metres"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import materialized
 from ..sources import fixtures as fx
 from . import analysis as an
 from . import enrich as en
@@ -23,13 +24,19 @@ def _roads(spark: SparkSession, sf: str) -> DataFrame:
     return fx.roads(spark, sf)
 
 
+def _partials(spark: SparkSession, sf: str) -> DataFrame:
+    """The roads' partial lengths, written once per application; the reports only read this table."""
+    return spark.read.parquet(materialized(spark, "road_lengths", (sf,), lambda: an.partial_lengths(_roads(spark, sf))))
+
+
 QUERIES: dict[str, Query] = {
     "length_by_type": lambda s, d: an.length_by_type(s, _roads(s, d)),
     "count_by_type": lambda s, d: an.count_by_type(_roads(s, d)),
-    "rank_in_mesh": lambda s, d: an.rank_in_mesh(s, _roads(s, d)),
-    "class_share": lambda s, d: an.class_share(s, _roads(s, d)),
-    "width_cumulative": lambda s, d: an.width_cumulative(s, _roads(s, d)),
+    "rank_in_mesh": lambda s, d: an.rank_in_mesh(s, _partials(s, d)),
+    "class_share": lambda s, d: an.class_share(s, _partials(s, d)),
+    "width_cumulative": lambda s, d: an.width_cumulative(s, _partials(s, d)),
     "length_by_type_vertices": lambda s, d: an.length_by_type_vertices(_roads(s, d)),
+    "geodesic_pairs": an.geodesic_pairs,
     "length_spheroid": lambda s, d: an.length_spheroid_by_type(s, _roads(s, d)),
     "bbox_overlap": ge.bbox_overlap,
     "covering_candidates": ge.covering_candidates,

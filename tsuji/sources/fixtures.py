@@ -150,6 +150,15 @@ def shaped_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fid", "transform(shape, p -> transform(p, r -> transform(r, v -> struct(x0 + v.x * s AS x, y0 + v.y * s AS y)))) AS mpoly")
 
 
+def far_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fid, lon1, lat1, lon2, lat2``: two places per customer, at most 100 degrees of longitude and 120 of
+    latitude apart, some of them on the equator or on one meridian."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS fid", "(c_custkey * 7919 % 3600) / 10D - 180 AS lon1", "(c_custkey * 6007 % 1201) / 10D - 60 AS lat1",
+        "(c_custkey * 7919 % 3600) / 10D - 180 + CASE c_custkey % 10 WHEN 3 THEN 0 ELSE (c_custkey * 104729 % 1000) / 10D END AS lon2",
+        "CASE c_custkey % 10 WHEN 7 THEN (c_custkey * 6007 % 1201) / 10D - 60 ELSE (c_custkey * 3571 % 1201) / 10D - 60 END AS lat2")
+
+
 def roads_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loosely typed stage table (codes as text, timestamp date, int layer), EPSG:6668."""
     df = _orders_keyed(spark, sf_dir).selectExpr(
