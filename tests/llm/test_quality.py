@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tsuji.llm import quality as ql
 from tsuji.llm.queries import QUERIES
@@ -49,3 +50,28 @@ def test_odd_rows(spark):
     rows = ql.score(docs, model).collect()
     assert len(rows) == 4 and all(0 <= r.quality <= 1 for r in rows) and rows[0].quality == rows[1].quality
     assert ql.quality_report(docs.limit(0), none).collect() == []
+
+
+def test_pseudo_labels_come_from_all_documents(spark):
+    """The best of the whole table, whatever its partitions, each set of features once."""
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = ql._features(docs.unionByName(docs), "doc_id", "text", "source", "lang", "n_chars")
+    model = ql.learn(docs, labels, rounds=0)
+    wanted = {(0, 1): 40, (0, 0): 7, (1, 1): 25}
+    views = [model.text, model.meta]
+    got = ql.TablePool(rows.drop("_id").repartition(7)).best(views, wanted)
+    batch = rows.dropDuplicates(["key"]).orderBy("key").drop("_id").toArrow().combine_chunks().to_batches()[0]
+    held = ql.ArrayPool(ql.text_features(ql._numbers(batch)), ql._meta(batch, "source", "lang", "length"))
+    keys = batch.column("key").to_pylist()
+    for w, best in held.best(views, wanted).items():
+        margins = lambda found: [round(float(views[w[0]].margin(r[1 + w[0]][None])[0]), 6) for r in found]
+        assert len(got[w]) == len(best) <= wanted[w] and margins(got[w]) == margins(best)
+        assert len({r[0] for r in got[w]}) == len(got[w]) and {r[0] for r in got[w]} <= set(keys)
+
+
+def test_learning_does_not_depend_on_partitions_or_repeated_ids(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    twice = docs.unionByName(docs.where("doc_id % 5 = 0").withColumn("text", F.concat(F.col("text"), F.lit(" tail"))))
+    a, b = ql.learn(twice, labels), ql.learn(twice.repartition(5), labels)
+    for x, y in ((a.text, b.text), (a.meta, b.meta)):
+        assert np.allclose(x.weight, y.weight, atol=1e-6)
