@@ -2,7 +2,10 @@
 
 The field tags tokens as secret begin, inside or outside from the token's shape, the shapes and
 key words of its neighbours and features of the whole text, and is decoded by Viterbi. Its weights
-are trained here on a bounded sample of texts whose base matches serve as labels (``train``).
+are trained here on a bounded sample of texts whose base matches serve as labels (``train``). So that it
+goes beyond those patterns, every text with matches is also learnt from in altered copies: key words give way
+to other words, values are cut below the patterns' least lengths, lose their opening letters or are spelt
+anew in another alphabet, while their tags stay.
 
 Begin and inside share their token weights and differ in the transitions (inside never follows
 outside). A token whose outside score leads by more than any change of the transitions around it can
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_schema, map_pieces, prepared, utf8, with_columns, written
+from .common import add_schema, map_pieces, prepared, trimmed, utf8, with_columns, written
 
 # base patterns and least lengths (fixed values)
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -38,7 +41,15 @@ KINDS = ("assign", "access", "hex", "crf")
 KEY_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 TRAIN_TEXTS = 1200               # texts the field is trained on (documented bound), half with base matches
-TRAIN_BYTES = 700                # the part of a training text around its first match that is used
+SEGMENT = 40                     # tokens of a training chain: whole texts are cut into these
+TRAIN_SEGMENTS = 6000            # chains the field is fitted on (documented bound), half with secrets
+COPIES = 8                       # altered copies of a training text with matches
+LEAST_VALUE = 9                  # characters an altered value has at least
+MOST_VALUE = 40
+ALPHABETS = (b"0123456789abcdef", b"0123456789abcdefghijklmnopqrstuvwxyz", b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+             b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_-abcdefghijklmnopqrstuvwxyz")
+OTHER_KEYS = (b"credential", b"auth", b"access", b"login", b"private", b"value", b"code", b"pin", b"id", b"user")
+UNSEEN = -4.0                    # weight of a token shape before any training
 BEGIN, INSIDE, OUTSIDE = range(3)
 
 
@@ -328,8 +339,43 @@ def redact(df: DataFrame, f: Field | None, text_col: str = "text", mark: str = "
     return prepared(df).mapInArrow(map_pieces(run, text_col), df.schema)
 
 
-def _training_chain(raw: bytes, kind: int | None = None) -> tuple[np.ndarray, ...] | None:
-    """Features and tags of one training text, or of a part of a text of this ``kind``."""
+def value_spans(raw: bytes) -> list[tuple[int, int]]:
+    """The secrets proper of the base matches: of an assignment only its value."""
+    return sorted({(ASSIGN.match(raw, a).start(2) if k == 0 else a, b) for a, b, k in base_matches(raw)})
+
+
+def altered(raw: bytes, rng: np.random.Generator) -> tuple[bytes, list[tuple[int, int]]]:
+    """A copy of a text in which its secrets look less like the base patterns, and where they are then."""
+    out, spans, upto, size = [], [], 0, 0
+    words = [w for w in re.findall(rb"[a-z]{3,9}", raw[:4000])] or [b"and"]
+    for a, b in value_spans(raw):
+        if a < upto:
+            continue
+        head, value = raw[upto:a], raw[a:b]
+        key = re.search(rb"(?i)(password|passwd|secret|token|api_?key)(?=[^A-Za-z0-9]*$)", head)
+        way = rng.integers(4)
+        if key and way < 3:                                      # another key, any word, or none
+            new = OTHER_KEYS[rng.integers(len(OTHER_KEYS))] if way == 0 else words[rng.integers(len(words))]
+            head = head[:key.start()] + (new + head[key.end():] if way < 2 else b"")
+        if value.startswith(b"AKIA") and rng.random() < 0.5:
+            value = value[4:]
+        length = int(rng.integers(LEAST_VALUE, 17 if rng.random() < 0.5 else MOST_VALUE + 1))
+        if rng.random() < 0.7:                                   # spelt anew, digits and letters both
+            letters = ALPHABETS[rng.integers(len(ALPHABETS))]
+            value = rng.choice(list(letters), length - 2).astype(np.uint8).tobytes() + b"7" + letters[-1:]
+        elif len(value) > LEAST_VALUE and not value[:length].isdigit():
+            value = value[:length]
+        out += [head, value]
+        size += len(head)
+        spans.append((size, size + len(value)))
+        size += len(value)
+        upto = b
+    return b"".join([*out, raw[upto:]]), spans
+
+
+def _training_chain(raw: bytes, kind: int | None = None, spans: list[tuple[int, int]] | None = None) -> tuple[np.ndarray, ...] | None:
+    """Features and tags of one training text (of this ``kind``, if given) with its secrets at ``spans``, by
+    default those of the base patterns."""
     part = np.frombuffer(raw, np.uint8)
     off = np.array([0, len(part)])
     at, end, doc = tokens(part, off)
@@ -340,16 +386,26 @@ def _training_chain(raw: bytes, kind: int | None = None) -> tuple[np.ndarray, ..
         text = np.full_like(text, kind)
     before, after = neighbours(shape, doc)
     tags = np.full(len(at), OUTSIDE, np.int8)
-    for a, b, k in base_matches(part.tobytes()):
-        if k == 0:                       # of an assignment only the value is the secret
-            m = ASSIGN.match(part.tobytes(), a)
-            a = m.start(2)
+    for a, b in value_spans(raw) if spans is None else spans:
         inside = np.flatnonzero((at < b) & (end > a))
         tags[inside] = INSIDE
         tags[inside[:1]] = BEGIN
     return shape, before, after, cue, text, tags
 
 
+def segments(chain: tuple[np.ndarray, ...] | None) -> list[tuple[np.ndarray, ...]]:
+    """A whole text's chain in pieces of about SEGMENT tokens that part no secret."""
+    if chain is None:
+        return []
+    tags, cuts = chain[5], [0]
+    while cuts[-1] < len(tags):
+        at = min(cuts[-1] + SEGMENT, len(tags))
+        while at < len(tags) and tags[at] == INSIDE:
+            at += 1
+        cuts.append(at)
+    return [tuple(c[a:b] for c in chain) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def fit(chains: list[tuple[np.ndarray, ...]], rounds: int = 40, rate: float = 0.3, l2: float = 1e-4) -> Field | None:
     """Maximum likelihood by gradient ascent (Adam); forward-backward over all chains in step."""
     chains = sorted((c for c in chains if c is not None and len(c[0])), key=lambda c: -len(c[0]))
@@ -362,7 +418,8 @@ def fit(chains: list[tuple[np.ndarray, ...]], rounds: int = 40, rate: float = 0.
     tags = pad(5, OUTSIDE).astype(np.int64)
     mask = np.arange(width)[None, :] < np.array([len(c[0]) for c in chains])[:, None]
     sizes = (N_SHAPES, N_SHAPES + 1, N_SHAPES + 1, N_CUES, N_TEXTS)
-    w = [np.zeros(s) for s in sizes] + [np.zeros((3, 3))]
+    prior = [np.full(N_SHAPES, UNSEEN), *(np.zeros(s) for s in sizes[1:]), np.zeros((3, 3))]   # a shape never seen is no secret
+    w = [p.copy() for p in prior]
     legal = np.ones((3, 3))
     legal[OUTSIDE, INSIDE] = 0
     inside = (tags != OUTSIDE) & mask
@@ -397,7 +454,7 @@ def fit(chains: list[tuple[np.ndarray, ...]], rounds: int = 40, rate: float = 0.
         post = np.exp(alpha + beta - logz[:, None, None])[..., :OUTSIDE].sum(2) * mask
         hat = [np.bincount(fv.ravel(), post.ravel(), s) for fv, s in zip(feats, sizes)] + [pair_hat]
         for i in range(6):
-            g = (seen[i] - hat[i]) / total * 100 - l2 * w[i]
+            g = (seen[i] - hat[i]) / total * 100 - l2 * (w[i] - prior[i])
             m1[i] = 0.9 * m1[i] + 0.1 * g
             m2[i] = 0.999 * m2[i] + 0.001 * g * g
             w[i] = w[i] + rate * (m1[i] / (1 - 0.9 ** r)) / (np.sqrt(m2[i] / (1 - 0.999 ** r)) + 1e-8)
@@ -405,10 +462,11 @@ def fit(chains: list[tuple[np.ndarray, ...]], rounds: int = 40, rate: float = 0.
     return Field(*w)
 
 
-def train(docs: DataFrame, text_col: str = "text", max_texts: int = TRAIN_TEXTS) -> Field | None:
+def train(docs: DataFrame, text_col: str = "text", max_texts: int = TRAIN_TEXTS, max_segments: int = TRAIN_SEGMENTS) -> Field | None:
     """Train on a bounded sample: of all distinct texts, the ``max_texts / 2`` with the smallest hash
-    among those with a base match and as many among those without. None when no text has a match:
-    then only the base patterns are scanned for."""
+    among those with a base match and as many among those without. Tasks turn these whole texts into chains;
+    at most ``max_segments`` of them, by hash, come to the driver, half of them with secrets. None when no text
+    has a match: then only the base patterns are scanned for."""
     text = F.col(text_col)
     known = docs.where(text.isNotNull()).select(F.xxhash64(text).alias("h"), text.alias("text"))
 
@@ -424,22 +482,30 @@ def train(docs: DataFrame, text_col: str = "text", max_texts: int = TRAIN_TEXTS)
     half = max_texts // 2
     least = seen.where("hit").orderBy("h").limit(half).unionByName(seen.where("not hit").orderBy("h").limit(half))
 
-    def window(batches):
+    def chains(batches):
         for batch in batches:
-            part, kind = [], []
-            for t in batch.column("text").to_pylist():
-                raw = t.encode()
-                found = base_matches(raw)
-                lo = max(0, (found[0][0] if found else 0) - TRAIN_BYTES // 2)
-                part.append(raw[lo:lo + TRAIN_BYTES])
-                kind.append(int(text_kind(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]))
-            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(part, pa.binary()), pa.array(kind, pa.int32())],
-                                             names=["h", "part", "kind"])
+            for h, t in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist()):
+                raw, rng = t.encode(), np.random.default_rng(h & (1 << 63) - 1)
+                found = segments(_training_chain(raw))
+                if value_spans(raw):
+                    for _ in range(COPIES):
+                        copy, spans = altered(raw, rng)
+                        more = segments(_training_chain(copy, None, spans))
+                        found += [s for s in more if (s[5] != OUTSIDE).any()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([h] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()),
+                     pa.array([bool((s[5] != OUTSIDE).any()) for s in found], pa.bool_()),
+                     pa.array([np.stack([c.astype("<i2") for c in s]).tobytes() for s in found], pa.binary())], names=["h", "n", "secret", "chain"])
 
     # at most max_texts hashes are broadcast
-    rows = (prepared(known).join(F.broadcast(least.select("h")), "h").mapInArrow(window, "h long, part binary, kind int")
-            .dropDuplicates(["h"]))
-    return fit([_training_chain(bytes(r.part), r.kind) for r in rows.orderBy("h").collect()])
+    rows = (prepared(known).join(F.broadcast(least.select("h")), "h").mapInArrow(trimmed(chains), "h long, n int, secret boolean, chain binary")
+            .dropDuplicates(["h", "n"]))
+    rows = written(rows.withColumn("r", F.xxhash64("h", "n")), "secrets-chains")
+    got = []
+    for secret in ("secret", "not secret"):
+        for r in rows.where(secret).orderBy("r").limit(max_segments // 2).collect():
+            got.append(tuple(np.frombuffer(bytes(r.chain), "<i2").reshape(6, -1)))
+    return fit(got)
 
 
 def spans_text(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:
