@@ -187,3 +187,17 @@ def test_documents_without_an_id_link(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.component_id) for r in pe.near_duplicates(df).collect()}
     assert got == {(None, 3), (7, 3), (3, 3), (9, 9)}
+
+
+def test_near_copies_of_a_long_text(spark):
+    """128,000 words: the time grows with the length, and one word in 200 may differ."""
+    rng = random.Random(6)
+    a = [f"w{rng.randrange(10 ** 7)}" for _ in range(128_000)]
+    b, c = list(a), list(a)
+    for _ in range(640):
+        b[rng.randrange(len(b))] = "x"
+    for _ in range(12_800):
+        c[rng.randrange(len(c))] = "y"                       # too many for 80 percent of the shingles
+    docs = spark.createDataFrame([(5, " ".join(a)), (3, " ".join(b)), (4, " ".join(c)), (9, "short text")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in pe.near_duplicates(docs).collect()}
+    assert got == {5: 3, 3: 3, 4: 4, 9: 9}

@@ -347,10 +347,12 @@ def band_of(n: Column, percent: int) -> Column:
 def thinned(found: DataFrame, percent: int) -> DataFrame:
     """``sig, cls, tag``: without the most frequent signatures every set may drop."""
     spare = F.array(*[F.lit(s) for s in spares(percent)])
-    w = Window.partitionBy("cls", "tag").orderBy(F.desc("freq"), "sig")
-    before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (found.where("kind = 1")
-            .withColumn("parts", F.size(F.collect_set("part").over(before)))
+    # parts met so far, from the most frequent signature on: a part is counted at its first one
+    one = Window.partitionBy("cls", "tag")
+    inside, before = one.orderBy("part", F.desc("freq"), "sig"), one.orderBy(F.desc("freq"), "sig")
+    first = F.when(F.lag("part").over(inside) == F.col("part"), 0).otherwise(1)
+    rows = (found.where("kind = 1").withColumn("first", first)
+            .withColumn("parts", F.sum("first").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .where(F.col("parts") > F.coalesce(F.get(spare, F.col("tag")), F.lit(0)) - F.col("spent")))
     rows = rows.select("sig", "cls", "tag", "own")
     # near copies share many signatures: of the groups with the same members one is enough
