@@ -10,7 +10,9 @@ The lexicon, its exceptions and the curve are learned from labelled rows (``lear
 sample (``max_rows``, smallest hash first) gives document counts per word and word beginning.
 Entries are chosen greedily by the toxic documents they help to explain, until every document is
 explained ``COVER`` times; words that merely come along in copies of a toxic document are kept out
-because their neighbouring words are always the same.
+because their neighbouring words are always the same. An entry must help a 60th of the toxic documents (three
+at least), so there are at most 60 * ``COVER`` of them; nothing else limits the lexicon, its candidates
+or its exceptions, which all come from the sample.
 
 Defined cases: null, empty or letterless text has weight 0; without usable labels the lexicon is
 empty and all scores are 0; repeated rows score alike; other columns pass through.
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_schema, map_pieces, prepared, with_columns
+from .common import add_schema, map_pieces, prepared, with_columns, written
 
 # look-alikes (fixed values): letters of other scripts, then digits and signs used as letters
 LOOK_ALIKES = {
@@ -43,8 +45,6 @@ SAME = {"l": "i"}               # 1 stands for i and for l: both become i
 
 MAX_TRAIN_ROWS = 8000           # labelled rows the model is fitted on (documented bound)
 PREFIXES = (4, 5, 6, 7, 8, 9)
-MAX_CANDIDATES = 3000           # entries considered in the greedy choice
-MAX_ENTRIES = 400
 COVER = 5                       # entries after which a toxic document counts as explained
 OWN_CONTEXTS = 0.5              # least share of an entry's toxic documents with neighbours of their own
 
@@ -206,6 +206,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit lexicon, exceptions and curve. ``keep(id column)`` limits the labels that may be used."""
     rows = training_rows(docs, labels, label_col, id_col, max_rows, keep).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), "_label")
+    rows = written(rows, "toxicity-rows")                         # read five times below
 
     def count(batches):
         seen: Counter = Counter()
@@ -227,7 +228,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # mostly in toxic documents, and in enough of them; the greedy choice below does the rest
     least = max(3, n_toxic // 60)
     good = (per_term.where((F.col("t") >= least) & (F.col("c") / n_clean <= 0.1 * F.col("t") / n_toxic))
-            .orderBy(F.desc("t"), "term").limit(MAX_CANDIDATES).collect())
+            .orderBy(F.desc("t"), "term").collect())              # terms of at most max_rows texts
     if not good:
         return Model()
     cand = {r.term: (r.t, r.c) for r in good}
@@ -288,7 +289,7 @@ def _greedy(docs: list[list[str]], cand: dict, n_toxic: int, n_clean: int, least
     support = Counter(t for d in terms for t in d)
     allowed = {t for t in support if len(contexts[t]) >= OWN_CONTEXTS * support[t]}
     open_docs, chosen = [[d & allowed, COVER] for d in terms], []
-    while len(chosen) < MAX_ENTRIES:
+    while True:
         gain = Counter(t for d, left in open_docs if left for t in d)
         if not gain:
             break
@@ -327,7 +328,7 @@ def _exceptions(rows: DataFrame, chosen: list[str], least: int = 3) -> tuple:
 
     seen = (rows.mapInArrow(phrases, "phrase string, label int").groupBy("phrase")
             .agg(F.count_if(F.expr("label = 0")).alias("c"), F.count_if(F.expr("label = 1")).alias("t"))
-            .where((F.col("c") >= least) & (F.col("t") == 0)).orderBy(F.desc("c"), "phrase").limit(MAX_ENTRIES))
+            .where((F.col("c") >= least) & (F.col("t") == 0)).orderBy(F.desc("c"), "phrase"))
     return tuple(r.phrase for r in seen.collect())
 
 
