@@ -130,3 +130,40 @@ def test_equal_query_rows_do_not_crowd_candidates_out(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     got = as_dict(voronoi.top_k(df, n_pivots=6, share_rows=9).collect())
     assert got == {100: brute(rows, 10, 100, 1024)[100]} and len({j for j, _ in got[100]}) == 10
+
+
+def copies_sent(spark, n, factor=0.5):
+    """Query rows sent beyond their own region, and regions, for n clustered vectors of length one."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(n // 200, 8))
+    x = centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, 8)) * 0.02
+    x = np.float32(x / np.linalg.norm(x, axis=1, keepdims=True))
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    rows = vptree.written(vptree.packed(df, "vec_id", "embedding", drop_zero=True), "t")
+    n, top2 = rows.agg(vptree.F.count("*"), vptree.F.max("norm2")).first()
+    sizes = {8: (n, top2)}
+    upper = vptree._upper_trees(rows, sizes, 400)
+    data = vptree.written(vptree._located(rows, upper, sizes, False), "t")
+    asked = vptree._located(rows.where("id % 20 = 0"), upper, sizes, True)
+    home = vptree.best_of(vptree._searched(data, data.groupBy("dim", "region").agg(vptree.F.count("*").alias("n")),
+                                           asked.select("id", "dim", "vec", "region"), 20, factor, sizes, 400, 8192), 20)
+    kth = home.groupBy(vptree.F.col("query_id").alias("id")).agg(vptree.F.min("score").alias("kth"))
+    routed = vptree._routed(asked.join(kth, "id", "left"), upper, vptree._shells(data, upper, sizes), sizes, factor)
+    return routed.count(), len(upper[8].path)
+
+
+def test_copies_of_queries_grow_in_proportion_on_clustered_vectors(spark):
+    few, regions = copies_sent(spark, 4000)
+    many, more = copies_sent(spark, 16_000)
+    assert more >= 3 * regions
+    assert many <= 8 * max(few, 4000 // 20) and many < 0.2 * (16_000 // 20) * more     # not four times four as many
+
+
+def test_regions_of_equal_vectors_and_several_lengths_are_exact(spark):
+    rng = np.random.default_rng(10)
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(900)] + [(1000 + i, [float(v) for v in rng.normal(size=3)]) for i in range(300)]
+    rows += [(5000 + i, [float(v) for v in rng.normal(size=5) * 3]) for i in range(260)] + [(9000, [4.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = as_dict(vptree.nearest(df, k=6, every=100, factor=1.0, shard_rows=50, block_rows=4).collect())
+    want = {q: [j for j, _ in v] for q, v in brute(rows, 6, 100).items() if v}
+    assert {q: [j for j, _ in v] for q, v in got.items()} == want
