@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geom, wkb
 from ..operators import search
-from ..session import publish, version_path
+from ..session import arrow_fs, publish, ship_package, version_path
 from .partitioned import read_partitions_as_text
 
 
@@ -49,22 +53,66 @@ def _safe_cast(col: str, src_type, dst_type):
         .cast(dst_type)).alias(col)
 
 
+ROW_METADATA = b"org.apache.spark.sql.parquet.row.metadata"      # where Spark's writer leaves the schema
+
+
+def _plain(path: str) -> str:
+    """A path in the form in which listing and caller can be compared."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def part_schemas(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[T.StructType]]:
+    """The different schemas of every part's files: one job, whose tasks open the footers of a batch of
+    files each; a row per part and schema comes back."""
+    ship_package(spark)
+    known = {_plain(p): p for p in paths}
+
+    def read(batches):
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        for batch in batches:
+            part, schema = [], []
+            for path in batch.column("path").to_pylist():
+                folder = _plain(path)
+                while folder and folder not in known:
+                    folder = folder.rpartition("/")[0]
+                fs, p = arrow_fs(path)
+                with fs.open_input_file(p) as src:
+                    footer = pq.read_metadata(src)
+                own = (footer.metadata or {}).get(ROW_METADATA)
+                part.append(known.get(folder))
+                schema.append(own.decode() if own else from_arrow_schema(footer.schema.to_arrow_schema()).json())
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array(schema, pa.string())], names=["part", "schema"])
+
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+             .load(list(paths)).select("path"))
+    out: dict[str, list[T.StructType]] = {p: [] for p in paths}
+    for r in files.mapInArrow(read, "part string, schema string").distinct().orderBy("part", "schema").collect():
+        out[r.part].append(T.StructType.fromJson(json.loads(r.schema)))
+    return out
+
+
 def merge_parts(spark: SparkSession, paths: Sequence[str], base_path: str | None = None) -> DataFrame:
     """All parts under the first part's schema (U1, K2): later parts must have the same field names
     in the same order and are cast to the first part's types, losslessly or not at all.
 
-    Parts of one schema are one scan, however many there are; only the schemas (footers) are looked
-    at one by one."""
+    Footers are read by one job, however many parts there are; parts of one schema are one scan."""
     if not paths:
         raise ValueError("merge_parts got an empty list of parts")
+    schemas = part_schemas(spark, paths)
+    first = read_partitions_as_text(spark, paths[0], base_path=base_path).schema
+    inside = schemas[paths[0]][0].fieldNames() if schemas[paths[0]] else first.fieldNames()
+    folders = [f for f in first.fields if f.name not in inside]      # told by the path, alike for all parts
     groups: dict[tuple, list[str]] = {}
-    first = None
     for p in paths:
-        schema = read_partitions_as_text(spark, p, base_path=base_path).schema
-        first = first or schema
-        if schema.fieldNames() != first.fieldNames():
-            raise ValueError(f"part {p} has fields {schema.fieldNames()}, expected {first.fieldNames()}")
-        groups.setdefault(tuple(f.dataType.simpleString() for f in schema.fields), []).append(p)
+        for schema in schemas[p]:
+            if schema.fieldNames() != inside:
+                names = schema.fieldNames() + [f.name for f in folders]
+                raise ValueError(f"part {p} has fields {names}, expected {first.fieldNames()}")
+        kinds = {tuple(f.dataType.simpleString() for f in s.fields) for s in schemas[p]}
+        if len(kinds) > 1:
+            raise ValueError(f"part {p} has files of different types: {sorted(kinds)}")
+        groups.setdefault(kinds.pop() if kinds else (), []).append(p)
     out = None
     for same in groups.values():
         df = read_partitions_as_text(spark, *same, base_path=base_path)
