@@ -93,3 +93,14 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = lambda k: F.element_at("properties", F.lit(k))
     return table.select(value("fid").cast("long").alias("fid"), value("note").alias("note"), "road_type", "registration_date",
                         "source_mesh", F.size("geometry").alias("npts"), "srid")
+
+
+def streaming_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meshes land one after the other; rows are flagged when a second mesh delivers their geometry."""
+    from ..streaming.duplicates import run as flag
+
+    root = scratch_path(spark, "landing")
+    rows = fx.roads(spark, sf_dir).select("fid", "source_mesh", "line")
+    rows.repartition("source_mesh").write.parquet(f"{root}/in")
+    flag(spark, f"{root}/in", f"{root}/out", f"{root}/_checkpoint", rows.schema)
+    return spark.read.schema("fid long, source_mesh string").parquet(f"{root}/out")

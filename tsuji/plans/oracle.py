@@ -303,6 +303,7 @@ ORACLES: dict[str, str] = {
     "hilbert_cell": HILBERT_CELL,
     "total_bounds": TOTAL_BOUNDS,
     "cross_mesh_duplicates": CROSS_MESH_DUPLICATES,
+    "streaming_duplicates": CROSS_MESH_DUPLICATES,
     "invalid_by_mesh": INVALID_BY_MESH,
     "point_on_line": POINT_ON_LINE,
     "point_on_long_line": POINT_ON_LONG_LINE,

@@ -78,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "wkb_roundtrip": ig.wkb_roundtrip,
     "geoparquet_roundtrip": ig.geoparquet_roundtrip,
     "polygon_geoparquet": ig.polygon_geoparquet,
+    "streaming_duplicates": ig.streaming_duplicates,
     "incremental_ingest": ig.incremental_ingest,
     "scan_cost": rp.scan_cost_report,
     "end_to_end": fl.end_to_end,
