@@ -65,6 +65,8 @@ def test_rows_of_any_span_and_nulls(spark):
     assert abs(got["far", 0] - 5551759.400) < 2e-3 and abs(got["both", 0] - HALF_MERIDIAN) < 1e-3
     for key, ends in ((("near", 0), (139.0, 35.0, 139.5, 35.2)), (("both", 1), (180, 0, 180.5, 0.3))):
         assert abs(got[key] - geodesy.geodesic_distance(*[[v] for v in ends])[0]) < 1e-3
+    whole = geodesy.spheroid_segments(lines_df(spark, lines, "k string"), keep=("k",))
+    assert {(r.k, r.seg_pos): r.seg_len for r in whole.collect()} == got
     odd = spark.createDataFrame([(0.0, 0.0, float("nan"), 0.0), (0.0, 0.0, float("inf"), 1.0)], "lon1 double, lat1 double, lon2 double, lat2 double")
     assert all(math.isnan(r[0]) for r in geodesy.with_spheroid_length(odd).collect())
 

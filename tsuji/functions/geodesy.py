@@ -151,6 +151,15 @@ def with_spheroid_length(seg: DataFrame, out: str = "seg_len", a: float = WGS84_
     return _vincenty_rows(seg.where(~long), out, a, f).unionByName(seg.where(long).mapInArrow(solve, schema))
 
 
+def spheroid_segments(df: DataFrame, line: str = "line", keep: tuple[str, ...] = (), out: str = "seg_len") -> DataFrame:
+    """``segment_rows`` with their length on the spheroid. Lines are told apart before they are taken to
+    pieces: only those that span more than LONG_DEGREES altogether can hold a long segment."""
+    xs, ys = _c(line)["x"], _c(line)["y"]
+    wide = F.coalesce((F.array_max(xs) - F.array_min(xs) > LONG_DEGREES) | (F.array_max(ys) - F.array_min(ys) > LONG_DEGREES), F.lit(False))
+    near = _vincenty_rows(segment_rows(df.where(~wide), line, keep), out, WGS84_A, WGS84_F)
+    return near.unionByName(with_spheroid_length(segment_rows(df.where(wide), line, keep), out))
+
+
 # Gauss-Legendre rule for the geodesic integrals: their integrands are smooth and nearly constant
 _NODES, _NODE_WEIGHTS = np.polynomial.legendre.leggauss(20)
 

@@ -25,8 +25,8 @@ def with_length(roads: DataFrame, spheroid: bool = False, out: str = "len_m") ->
 def segment_lengths(roads: DataFrame, keys: tuple[str, ...], spheroid: bool = False) -> DataFrame:
     """Segment rows (``keys``, ``seg_pos``, ``seg_len`` in metres) measured with codegen'd column
     arithmetic inside the scan stage."""
-    seg = geodesy.segment_rows(roads.select(*keys, "line"), keep=keys)
-    return geodesy.with_spheroid_length(seg) if spheroid else geodesy.with_sphere_length(seg)
+    rows = roads.select(*keys, "line")
+    return geodesy.spheroid_segments(rows, keep=keys) if spheroid else geodesy.with_sphere_length(geodesy.segment_rows(rows, keep=keys))
 
 
 def _n_and_total():

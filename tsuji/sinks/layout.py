@@ -15,7 +15,7 @@ from ..functions import geom
 from ..operators import search
 from . import rtree
 
-DEFAULT_ROW_GROUP_ROWS = 100_000
+DEFAULT_ROW_GROUP_ROWS = 10_000      # a few megabytes of lines: small enough to prune, large enough to read
 
 
 def hilbert_order(df: DataFrame, line: str = "line", bbox: str = "bbox", out: str = "hilbert",
