@@ -68,8 +68,8 @@ def geoparquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = parts.read_geoparquet(spark, path).groupBy("source_mesh").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("geometry") == F.col("original")).alias("same"),
         F.count_if(geom.bounds("geometry") == F.col("bbox")).alias("covered"))
-    footer = geoparquet.dataset_geo(spark, path).drop("files", "rows")
-    return back.withColumn("column", F.lit("geometry")).join(footer, "column").drop("column")
+    footer = geoparquet.dataset_geo(spark, path).first()              # one row: a dataset written at once
+    return back.select("*", *[F.lit(footer[c]).alias(c) for c in ("srid", *geoparquet.BOX)])
 
 
 def polygon_geoparquet(spark: SparkSession, sf_dir: str) -> DataFrame:
