@@ -30,3 +30,19 @@ def test_batches_equal_the_batch_operator(spark):
     again = len(os.listdir(f"{root}/out".replace("file:", "")))
     duplicates.run(spark, f"{root}/in", f"{root}/out", f"{root}/cp", df.schema)            # nothing new, nothing twice
     assert spark.read.schema(duplicates.ROW).parquet(f"{root}/out").count() == len(want) and again
+
+
+def test_state_is_kept_without_a_python_call_per_geometry(spark):
+    """Mostly single geometries, one hot one, rows without a mesh: no row passes through Python on its way."""
+    rows = spark.range(6000).selectExpr(
+        "id AS fid", "CASE WHEN id % 97 = 1 THEN NULL WHEN id % 3 = 0 AND id < 3000 THEN 'a' ELSE element_at(array('b', 'c'), cast(1 + id % 2 AS int)) END AS source_mesh",
+        "array(struct(cast(CASE WHEN id % 3 = 0 THEN -1 ELSE id % 5500 END AS double) AS x, 0D AS y)) AS line")
+    root = scratch_path(spark, "sd")
+    for k in range(2):
+        rows.where(f"fid >= {3000 * k} and fid < {3000 * k + 3000}").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+    plan = duplicates.shared_geometries(stream)._jdf.queryExecution().analyzed().toString()
+    assert "Pandas" not in plan and "Python" not in plan and "TransformWithState" not in plan
+    assert duplicates.run(spark, f"{root}/in", f"{root}/out", f"{root}/cp", rows.schema) >= 2
+    got = sorted(r.fid for r in spark.read.schema(duplicates.ROW).parquet(f"{root}/out").collect())
+    assert got == sorted(r.fid for r in quality.cross_mesh_duplicates(rows).collect()) and 2000 <= len(got) < 6000

@@ -1,69 +1,26 @@
 """Geometry shared between meshes, flagged as the meshes arrive (T1 with U2).
 
-State is kept per geometry: the first mesh that delivered it, whether a second one has, and the rows that
-wait for that. The row that brings the second mesh releases the waiting ones; from then on every row of the
-geometry is flagged at once. So after each micro-batch the rows flagged so far are those that
+Keyed state is held by Spark's own streaming operators, in the state store. Per geometry, deduplication passes
+the first delivery that names a mesh; a delivery of another mesh joined with it says that the geometry is shared,
+and deduplication passes that once. Rows wait in the state of a second join for this; from then on every row of
+the geometry is flagged at once. So after each micro-batch the rows flagged so far are those that
 ``quality.cross_mesh_duplicates`` finds in everything delivered so far.
 
-A geometry's key is the SHA-256 of its text form, which keeps every double in full and the sign of zeros. Its
-waiting rows live in the state store and pass through memory in batches, so one geometry may hold any share
-of the rows.
+A geometry's key is the SHA-256 of its text form, which keeps every double in full and the sign of zeros. Each row
+meets one first delivery and one sharing, never the other rows, so one geometry may hold any share of the rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from ..session import ship_package
 
 ROW = "fid long, source_mesh string"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-BATCH_ROWS = 10_000             # waiting rows released at a time
-
-
-class SharedGeometry(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "mesh string")
-        self.shared = handle.getValueState("shared", "yes boolean")
-        self.waiting = handle.getListState("waiting", ROW)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        shared = self.shared.exists()
-        for batch in rows:
-            batch = batch[["fid", "source_mesh"]]
-            if not shared:
-                meshes = set(batch["source_mesh"].dropna())
-                if self.first.exists():
-                    meshes.add(self.first.get()[0])
-                elif meshes:
-                    self.first.update((min(meshes),))
-                shared = len(meshes) > 1
-                if not shared:
-                    self.waiting.appendList([(int(f), m) for f, m in zip(batch["fid"], batch["source_mesh"].where(batch["source_mesh"].notna(), None))])
-                    continue
-                self.shared.update((True,))
-                yield from self._released()
-            yield batch
-
-    def _released(self) -> Iterator[pd.DataFrame]:
-        held = []
-        for row in self.waiting.get():
-            held.append(tuple(row))
-            if len(held) == BATCH_ROWS:
-                yield pd.DataFrame(held, columns=["fid", "source_mesh"])
-                held = []
-        if held:
-            yield pd.DataFrame(held, columns=["fid", "source_mesh"])
-        self.waiting.clear()
-
-    def close(self) -> None:
-        pass
+STATE = "spark.sql.streaming.stateStore."
+# state on disk, of which a bounded part is in memory; a commit writes the changes; a join's state is one store
+STATE_CONF = {f"{STATE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+              f"{STATE}rocksdb.boundedMemoryUsage": "true", f"{STATE}rocksdb.changelogCheckpointing.enabled": "true",
+              "spark.sql.streaming.join.stateFormatVersion": "3"}
 
 
 def shared_geometries(stream: DataFrame, geom_col: str = "line", key_col: str = "fid", mesh_col: str = "source_mesh") -> DataFrame:
@@ -71,15 +28,19 @@ def shared_geometries(stream: DataFrame, geom_col: str = "line", key_col: str =
     geometries are never flagged; a null mesh is no mesh, but its rows are flagged with the others."""
     rows = stream.where(F.col(geom_col).isNotNull()).select(
         F.sha2(F.col(geom_col).cast("string"), 256).alias("geometry"), F.col(key_col).cast("long").alias("fid"), F.col(mesh_col).alias("source_mesh"))
-    return rows.groupBy("geometry").transformWithStateInPandas(SharedGeometry(), ROW, "Append", "None")
+    named = rows.where(F.col("source_mesh").isNotNull()).select("geometry", F.col("source_mesh").alias("mesh"))
+    first = named.dropDuplicates(["geometry"]).select(F.col("geometry").alias("first_geometry"), F.col("mesh").alias("first_mesh"))
+    second = named.join(first, (F.col("geometry") == F.col("first_geometry")) & (F.col("mesh") != F.col("first_mesh")))
+    shared = second.select(F.col("geometry").alias("shared_geometry")).dropDuplicates(["shared_geometry"])
+    return rows.join(shared, F.col("geometry") == F.col("shared_geometry")).select("fid", "source_mesh")
 
 
 def run(spark: SparkSession, landing: str, table: str, checkpoint: str, schema, files_per_batch: int = 1) -> int:
     """Flag the rows of all Parquet files in ``landing`` not yet recorded in ``checkpoint``, appending to
     ``table``. Returns the number of micro-batches. The state store is RocksDB, which keeps state on disk."""
-    ship_package(spark)
-    old = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    old = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files_per_batch)).option("recursiveFileLookup", "true")
                   .parquet(landing))
@@ -88,7 +49,8 @@ def run(spark: SparkSession, landing: str, table: str, checkpoint: str, schema,
         query.awaitTermination()
         return len(query.recentProgress)
     finally:
-        if old is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
