@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import io
 import json
+import math
 import re
 import zipfile
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ from ..operators.codes import COLUMN_MAP
 RAW = "file_name string, member string, feature_no long, feature string, crs string"
 READ_CHARS = 1 << 20            # text read at a time; a longer feature enlarges the buffer
 BATCH_CHARS = 8 << 20           # feature text per Arrow batch
+ROWS_PER_TASK = 25_000          # features a writing task sorts by archive
 # Fixed value: GeoJSON without a "crs" member is WGS 84 longitude/latitude.
 GEOJSON_DEFAULT_SRID = 4326
 # Names of longitude/latitude systems without an EPSG number (fixed values).
@@ -346,15 +348,18 @@ def write_mesh_archives(df: DataFrame, root: str, mesh_col: str = "mesh", featur
 
     Each mesh is split into ceil(rows / features_per_archive) archives by a hash of ``key``, so the
     group a task holds stays near ``features_per_archive`` even for a mesh with a third of all rows
-    (the per-mesh counts are one small aggregate, a row per mesh). Archives take turns with the given
+    (the per-mesh counts are one small aggregate, a row per mesh). The counts are broadcast: a join by
+    mesh would leave all archives of a mesh, and the sort of their rows, to one task. Archives are dealt
+    to as many tasks as keep a task near ``ROWS_PER_TASK`` rows. They take turns with the given
     layouts and CRS names. Returns (archive, features).
     """
     counts = df.groupBy(mesh_col).agg(F.count(F.lit(1)).alias("_n")).select(
         mesh_col, F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(features_per_archive))).alias("_k"))
-    chunked = df.join(counts, mesh_col).withColumn("_chunk", F.pmod(F.xxhash64(key), F.col("_k")))
+    chunked = df.join(F.broadcast(counts), mesh_col).withColumn("_chunk", F.pmod(F.xxhash64(key), F.col("_k")))
     chunked = chunked.drop("_k", *([] if keep_key else [key]))
+    tasks = math.ceil(df.count() / max(features_per_archive, ROWS_PER_TASK)) or 1
     names = crs_names if crs_names is not None else (f"urn:ogc:def:crs:EPSG::{crs}",)
-    return chunked.groupBy(mesh_col, "_chunk").applyInPandas(
+    return chunked.repartition(tasks, mesh_col, "_chunk").groupBy(mesh_col, "_chunk").applyInPandas(
         _archive_writer(root, mesh_col, "_chunk", prefix, names, layouts), "archive string, features long")
 
 
