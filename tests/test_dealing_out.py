@@ -6,6 +6,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from tsuji.plans import geometry
 from tsuji.session import scratch_path
 from tsuji.sources import geojson
 
@@ -29,3 +30,12 @@ def test_archives_of_one_mesh_are_written_by_many_tasks(spark, monkeypatch):
         assert any(n.endswith(".geojson") for n in z.namelist())
     back = geojson.read_mesh_archives(spark, root)
     assert sorted(int(r.fid) for r in back.select("fid").collect()) == list(range(400))
+
+
+def test_polygons_of_one_row_group_are_swept_by_many_tasks(spark):
+    root = scratch_path(spark, "customers")
+    spark.range(2000).selectExpr("id % 1900 AS c_custkey").coalesce(1).write.parquet(f"{root}/customer.parquet")
+    rows = geometry.polygon_faults(spark, root).withColumn("task", F.spark_partition_id()).collect()
+    tasks = [r.task for r in rows]
+    assert len(rows) == 2000 and len({r.fid for r in rows}) == 1900
+    assert len(set(tasks)) >= spark.sparkContext.defaultParallelism and max(tasks.count(t) for t in set(tasks)) < 400

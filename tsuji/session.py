@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the operators rely on. Everything else is left to the cluster's defaults.
 BASE_CONF = {
@@ -99,6 +99,15 @@ def current(spark: SparkSession, table: str) -> str:
     return f"{table.rstrip('/')}/{spark.read.text(pointers[-1]).first()[0]}"
 
 
+TASKS_PER_CORE = 4
+
+
+def dealt_out(df: DataFrame) -> DataFrame:
+    """``df`` in some tasks per core of the cluster, whatever its files: a scan has no more tasks than row
+    groups, and adaptive execution would join small partitions again, which costly work on rows cannot afford."""
+    return df.repartition(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 _shipped: set[str] = set()
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geom import with_srid
-from ..session import materialized
+from ..session import dealt_out, materialized
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -140,13 +140,14 @@ SHAPES = [
 
 
 def shaped_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fid, mpoly``: one of SHAPES per customer, moved and scaled by powers of two (exact coordinates)."""
+    """``fid, mpoly``: one of SHAPES per customer, moved and scaled by powers of two (exact coordinates). The
+    keys are dealt out before they become polygons."""
     rows = [(k, [[[(float(x), float(y)) for x, y in ring] for ring in p] for p in s]) for k, s in enumerate(SHAPES)]
     shapes = spark.createDataFrame(rows, "kind int, shape array<array<array<struct<x: double, y: double>>>>")
     placed = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS fid", f"cast(c_custkey % {len(SHAPES)} AS int) AS kind", "c_custkey % 300 - 150 AS x0",
         "c_custkey div 7 % 120 - 60 AS y0", "element_at(array(0.125D, 0.25D, 1D, 2D), cast(1 + c_custkey div 20 % 4 AS int)) AS s")
-    return placed.join(F.broadcast(shapes), "kind").selectExpr(
+    return dealt_out(placed).join(F.broadcast(shapes), "kind").selectExpr(
         "fid", "transform(shape, p -> transform(p, r -> transform(r, v -> struct(x0 + v.x * s AS x, y0 + v.y * s AS y)))) AS mpoly")
 
 
