@@ -101,6 +101,7 @@ def streaming_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = scratch_path(spark, "landing")
     rows = fx.roads(spark, sf_dir).select("fid", "source_mesh", "line")
-    rows.repartition("source_mesh").write.parquet(f"{root}/in")
+    # a mesh is one file, of row groups that many tasks read
+    rows.repartition("source_mesh").write.option("parquet.block.size", 16 << 20).parquet(f"{root}/in")
     flag(spark, f"{root}/in", f"{root}/out", f"{root}/_checkpoint", rows.schema)
     return spark.read.schema("fid long, source_mesh string").parquet(f"{root}/out")
